@@ -17,6 +17,7 @@ def local_session(app: str, cores: str | int = "*", shuffle_partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
