@@ -1,10 +1,17 @@
 """Arithmetic on factor arrays."""
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def dot(left: Column, right: Column) -> Column:
-    """Inner product of two float arrays of equal length; null if either is null."""
-    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+def dot(left: Column, right: Column, rank: int) -> Column:
+    """Inner product of two arrays of ``rank`` numbers; null if either is null. Written out term
+    by term it is compiled with the rest of the stage, where array lambdas are interpreted."""
+    terms = [
+        F.get(left, F.lit(k)).cast("double") * F.get(right, F.lit(k)).cast("double")
+        for k in range(rank)
+    ]
+    return reduce(add, terms)

@@ -30,7 +30,7 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
         .join(factors(model, "item"), "item_id", "left")
         .select(
             *pairs.columns,
-            dot(F.col("user_factor"), F.col("item_factor")).cast("float").alias("prediction"),
+            dot(F.col("user_factor"), F.col("item_factor"), model.rank).cast("float").alias("prediction"),
             status.alias("status"),
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.config import SAMPLE_SEED, SplitConfig
@@ -36,15 +36,18 @@ def split_ratings(
         return train, test
     if method != "hash":
         raise ValueError(f"unknown split method {method!r}")
+    part = split_part(config)
+    return ratings.filter(part == "train"), ratings.filter(part == "test")
+
+
+def split_part(config: SplitConfig = SplitConfig()) -> Column:
+    """'train' or 'test', by the content of (user, item)."""
     bucket = hash_bucket(config.seed, config.buckets, "user_id", "item_id")
-    in_train = bucket < config.train_buckets
-    return ratings.filter(in_train), ratings.filter(~in_train)
+    return F.when(bucket < config.train_buckets, "train").otherwise("test")
 
 
 def split_stats(ratings: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:
     """``part, n, sum_rating`` of the hash split, in one pass."""
-    bucket = hash_bucket(config.seed, config.buckets, "user_id", "item_id")
-    part = F.when(bucket < config.train_buckets, "train").otherwise("test")
-    return ratings.groupBy(part.alias("part")).agg(
+    return ratings.groupBy(split_part(config).alias("part")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("rating").alias("sum_rating")
     )

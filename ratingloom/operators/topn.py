@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions import dot
 from ratingloom.operators.factorize import factors, fits_id_range
+from ratingloom.sources.staging import stage
+from ratingloom.workspace import fresh_path
 
-# Fixed value: users with more seen items than this are scored block by block, see below.
-MAX_OVERFETCH = 4096
+# Longest list asked for per user before items are scored block by block instead.
+WIDEST_LIST = 4096
+# Items per block. Small, because the unseen items of a block are found by comparing arrays.
+BLOCK_SIZE = 1024
 
 
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
@@ -48,37 +54,41 @@ def with_titles(recommendations: DataFrame, items: DataFrame) -> DataFrame:
 
 def recommend_unseen(
     model: ALSModel, n: int, ratings: DataFrame, users: DataFrame | None = None,
-    max_overfetch: int = MAX_OVERFETCH,
+    widest: int = WIDEST_LIST,
 ) -> DataFrame:
     """Like ``recommend``, without the items the user rated already. Exact for every user.
 
-    A user with s seen items has n unseen ones among the best n + s. Users are put into tiers of
-    s rounded up to a power of two and each tier asks for that many more, so all lists together
-    stay within n per user plus twice the number of distinct ratings. Users above
-    ``max_overfetch`` would need very long lists and take the block-wise route.
+    Lists a little longer than n nearly always hold n unseen items. Users for whom they do not
+    are asked again for longer and longer lists, and those whose list would exceed ``widest``
+    take the block-wise route. Each round is a written table, so no work is done twice.
     """
+    folder = fresh_path(ratings.sparkSession, "unseen")
     trained = factors(model, "user").select("user_id")
-    asked = trained if users is None else trained.join(users, "user_id", "left_semi")
-    seen = ratings.select("user_id", "item_id").join(asked, "user_id", "left_semi").distinct()
-    sizes = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
-    n_seen = F.coalesce("n_seen", F.lit(0))
-    tier = F.when(n_seen == 0, 0).otherwise(F.pow(F.lit(2), F.ceil(F.log2(n_seen))).cast("bigint"))
-    tiered = asked.join(sizes, "user_id", "left").select("user_id", tier.alias("tier"))
-
-    # At most one value per power of two.
-    tiers = sorted(row.tier for row in tiered.select("tier").distinct().collect())
-    parts = [
-        _drop_seen(recommend(model, n + t, tiered.filter(F.col("tier") == t)), seen)
-        for t in tiers if t <= max_overfetch
-    ]
-    if any(t > max_overfetch for t in tiers):
-        heavy = tiered.filter(F.col("tier") > max_overfetch).select("user_id")
-        parts.append(_best_per_block(model, n, heavy, seen))
-    if not parts:
-        return recommend(model, n, asked)
-    candidates = parts[0]
-    for part in parts[1:]:
-        candidates = candidates.unionByName(part)
+    pending = trained if users is None else trained.join(users, "user_id", "left_semi")
+    seen = ratings.select("user_id", "item_id")
+    n_items = model.itemFactors.count()
+    finished, width = [], 2 * n
+    while width <= widest:
+        lists = recommend(model, width, pending if finished or users is not None else None)
+        unseen = lists.join(seen, ["user_id", "item_id"], "left_anti")
+        found = stage(_best(unseen, n), f"{folder}/width={width}")
+        finished.append(found)
+        if width >= n_items:
+            break
+        full = found.filter(F.col("rank") == n).select("user_id")
+        pending = stage(pending.join(full, "user_id", "left_anti"), f"{folder}/pending={width}")
+        if pending.isEmpty():
+            break
+        # A list that fell short is found again, longer.
+        finished[-1] = found.join(full, "user_id", "left_semi")
+        seen = seen.join(pending, "user_id", "left_semi")
+        width *= 8
+    else:
+        finished.append(_best(_best_per_block(model, n, pending, seen), n))
+    return reduce(DataFrame.unionByName, finished)
+
+
+def _best(candidates: DataFrame, n: int) -> DataFrame:
     best_first = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
     return (
         candidates.withColumn("rank", F.row_number().over(best_first))
@@ -87,14 +97,8 @@ def recommend_unseen(
     )
 
 
-def _drop_seen(recommendations: DataFrame, seen: DataFrame) -> DataFrame:
-    return recommendations.join(seen, ["user_id", "item_id"], "left_anti").select(
-        "user_id", "item_id", "score"
-    )
-
-
 def _best_per_block(
-    model: ALSModel, n: int, users: DataFrame, seen: DataFrame, block_size: int = MAX_OVERFETCH
+    model: ALSModel, n: int, users: DataFrame, seen: DataFrame, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
     """The n best unseen items of each user out of each block of items.
 
@@ -122,7 +126,7 @@ def _best_per_block(
     scored = F.transform(
         "entries",
         lambda e: F.struct(
-            (-dot(F.col("user_factor"), e["item_factor"]).cast("float")).alias("cost"),
+            (-dot(F.col("user_factor"), e["item_factor"], model.rank).cast("float")).alias("cost"),
             e["item_id"].alias("item_id"),
         ),
     )

@@ -20,7 +20,7 @@ def optimality(
     component of the gradient, divided by n, exceeds the tolerance.
     """
     rows = train.join(factors(model, "item"), "item_id").join(factors(model, "user"), "user_id")
-    error = dot(F.col("user_factor"), F.col("item_factor")) - F.col("rating")
+    error = dot(F.col("user_factor"), F.col("item_factor"), model.rank) - F.col("rating")
     pulls = [
         F.sum(F.col("_error") * F.get("item_factor", F.lit(k))).alias(f"g{k}")
         for k in range(model.rank)

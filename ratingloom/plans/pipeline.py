@@ -4,48 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ratingloom.config import AlsConfig, SplitConfig
+from ratingloom.config import AlsConfig
 from ratingloom.operators.evaluate import rmse
 from ratingloom.operators.factorize import fit
 from ratingloom.operators.predict import predict
-from ratingloom.operators.profile import max_user_id
-from ratingloom.operators.sampling import split_ratings, split_stats
 from ratingloom.plans.store import Store
 from ratingloom.sources.rejects import accepted, check_items, check_ratings
 
 
 def train_pipeline(
-    store: Store, items: DataFrame, ratings: DataFrame,
-    als: AlsConfig = AlsConfig(), split: SplitConfig = SplitConfig(),
+    store: Store, items: DataFrame, ratings: DataFrame, als: AlsConfig = AlsConfig()
 ) -> DataFrame:
-    """Stage both tables, then profile, split, fit and evaluate. Returns the model's log row.
+    """Stage both tables, fit and evaluate. Returns the model's log row.
 
-    Staging is the only time the raw input is read; later steps scan parquet columns, which is
-    cheaper than caching row data of this size and survives the loss of executors.
+    The raw input is read once, for staging. Later steps scan the parquet columns they need,
+    which is cheaper than caching tables of this size and survives the loss of executors.
     """
     store.put_items(accepted(check_items(items)))
     store.append(accepted(check_ratings(ratings)), source="initial")
-    return refit(store, als, split)
+    return refit(store, als)
 
 
-def refit(
-    store: Store, als: AlsConfig = AlsConfig(), split: SplitConfig = SplitConfig()
-) -> DataFrame:
+def refit(store: Store, als: AlsConfig = AlsConfig(), on_conflict: str = "keep") -> DataFrame:
     """Fit and evaluate on everything appended so far. The version is the last batch used."""
     version = store.latest_batch()
-    ratings = store.ratings(version)
-    parts = {row.part: row.n for row in split_stats(ratings, split).collect()}
-    n_train, n_test = parts.get("train", 0), parts.get("test", 0)
-
-    train, test = split_ratings(ratings, split)
-    model = store.put_model(fit(train, als, n_rows=n_train), version)
+    totals = store.totals(version)
+    train = store.ratings(version, "train", on_conflict)
+    test = store.ratings(version, "test", on_conflict)
+    model = store.put_model(fit(train, als, n_rows=totals["n_train"]), version)
     score = rmse(predict(model, test)).first()
     return store.commit_model({
+        **totals,
         "version": version,
-        "n_ratings": n_train + n_test,
-        "max_user_id": max_user_id(ratings).first()[0],
-        "n_train": n_train,
-        "n_test": n_test,
         "n_scored": score.n,
         "rmse": score.rmse,
         "max_iter": als.max_iter,
@@ -55,8 +45,7 @@ def refit(
 
 
 def add_ratings(
-    store: Store, new: DataFrame, source: str,
-    als: AlsConfig = AlsConfig(), split: SplitConfig = SplitConfig(),
+    store: Store, new: DataFrame, source: str, als: AlsConfig = AlsConfig(),
     min_rating: float | None = None, max_rating: float | None = None,
 ) -> DataFrame:
     """Append a batch of ``user_id, item_id, rating`` rows and refit. Returns the log row.
@@ -64,4 +53,4 @@ def add_ratings(
     Rows that cannot be used are left out; ``check_ratings`` tells which and why.
     """
     store.append(accepted(check_ratings(new, min_rating, max_rating)), source)
-    return refit(store, als, split)
+    return refit(store, als)

@@ -17,11 +17,8 @@ from ratingloom.workspace import fresh_path
 class Recommender:
     """A read-only view of one version of a store. Methods that add ratings return a new view."""
 
-    def __init__(
-        self, store: Store, version: int | None = None,
-        als: AlsConfig = AlsConfig(), split: SplitConfig = SplitConfig(),
-    ):
-        self.store, self.als, self.split = store, als, split
+    def __init__(self, store: Store, version: int | None = None, als: AlsConfig = AlsConfig()):
+        self.store, self.als = store, als
         self.version = store.latest_version() if version is None else version
         self.model = store.model(self.version)
         self.items = store.items()
@@ -33,14 +30,14 @@ class Recommender:
         als: AlsConfig = AlsConfig(), split: SplitConfig = SplitConfig(),
     ) -> "Recommender":
         """Load two CSV files into a new store and train on them."""
-        store = Store.create(spark, path)
+        store = Store.create(spark, path, split)
         pipeline.train_pipeline(
             store,
             csv_tables.read_items(spark, items_csv),
             csv_tables.read_ratings(spark, ratings_csv, keep_time=True),
-            als, split,
+            als,
         )
-        return cls(store, als=als, split=split)
+        return cls(store, als=als)
 
     # Users
 
@@ -70,8 +67,8 @@ class Recommender:
         return lookup.user_ratings(self.ratings, users).select("user_id", "item_id", "rating")
 
     def add_ratings(self, new: DataFrame, source: str, **limits) -> "Recommender":
-        pipeline.add_ratings(self.store, new, source, self.als, self.split, **limits)
-        return Recommender(self.store, als=self.als, split=self.split)
+        pipeline.add_ratings(self.store, new, source, self.als, **limits)
+        return Recommender(self.store, als=self.als)
 
     def upload(self, path: str, source: str, **limits) -> "Recommender":
         """Add the rating files under ``path/user_id=<id>/``."""

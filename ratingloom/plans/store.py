@@ -4,6 +4,10 @@ Nothing is changed in place. Ratings grow by one partition ``batch=<n>`` per app
 counts only once its row is in the rating log, so a job that dies half-way leaves nothing visible
 and can simply be run again. A model directory holds the model trained on the batches up to its
 version. One writer at a time; any number of readers.
+
+Within a batch, rows lie in ``part=train`` or ``part=test`` as the content hash decides. The hash
+is thus computed once per row, on arrival; a fit reads only the train files and an evaluation only
+the test files.
 """
 
 from __future__ import annotations
@@ -13,14 +17,33 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratingloom.config import SplitConfig
 from ratingloom.operators.append import latest_ratings
 from ratingloom.operators.factorize import load_model, save_model
+from ratingloom.operators.sampling import split_part
 from ratingloom.sources.staging import read_staged, stage
 
+STORED_RATINGS = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("item_id", T.LongType()),
+    T.StructField("rating", T.DoubleType()),
+    T.StructField("rated_at", T.TimestampType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("part", T.StringType()),
+])
+
+SETTINGS = T.StructType([
+    T.StructField("seed", T.LongType()),
+    T.StructField("buckets", T.IntegerType()),
+    T.StructField("train_buckets", T.IntegerType()),
+])
+
 RATING_LOG = T.StructType([
     T.StructField("batch", T.LongType()),
     T.StructField("source", T.StringType()),
-    T.StructField("n_rows", T.LongType()),
+    T.StructField("n_train", T.LongType()),
+    T.StructField("n_test", T.LongType()),
+    T.StructField("max_user_id", T.LongType()),
 ])
 
 MODEL_LOG = T.StructType([
@@ -41,15 +64,22 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.split = SplitConfig(**self._log("settings", SETTINGS).first().asDict())
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str) -> "Store":
-        """Open a store, with empty logs if it is new."""
-        store = cls(spark, path)
-        for name, schema in (("rating_log", RATING_LOG), ("model_log", MODEL_LOG)):
-            empty = spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{store.path}/{name}")
-        return store
+    def create(
+        cls, spark: SparkSession, path: str, split: SplitConfig = SplitConfig()
+    ) -> "Store":
+        """Open a store; a new one gets empty logs and keeps the split setting for good."""
+        setting = (split.seed, split.buckets, split.train_buckets)
+        for name, rows, schema in (
+            ("settings", [setting], SETTINGS),
+            ("rating_log", [], RATING_LOG),
+            ("model_log", [], MODEL_LOG),
+        ):
+            table = spark.createDataFrame(rows, schema).coalesce(1)
+            table.write.mode("ignore").parquet(f"{path.rstrip('/')}/{name}")
+        return cls(spark, path)
 
     # Items
 
@@ -63,34 +93,61 @@ class Store:
 
     def append(self, ratings: DataFrame, source: str) -> int:
         """Write a batch and return its number. A source already in the log is not written
-        again, so replaying an append is harmless."""
-        log = self.rating_log()
-        done = log.filter(F.col("source") == source).select("batch").first()
+        again, so replaying an append is harmless. What the log tells about the batch is
+        counted while it is written."""
+        done = self.rating_log().filter(F.col("source") == source).select("batch").first()
         if done is not None:
             return done.batch
         batch = self.latest_batch() + 1
         rated_at = F.col("rated_at") if "rated_at" in ratings.columns else F.lit(None)
-        written = Observation()
         rows = ratings.select(
-            "user_id", "item_id", "rating", rated_at.cast("timestamp").alias("rated_at")
-        ).observe(written, F.count(F.lit(1)).alias("n_rows"))
-        rows.write.mode("overwrite").parquet(f"{self.path}/ratings/batch={batch}")
-        entry = [(batch, source, written.get["n_rows"])]
-        self._log("rating_log", self.spark.createDataFrame(entry, RATING_LOG))
+            "user_id", "item_id", "rating", rated_at.cast("timestamp").alias("rated_at"),
+            split_part(self.split).alias("part"),
+        )
+        written = Observation()
+        observed = rows.observe(
+            written,
+            F.count_if(F.col("part") == "train").alias("n_train"),
+            F.count_if(F.col("part") == "test").alias("n_test"),
+            F.max("user_id").alias("max_user_id"),
+        )
+        observed.write.mode("overwrite").partitionBy("part").parquet(
+            f"{self.path}/ratings/batch={batch}"
+        )
+        seen = written.get
+        entry = (batch, source, seen["n_train"], seen["n_test"], seen["max_user_id"])
+        self._add("rating_log", RATING_LOG, entry)
         return batch
 
     def latest_batch(self) -> int:
         return self.rating_log().agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
 
-    def ratings(self, upto: int | None = None, on_conflict: str = "keep") -> DataFrame:
-        """Ratings as of a batch. The filter prunes partitions, not rows."""
+    def ratings(
+        self, upto: int | None = None, part: str | None = None, on_conflict: str = "keep"
+    ) -> DataFrame:
+        """Ratings as of a batch, of one part or both. Batch and part prune whole folders."""
         upto = self.latest_batch() if upto is None else upto
-        table = self.spark.read.parquet(f"{self.path}/ratings")
-        table = table.filter(F.col("batch") <= upto).drop("batch")
+        if upto == 0:
+            return self.spark.createDataFrame([], T.StructType(STORED_RATINGS.fields[:4]))
+        table = self.spark.read.schema(STORED_RATINGS).parquet(f"{self.path}/ratings")
+        table = table.filter(F.col("batch") <= upto)
+        if part is not None:
+            table = table.filter(F.col("part") == part)
+        table = table.drop("batch", "part")
         return latest_ratings(table) if on_conflict == "latest" else table
 
+    def totals(self, upto: int) -> dict:
+        """``n_ratings, n_train, n_test, max_user_id`` from the log."""
+        batches = self.rating_log().filter(F.col("batch") <= upto)
+        return batches.agg(
+            F.coalesce(F.sum(F.col("n_train") + F.col("n_test")), F.lit(0)).alias("n_ratings"),
+            F.coalesce(F.sum("n_train"), F.lit(0)).alias("n_train"),
+            F.coalesce(F.sum("n_test"), F.lit(0)).alias("n_test"),
+            F.coalesce(F.max("max_user_id"), F.lit(0)).alias("max_user_id"),
+        ).first().asDict()
+
     def rating_log(self) -> DataFrame:
-        return self._read_log("rating_log", RATING_LOG)
+        return self._log("rating_log", RATING_LOG)
 
     # Models
 
@@ -103,8 +160,8 @@ class Store:
     def commit_model(self, metrics: dict) -> DataFrame:
         """Make a saved model the current one by logging it with its metrics."""
         row = tuple(metrics.get(field.name) for field in MODEL_LOG)
-        self._log("model_log", self.spark.createDataFrame([row], MODEL_LOG))
-        return self.model_log().filter(F.col("version") == metrics["version"])
+        self._add("model_log", MODEL_LOG, row)
+        return self.spark.createDataFrame([row], MODEL_LOG)
 
     def latest_version(self) -> int | None:
         return self.model_log().agg(F.max("version")).first()[0]
@@ -116,12 +173,13 @@ class Store:
         return load_model(f"{self.path}/models/version={version}")
 
     def model_log(self) -> DataFrame:
-        return self._read_log("model_log", MODEL_LOG)
+        return self._log("model_log", MODEL_LOG)
 
     # Logs hold one row per batch or version.
 
-    def _log(self, name: str, rows: DataFrame) -> None:
-        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+    def _add(self, name: str, schema: T.StructType, row: tuple) -> None:
+        rows = self.spark.createDataFrame([row], schema).coalesce(1)
+        rows.write.mode("append").parquet(f"{self.path}/{name}")
 
-    def _read_log(self, name: str, schema: T.StructType) -> DataFrame:
+    def _log(self, name: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions import strip, to_id, to_number
+from ratingloom.sources.rejects import is_finite
 
 
 def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFrame:
@@ -38,6 +39,6 @@ def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFra
         .withColumn(
             "reason",
             F.when(F.col("item_id").isNull(), "bad_item")
-            .when(F.col("rating").isNull(), "bad_rating"),
+            .when(~is_finite(F.col("rating")), "bad_rating"),
         )
     )

@@ -16,12 +16,17 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull())
 
 
+def is_finite(number: Column) -> Column:
+    """False for null, NaN and the infinities."""
+    return F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(False))
+
+
 def rating_reason(min_rating: float | None = None, max_rating: float | None = None) -> Column:
     """Why a ``user_id, item_id, rating`` row cannot be used, or null if it can."""
     reason = (
         F.when(F.col("user_id").isNull(), "no_user")
         .when(F.col("item_id").isNull(), "bad_item")
-        .when(F.col("rating").isNull() | F.isnan("rating"), "bad_rating")
+        .when(~is_finite(F.col("rating")), "bad_rating")
         .when(~F.col("user_id").between(ID_MIN, ID_MAX), "user_out_of_range")
         .when(~F.col("item_id").between(ID_MIN, ID_MAX), "item_out_of_range")
     )
