@@ -189,6 +189,7 @@ _RAW = {
         UNION ALL SELECT DISTINCT 'item', item_id FROM train""",
     "als_optimality": "SELECT DISTINCT user_id, true AS ok FROM train",
     "als_optimality_preset_b": "SELECT DISTINCT user_id, true AS ok FROM train",
+    "als_optimality_hot_keys": "SELECT DISTINCT user_id, true AS ok FROM train",
     "cold_start_coverage": """
         SELECT count(*) AS n_test,
                count(*) FILTER (WHERE user_id IN (SELECT user_id FROM early)

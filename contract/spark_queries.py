@@ -6,6 +6,7 @@ Requests, uploads and forms are derived from table columns row by row, so they g
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
@@ -452,6 +453,13 @@ def als_optimality_preset_b(spark, folder):
     return _optimality(spark, folder, PRESET_B)
 
 
+@query
+def als_optimality_hot_keys(spark, folder):
+    """The route for hot keys, taken by allowing no more than ten rows per key."""
+    config = replace(PRESET_A, max_iter=1, max_rows_per_key=10, hot_pairs=30)
+    return _optimality(spark, folder, config)
+
+
 @query
 def cold_start_coverage(spark, folder):
     early, late = base_and_batch(spark, folder, EARLY_CUT)

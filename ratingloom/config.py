@@ -36,6 +36,8 @@ class AlsConfig:
     checkpoint_interval: int = 5
     # A key with more rows than this does not fit comfortably in one ALS block.
     max_rows_per_key: int = 50_000_000
+    # On that route, keys with more (user, item) pairs than this are summed before they move.
+    hot_pairs: int = 1_000_000
 
     def block_count(self, n_rows: int | None) -> int:
         if self.blocks is not None:

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.config import ID_MAX, ID_MIN, AlsConfig
+from ratingloom.operators.normal_equations import alternate
+from ratingloom.operators.profile import hottest_keys
 from ratingloom.sources.rejects import accepted, check_ratings
-from ratingloom.workspace import shared_dir
+from ratingloom.sources.staging import stage
+from ratingloom.workspace import fresh_path, shared_dir
 
 
 def usable_ratings(ratings: DataFrame) -> DataFrame:
@@ -21,12 +24,22 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
 def fit(train: DataFrame, config: AlsConfig = AlsConfig(), n_rows: int | None = None) -> ALSModel:
     """Explicit-feedback ALS; repeated (user, item) rows each weigh in.
 
-    ``n_rows``, if known, sizes the blocks. The lineage of long fits is cut by checkpoints in
-    the shared folder.
+    MLlib keeps all ratings of a user, and of an item, in one block. If one holds too many for
+    that, the same problem is solved by grouped sums instead. ``n_rows`` saves a count: with no
+    more rows than a key may hold, no key can hold too many.
     """
-    shared_dir(train.sparkSession)
+    n_rows = train.count() if n_rows is None else n_rows
+    if n_rows > config.max_rows_per_key:
+        hottest = max(hottest_keys(train).first())
+        if hottest > config.max_rows_per_key:
+            return fit_by_sums(usable_ratings(train), config)
+    shared_dir(train.sparkSession)  # where long fits cut their lineage
+    return estimator(config, n_rows).fit(usable_ratings(train))
+
+
+def estimator(config: AlsConfig, n_rows: int) -> ALS:
     blocks = config.block_count(n_rows)
-    als = ALS(
+    return ALS(
         userCol="user_id",
         itemCol="item_id",
         ratingCol="rating",
@@ -41,7 +54,21 @@ def fit(train: DataFrame, config: AlsConfig = AlsConfig(), n_rows: int | None =
         checkpointInterval=config.checkpoint_interval,
         coldStartStrategy="drop",
     )
-    return als.fit(usable_ratings(train))
+
+
+def fit_by_sums(ratings: DataFrame, config: AlsConfig) -> ALSModel:
+    """ALS for ratings of which one user or item may hold a large share.
+
+    The model is stored in MLlib's format around a fit of the first rating, so that it loads and
+    scores like any other.
+    """
+    spark = ratings.sparkSession
+    users, items = alternate(ratings, config)
+    path = fresh_path(spark, "model")
+    save_model(estimator(config, 1).fit(ratings.limit(1)), path)
+    for name, table, key in (("userFactors", users, "user_id"), ("itemFactors", items, "item_id")):
+        stage(table.select(F.col(key).alias("id"), "features"), f"{path}/{name}")
+    return load_model(path)
 
 
 def factors(model: ALSModel, side: str) -> DataFrame:
