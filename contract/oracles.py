@@ -203,7 +203,7 @@ _RAW = {
     "predict_parity": """
         SELECT DISTINCT user_id, item_id, true AS same FROM test
         WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
-    "evaluate_model": """
+    "evaluate": """
         SELECT count(*) AS n, true AS rmse_matches FROM test
         WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
     "recommend_top_n": """

@@ -503,7 +503,6 @@ def predict_parity(spark, folder):
     )
 
 
-@query
 def evaluate_model(spark, folder):
     model = fitted(spark, folder)
     _, test = sampling.split_ratings(ratings(spark, folder))
@@ -516,6 +515,9 @@ def evaluate_model(spark, folder):
     return score.select("n", matches.alias("rmse_matches"))
 
 
+QUERIES["evaluate"] = evaluate_model
+
+
 # Top-N
 
 

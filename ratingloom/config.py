@@ -31,10 +31,11 @@ class AlsConfig:
     seed: int = SPLIT_SEED
     blocks: int | None = None
     min_blocks: int = 8
-    max_blocks: int = 1000
+    max_blocks: int = 2000
     rows_per_block: int = 5_000_000
     checkpoint_interval: int = 5
-    # A key with more rows than this does not fit comfortably in one ALS block.
+    # An ALS block is held as arrays. A key or a block with more rows than this is too much for
+    # one task, and the fit takes the route of grouped sums.
     max_rows_per_key: int = 50_000_000
     # On that route, keys with more (user, item) pairs than this are summed before they move.
     hot_pairs: int = 1_000_000
@@ -45,6 +46,9 @@ class AlsConfig:
         wanted = math.ceil((n_rows or 0) / self.rows_per_block)
         return max(self.min_blocks, min(self.max_blocks, wanted))
 
+    def fits_in_blocks(self, n_rows: int) -> bool:
+        return n_rows <= self.block_count(n_rows) * self.max_rows_per_key
+
 
 PRESET_A = AlsConfig()
 PRESET_B = AlsConfig(max_iter=MAX_ITER_B, reg_param=REG_PARAM_B)

@@ -25,13 +25,14 @@ def fit(train: DataFrame, config: AlsConfig = AlsConfig(), n_rows: int | None =
     """Explicit-feedback ALS; repeated (user, item) rows each weigh in.
 
     MLlib keeps all ratings of a user, and of an item, in one block. If one holds too many for
-    that, the same problem is solved by grouped sums instead. ``n_rows`` saves a count: with no
-    more rows than a key may hold, no key can hold too many.
+    that, or all blocks together do, the same problem is solved by grouped sums instead.
+    ``n_rows`` saves a count; the largest key is looked for only if there are enough rows.
     """
     n_rows = train.count() if n_rows is None else n_rows
+    if not config.fits_in_blocks(n_rows):
+        return fit_by_sums(usable_ratings(train), config)
     if n_rows > config.max_rows_per_key:
-        hottest = max(hottest_keys(train).first())
-        if hottest > config.max_rows_per_key:
+        if max(hottest_keys(train).first()) > config.max_rows_per_key:
             return fit_by_sums(usable_ratings(train), config)
     shared_dir(train.sparkSession)  # where long fits cut their lineage
     return estimator(config, n_rows).fit(usable_ratings(train))

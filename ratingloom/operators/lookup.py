@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions import to_id
+from ratingloom.functions import strip, to_id
 
 
 def item_by_id(items: DataFrame, item_id: int) -> DataFrame:
@@ -33,13 +33,19 @@ def user_ratings(ratings: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def validate_requests(
-    requests: DataFrame, numeric: list[str], positive: list[str] | None = None
+    requests: DataFrame, numeric: list[str], positive: list[str] = (), optional: list[str] = ()
 ) -> DataFrame:
-    """Check text parameters. Each column of ``numeric`` must hold a whole number and each of
-    ``positive`` one above zero; they become bigint, and ``reason`` names the first that fails."""
-    positive = positive or []
-    bad: list[Column] = [F.when(to_id(F.col(c)).isNull(), f"bad_{c}") for c in numeric + positive]
-    bad += [F.when(to_id(F.col(c)) <= 0, f"bad_{c}") for c in positive]
-    ids = {c: to_id(F.col(c)) for c in numeric + positive}
+    """Check text parameters. Columns of ``numeric`` must hold a whole number, those of
+    ``positive`` one above zero, and those of ``optional`` a whole number or nothing. They become
+    bigint, and ``reason`` names the first that fails."""
+    bad: list[Column] = []
+    for name in [*numeric, *positive, *optional]:
+        value = to_id(F.col(name))
+        wrong = value.isNull()
+        if name in positive:
+            wrong = wrong | (value <= 0)
+        if name in optional:
+            wrong = wrong & (F.length(strip(F.col(name))) > 0)
+        bad.append(F.when(wrong, f"bad_{name}"))
     checked = requests.withColumn("reason", F.coalesce(*bad))
-    return checked.withColumns(ids)
+    return checked.withColumns({c: to_id(F.col(c)) for c in [*numeric, *positive, *optional]})

@@ -65,7 +65,8 @@ def recommend_unseen(
     folder = fresh_path(ratings.sparkSession, "unseen")
     trained = factors(model, "user").select("user_id")
     pending = trained if users is None else trained.join(users, "user_id", "left_semi")
-    seen = ratings.select("user_id", "item_id")
+    # Repeats go before the shuffle, and the anti-join needs no other one.
+    seen = ratings.select("user_id", "item_id").distinct()
     n_items = model.itemFactors.count()
     finished, width = [], 2 * n
     while width <= widest:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratingloom.config import POPULAR_LIMIT, SAMPLE_SEED, AlsConfig, SplitConfig
 from ratingloom.operators import lookup, predict, profile, registry, sampling, topn
@@ -39,6 +40,10 @@ class Recommender:
         )
         return cls(store, als=als)
 
+    def log(self) -> DataFrame:
+        """Sizes, settings and hold-out error of this version."""
+        return self.store.model_log().filter(F.col("version") == self.version)
+
     # Users
 
     def known_users(self, requests: DataFrame, mode: str = "exists") -> DataFrame:

@@ -142,7 +142,8 @@ def test_the_route_follows_the_largest_key(low_rank, monkeypatch):
 def test_block_count_follows_the_data_only():
     assert PRESET_A.block_count(0) == 8
     assert PRESET_A.block_count(10**9) == 200
-    assert PRESET_A.block_count(10**13) == 1000
+    assert PRESET_A.block_count(10**13) == 2000
+    assert PRESET_A.fits_in_blocks(10**11) and not PRESET_A.fits_in_blocks(10**13)
     assert replace(PRESET_A, blocks=3).block_count(10**9) == 3
 
 

@@ -86,3 +86,12 @@ def test_requests_are_checked(make):
         None, "bad_user", "bad_user", "bad_count", "bad_count", "bad_count", "bad_user"
     ]
     assert dict(checked.dtypes)["user"] == "bigint"
+
+
+def test_an_optional_number_may_be_missing(make):
+    requests = make([("1", ""), ("1", " "), ("1", None), ("1", "7"), ("1", "x")],
+                    "request_id string, user_id string")
+    checked = lookup.validate_requests(requests, ["request_id"], optional=["user_id"])
+    assert [(r.user_id, r.reason) for r in checked.collect()] == [
+        (None, None), (None, None), (None, None), (7, None), (None, "bad_user_id")
+    ]
