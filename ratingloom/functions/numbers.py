@@ -20,9 +20,9 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def to_id(text: Column) -> Column:
-    """A whole number; null also where it does not fit a bigint."""
-    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
+def to_id(text: Column, width: str = "bigint") -> Column:
+    """A whole number, as bigint; null also where it does not fit ``width``."""
+    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast(width).cast("bigint"))
 
 
 def to_number(text: Column) -> Column:

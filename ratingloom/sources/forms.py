@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions import strip, to_id, to_number
-from ratingloom.sources.rejects import is_finite
+from ratingloom.sources.rejects import parsed_reason
 
 
 def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFrame:
@@ -16,16 +16,19 @@ def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFra
     A triple whose item or rating is not a number is kept with a ``reason``.
     """
     keys = [c for c in submissions.columns if c != fields]
-    values = F.col(f"{fields}.value")
-    triples = F.floor(F.size(values) / 3).cast("int")
+    triples = F.floor(F.size(fields) / 3).cast("int")
     # With no whole triple the sequence would count down from 0, so it is cut to nothing.
     starts = F.slice(F.sequence(F.lit(0), F.greatest(triples, F.lit(1)) - 1), F.lit(1), triples)
+
+    def value(position: Column) -> Column:
+        return F.get(F.col(fields), position)["value"]
+
     rated = F.transform(
         starts,
         lambda k: F.struct(
-            F.get(values, k * 3).alias("title"),
-            F.get(values, k * 3 + 1).alias("item"),
-            F.get(values, k * 3 + 2).alias("rating"),
+            value(k * 3).alias("title"),
+            value(k * 3 + 1).alias("item"),
+            value(k * 3 + 2).alias("rating"),
         ),
     )
     return (
@@ -33,12 +36,8 @@ def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFra
         .filter(F.length(strip(F.col("entry.title"))) > 0)
         .select(
             *keys,
-            to_id(F.col("entry.item")).alias("item_id"),
+            to_id(F.col("entry.item"), "int").alias("item_id"),
             to_number(F.col("entry.rating")).alias("rating"),
         )
-        .withColumn(
-            "reason",
-            F.when(F.col("item_id").isNull(), "bad_item")
-            .when(~is_finite(F.col("rating")), "bad_rating"),
-        )
+        .withColumn("reason", parsed_reason(F.when(F.lit(False), "")))
     )

@@ -21,15 +21,19 @@ def is_finite(number: Column) -> Column:
     return F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(False))
 
 
-def rating_reason(min_rating: float | None = None, max_rating: float | None = None) -> Column:
-    """Why a ``user_id, item_id, rating`` row cannot be used, or null if it can."""
-    reason = (
-        F.when(F.col("user_id").isNull(), "no_user")
-        .when(F.col("item_id").isNull(), "bad_item")
-        .when(~is_finite(F.col("rating")), "bad_rating")
-        .when(~F.col("user_id").between(ID_MIN, ID_MAX), "user_out_of_range")
-        .when(~F.col("item_id").between(ID_MIN, ID_MAX), "item_out_of_range")
+def user_reason() -> Column:
+    return F.when(F.col("user_id").isNull(), "no_user").when(
+        ~F.col("user_id").between(ID_MIN, ID_MAX), "user_out_of_range"
     )
+
+
+def parsed_reason(
+    reason: Column, min_rating: float | None = None, max_rating: float | None = None
+) -> Column:
+    """Continue a reason with those of an item and a rating parsed from text. Each column is
+    named as rarely as can be: a filter on the reason parses again for each mention."""
+    reason = reason.when(F.col("item_id").isNull(), "bad_item")
+    reason = reason.when(~is_finite(F.col("rating")), "bad_rating")
     if min_rating is not None:
         reason = reason.when(F.col("rating") < min_rating, "rating_out_of_range")
     if max_rating is not None:
@@ -37,6 +41,14 @@ def rating_reason(min_rating: float | None = None, max_rating: float | None = No
     return reason
 
 
+def rating_reason(min_rating: float | None = None, max_rating: float | None = None) -> Column:
+    """Why a ``user_id, item_id, rating`` row cannot be used, or null if it can."""
+    reason = user_reason().when(
+        ~F.col("item_id").between(ID_MIN, ID_MAX), "item_out_of_range"
+    )
+    return parsed_reason(reason, min_rating, max_rating)
+
+
 def check_ratings(
     ratings: DataFrame, min_rating: float | None = None, max_rating: float | None = None
 ) -> DataFrame:

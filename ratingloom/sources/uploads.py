@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.functions import strip, to_id, to_number
-from ratingloom.sources.rejects import rating_reason
+from ratingloom.sources.rejects import parsed_reason, user_reason
 
 UPLOAD_FILES = T.StructType([
     T.StructField("value", T.StringType()),
@@ -31,11 +31,12 @@ def upload_lines(uploads: DataFrame) -> DataFrame:
 def parse_lines(
     lines: DataFrame, min_rating: float | None = None, max_rating: float | None = None
 ) -> DataFrame:
-    """``user_id, item_id, rating, line, reason``: a bad line is set aside, not fatal."""
+    """``user_id, item_id, rating, line, reason``: a bad line is set aside, not fatal. An item id
+    outside the int range is as bad as no number."""
     fields = F.split(F.col("line"), ",")
     return lines.select(
         "user_id",
-        to_id(F.get(fields, F.lit(0))).alias("item_id"),
+        to_id(F.get(fields, F.lit(0)), "int").alias("item_id"),
         to_number(F.get(fields, F.lit(1))).alias("rating"),
         "line",
-    ).withColumn("reason", rating_reason(min_rating, max_rating))
+    ).withColumn("reason", parsed_reason(user_reason(), min_rating, max_rating))
