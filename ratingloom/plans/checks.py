@@ -19,20 +19,19 @@ def optimality(
     error over its user's n ratings: sum of v (v.u - r), plus reg_param n u. ``ok`` means no
     component of the gradient, divided by n, exceeds the tolerance.
     """
-    rows = train.join(factors(model, "item"), "item_id").join(factors(model, "user"), "user_id")
+    # Users are joined first: each join is then followed by a shuffle, so hot users and items can
+    # be split, and sums are taken per task before they move.
+    rows = train.join(factors(model, "user"), "user_id").join(factors(model, "item"), "item_id")
     error = dot(F.col("user_factor"), F.col("item_factor"), model.rank) - F.col("rating")
-    pulls = [
-        F.sum(F.col("_error") * F.get("item_factor", F.lit(k))).alias(f"g{k}")
-        for k in range(model.rank)
-    ]
+    components = range(model.rank)
     sums = rows.withColumn("_error", error).groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.first("user_factor").alias("u"), *pulls
+        F.count(F.lit(1)).alias("n"),
+        *[F.first(F.get("user_factor", F.lit(k))).alias(f"u{k}") for k in components],
+        *[F.sum(F.col("_error") * F.get("item_factor", F.lit(k))).alias(f"g{k}") for k in components],
     )
-    steps = [
-        F.abs(F.col(f"g{k}") / F.col("n") + reg_param * F.get("u", F.lit(k)))
-        for k in range(model.rank)
-    ]
-    return sums.select("user_id", (F.greatest(*steps) <= tolerance).alias("ok"))
+    slopes = [F.abs(F.col(f"g{k}") / F.col("n") + reg_param * F.col(f"u{k}")) for k in components]
+    steepest = F.array_max(F.array(*slopes))
+    return sums.select("user_id", (steepest <= tolerance).alias("ok"))
 
 
 def list_shape(recommendations: DataFrame) -> DataFrame:
