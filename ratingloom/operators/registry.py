@@ -59,7 +59,7 @@ def allocate_users(requests: DataFrame, ratings: DataFrame, mode: str = "exists"
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
-    scanned = _prefix_scan(counted, "request_id")
+    scanned = _prefix_scan(counted, "request_id", _range_number(requests, "request_id"))
     if mode == "exists":
         is_new = ~F.col("known")
         user_id = F.when(is_new, largest + F.col("_steps")).otherwise(F.col("user_id"))
@@ -83,10 +83,10 @@ def _range_number(requests: DataFrame, key: str) -> Column:
     return F.size(F.filter(bounds, lambda cut: cut < F.col(key)))
 
 
-def _prefix_scan(counted: DataFrame, key: str) -> DataFrame:
+def _prefix_scan(counted: DataFrame, key: str, range_number: Column) -> DataFrame:
     """Add ``_steps``, the sum of ``_step`` up to and with the row, and ``_floors``, the largest
     ``_floor`` less its own ``_steps`` over the rows before."""
-    ranged = counted.withColumn("_range", _range_number(counted, key))
+    ranged = counted.withColumn("_range", range_number)
     upto = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local_steps", F.sum("_step").over(upto))

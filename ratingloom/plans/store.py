@@ -21,7 +21,7 @@ from ratingloom.config import SplitConfig
 from ratingloom.operators.append import latest_ratings
 from ratingloom.operators.factorize import load_model, save_model
 from ratingloom.operators.sampling import split_part
-from ratingloom.sources.staging import read_staged, stage
+from ratingloom.sources.staging import clustered, read_staged, stage
 
 STORED_RATINGS = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -93,8 +93,10 @@ class Store:
 
     def append(self, ratings: DataFrame, source: str) -> int:
         """Write a batch and return its number. A source already in the log is not written
-        again, so replaying an append is harmless. What the log tells about the batch is
-        counted while it is written."""
+        again, so replaying an append is harmless.
+
+        Files are clustered by user for look-ups. What the log tells about the batch is counted
+        by the writing tasks, after the shuffle, where each row is met once."""
         done = self.rating_log().filter(F.col("source") == source).select("batch").first()
         if done is not None:
             return done.batch
@@ -105,7 +107,7 @@ class Store:
             split_part(self.split).alias("part"),
         )
         written = Observation()
-        observed = rows.observe(
+        observed = clustered(rows, "part", "user_id").observe(
             written,
             F.count_if(F.col("part") == "train").alias("n_train"),
             F.count_if(F.col("part") == "test").alias("n_test"),

@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stage(table: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
-    """Write a table as parquet, replacing what is there, and read it back.
+def clustered(table: DataFrame, *columns: str) -> DataFrame:
+    """Range-partition and sort by some columns, so that a filter on them skips row groups of the
+    written files by their min/max.
 
-    ``cluster_by`` range-partitions and sorts the files, so a filter on those columns skips
-    row groups by their min/max. The row's position closes the range key: a key that holds a
-    third of the table is spread over many files instead of ending up in one task. Position
-    repeats exactly when a scan task is run again, unlike a random salt.
+    The row's position closes the range key: a key that holds a third of the table is spread over
+    many files instead of ending up in one task. Position repeats exactly when a scan task is run
+    again, unlike a random salt.
     """
+    return (
+        table.withColumn("_position", F.monotonically_increasing_id())
+        .repartitionByRange(*columns, "_position")
+        .sortWithinPartitions(*columns)
+        .drop("_position")
+    )
+
+
+def stage(table: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
+    """Write a table as parquet, replacing what is there, and read it back."""
     if cluster_by:
-        table = (
-            table.withColumn("_position", F.monotonically_increasing_id())
-            .repartitionByRange(*cluster_by, "_position")
-            .sortWithinPartitions(*cluster_by)
-            .drop("_position")
-        )
+        table = clustered(table, *cluster_by)
     table.write.mode("overwrite").parquet(path)
     return read_staged(table.sparkSession, path)
 

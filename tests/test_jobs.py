@@ -48,6 +48,29 @@ def test_train_files_alone_are_read(trained, capsys):
     assert "= train" in pruned and "<= 1" in pruned
 
 
+def test_user_filters_reach_the_files(trained, capsys):
+    trained.store.ratings(1).filter("user_id = 4").explain()
+    assert "EqualTo(user_id,4)" in capsys.readouterr().out
+
+
+def test_a_hot_user_is_spread_over_files_and_counted_once(spark, tmp_path):
+    rows = spark.range(0, 90_000, 1, 3).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("user_id"),
+        (F.col("id") % 1000).alias("item_id"), F.lit(2.0).alias("rating"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = Store.create(spark, str(tmp_path / "s"))
+        store.append(rows, "hot")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    totals = store.totals(1)
+    assert totals["n_ratings"] == store.ratings().count() == 90_000
+    assert totals["n_train"] == store.ratings(part="train").count()
+    files = store.ratings().filter("user_id = 7").groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 2 and max(r["count"] for r in files) < 20_000
+
+
 def test_adding_ratings_makes_a_new_view(trained, make):
     new = make([(50, i, 4.0) for i in range(12)] + [(None, 1, 3.0), (51, 1, None)], schemas.RATINGS)
     after = trained.add_ratings(new, source="batch-1")
