@@ -21,7 +21,7 @@ from ratingloom.config import SplitConfig
 from ratingloom.operators.append import latest_ratings
 from ratingloom.operators.factorize import load_model, save_model
 from ratingloom.operators.sampling import split_part
-from ratingloom.sources.staging import clustered, read_staged, stage
+from ratingloom.sources.staging import ranged, read_staged, stage
 
 STORED_RATINGS = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -103,11 +103,11 @@ class Store:
         batch = self.latest_batch() + 1
         rated_at = F.col("rated_at") if "rated_at" in ratings.columns else F.lit(None)
         rows = ratings.select(
-            "user_id", "item_id", "rating", rated_at.cast("timestamp").alias("rated_at"),
-            split_part(self.split).alias("part"),
+            "user_id", "item_id", "rating", rated_at.cast("timestamp").alias("rated_at")
         )
+        parted = ranged(rows, "user_id").withColumn("part", split_part(self.split))
         written = Observation()
-        observed = clustered(rows, "part", "user_id").observe(
+        observed = parted.sortWithinPartitions("part", "user_id").observe(
             written,
             F.count_if(F.col("part") == "train").alias("n_train"),
             F.count_if(F.col("part") == "test").alias("n_test"),

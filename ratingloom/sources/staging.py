@@ -6,26 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def clustered(table: DataFrame, *columns: str) -> DataFrame:
-    """Range-partition and sort by some columns, so that a filter on them skips row groups of the
-    written files by their min/max.
+def ranged(table: DataFrame, *columns: str) -> DataFrame:
+    """Range-partition by some columns.
 
     The row's position closes the range key: a key that holds a third of the table is spread over
-    many files instead of ending up in one task. Position repeats exactly when a scan task is run
-    again, unlike a random salt.
+    many partitions instead of ending up in one task. Position repeats exactly when a scan task
+    is run again, unlike a random salt.
     """
-    return (
-        table.withColumn("_position", F.monotonically_increasing_id())
-        .repartitionByRange(*columns, "_position")
-        .sortWithinPartitions(*columns)
-        .drop("_position")
-    )
+    placed = table.withColumn("_position", F.monotonically_increasing_id())
+    return placed.repartitionByRange(*columns, "_position").drop("_position")
 
 
 def stage(table: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
-    """Write a table as parquet, replacing what is there, and read it back."""
+    """Write a table as parquet, replacing what is there, and read it back.
+
+    With ``cluster_by`` the files cover ranges of these columns and are sorted by them, so that a
+    filter on them skips row groups by their min/max.
+    """
     if cluster_by:
-        table = clustered(table, *cluster_by)
+        table = ranged(table, *cluster_by).sortWithinPartitions(*cluster_by)
     table.write.mode("overwrite").parquet(path)
     return read_staged(table.sparkSession, path)
 
