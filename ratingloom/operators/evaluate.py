@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
+def rmse(
+    predictions: DataFrame, label: str = "rating", prediction: str = "prediction"
+) -> DataFrame:
     """``n, rmse`` over the rows that have a prediction: one aggregate, null when there are none."""
     predicted = F.nanvl(F.col(prediction).cast("double"), F.lit(None).cast("double"))
     # Null where there is no prediction, which both aggregates pass over.

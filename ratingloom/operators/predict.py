@@ -18,6 +18,7 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     unknown users from unknown items. Hot users and items sit on the left side of the joins,
     which adaptive execution can split.
     """
+    score = dot(F.col("user_factor"), F.col("item_factor"), model.rank)
     has_user, has_item = F.col("user_factor").isNotNull(), F.col("item_factor").isNotNull()
     status = (
         F.when(has_user & has_item, "ok")
@@ -30,7 +31,7 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
         .join(factors(model, "item"), "item_id", "left")
         .select(
             *pairs.columns,
-            dot(F.col("user_factor"), F.col("item_factor"), model.rank).cast("float").alias("prediction"),
+            score.cast("float").alias("prediction"),
             status.alias("status"),
         )
     )

@@ -60,7 +60,8 @@ def hottest_keys(ratings: DataFrame) -> DataFrame:
 
     def largest(key: str):
         sizes = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        return sizes.agg(F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias(f"max_{key[:4]}_rows"))
+        most = F.coalesce(F.max("n"), F.lit(0)).cast("bigint")
+        return sizes.agg(most.alias(f"max_{key[:4]}_rows"))
 
     users, items = largest("user_id"), largest("item_id")
     return users.select("max_user_rows", items.scalar().alias("max_item_rows"))

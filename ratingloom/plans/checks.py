@@ -27,9 +27,14 @@ def optimality(
     sums = rows.withColumn("_error", error).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.first(F.get("user_factor", F.lit(k))).alias(f"u{k}") for k in components],
-        *[F.sum(F.col("_error") * F.get("item_factor", F.lit(k))).alias(f"g{k}") for k in components],
+        *[
+            F.sum(F.col("_error") * F.get("item_factor", F.lit(k))).alias(f"g{k}")
+            for k in components
+        ],
     )
-    slopes = [F.abs(F.col(f"g{k}") / F.col("n") + reg_param * F.col(f"u{k}")) for k in components]
+    slopes = [
+        F.abs(F.col(f"g{k}") / F.col("n") + reg_param * F.col(f"u{k}")) for k in components
+    ]
     steepest = F.array_max(F.array(*slopes))
     return sums.select("user_id", (steepest <= tolerance).alias("ok"))
 

@@ -2,7 +2,6 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.config import PRESET_A
