@@ -15,16 +15,20 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ratingloom.llm.arrow import map_batches
 from ratingloom.llm.common import batches, fold
 
 UNDETERMINED = "und"
 #: Bounds of the labelled sample: documents and UTF-8 bytes for each language.
-SAMPLE_DOCUMENTS = 64
+SAMPLE_DOCUMENTS = 48
 SAMPLE_BYTES = 32_768
+#: More languages than there are codes; bounds what is sent to all tasks.
+MAX_LANGUAGES = 8_000
 BLOCK = 256
 _BATCH_BYTES = 4 << 20
 _WORDS = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
@@ -150,6 +154,7 @@ def language_samples(
         .where(F.col("r") <= documents)
         .select("lang", "id", "r")
     )
+    picked = F.broadcast(picked.limit(documents * MAX_LANGUAGES))
     # characters beyond the bound on bytes can't enter the sample
     text = F.substring(F.col(text_col), 1, max_bytes).alias("text")
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), text).join(picked, ["lang", "id"])
@@ -170,20 +175,16 @@ def identify(
     was learned. Equal texts give equal answers; rows are never dropped or merged.
     """
     keep = keep or []
-    given = docs.select(F.col(id_col), F.col(text_col).alias("text__"), *keep)
-    fields = [f.simpleString() for f in given.drop("text__").schema]
-    schema = ", ".join(f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields)
+    given = docs.select(F.col(text_col).alias("text__"), F.col(id_col), *keep)
+    added = StructType.fromDDL("lang_pred string, score double, bits_per_byte double")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         parser = _parser(samples)
-        for frame in frames:
-            judged = parser.judge([t if isinstance(t, str) else None for t in frame.pop("text__")])
-            frame["lang_pred"] = [x[0] for x in judged]
-            frame["score"] = [x[1] for x in judged]
-            frame["bits_per_byte"] = [x[2] for x in judged]
-            yield frame
-
-    return given.mapInPandas(run, f"{schema}, lang_pred string, score double, bits_per_byte double")
+        for batch in batches:
+            judged = parser.judge(batch.column(0).to_pylist())
+            yield [*batch.columns[1:], *map(list, zip(*judged))] if judged else [*batch.columns[1:], [], [], []]
+
+    return map_batches(given, run, StructType(given.schema.fields[1:] + added.fields))
 
 
 def held_out_languages(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import langid
+from ratingloom.llm import langid, packing, token_files
+from ratingloom.llm.tokens import public_path
+from ratingloom.workspace import fresh_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.held_out_languages(table(spark, folder, "documents"))
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = fresh_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), files, public_path("word_bpe_49k.json"))
+    return token_files.read(spark, files, with_ids=False)
+
+
 QUERIES = {
+    "op5_packing": op5_packing,
     "op8_language_id": op8_language_id,
+    "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {}
