@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import langid, packing, token_files
+from ratingloom.llm import langid, line_rules, ngram_join, packing, token_files
 from ratingloom.llm.tokens import public_path
 from ratingloom.workspace import fresh_path
 
@@ -13,10 +13,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
 
 
+def op7_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.judge(table(spark, folder, "documents"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.held_out_languages(table(spark, folder, "documents"))
 
@@ -28,7 +36,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op5_packing": op5_packing,
+    "op7_line_rules": op7_line_rules,
     "op8_language_id": op8_language_id,
     "op10_token_files": op10_token_files,
 }
