@@ -17,7 +17,10 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept in a process; the dictionary starts anew beyond it, which costs time only.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
+#: Byte-level vocabularies write a byte as a printable character: itself, or one from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _GROUP_CHARS = 400_000
 _LONG = 1_000_000
 #: Anything but characters whose class, case and normal form are the same everywhere.
@@ -51,7 +54,7 @@ class WordEncoder:
             return re.compile(_PATTERNS["byte_level"])
         steps = pre.get("pretokenizers", [])
         names = [x["type"] for x in (norm or {}).get("normalizers", [])]
-        if len(steps) == 2 and steps[0]["type"] == "Split" and names == ["NFC", "Replace", "Lowercase"]:
+        if [x["type"] for x in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"] and names == ["NFC", "Replace", "Lowercase"]:
             known = _PATTERNS.get(steps[0]["pattern"].get("Regex"))
             return re.compile(known) if known else None
         return None
@@ -74,10 +77,13 @@ class WordEncoder:
         if len(self.words) + len(novel) > WORDS_KEPT:
             self.words.clear()
             novel = list(set(chain.from_iterable(words)))
-        done = self.library.encode(novel, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(done.ids, "<u4").tobytes()
-        cut = 4 * np.searchsorted(np.array(done.word_ids, np.int64), np.arange(len(novel) + 1))
-        cut = cut.tolist()
+        tokenize = self.library.model.tokenize
+        ids: list[int] = []
+        cut = [0]
+        for word in novel:
+            ids += [t.id for t in tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]
+            cut.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
         for i, word in enumerate(novel):
             self.words[word] = raw[cut[i]:cut[i + 1]]
 
