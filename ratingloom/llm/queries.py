@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import langid, line_rules, ngram_join, packing, token_files
+from ratingloom.llm import langid, line_rules, ngram_join, packing, suffix_dedup, token_files
 from ratingloom.llm.tokens import public_path
 from ratingloom.workspace import fresh_path
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, folder, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -36,6 +40,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op5_packing": op5_packing,
     "op7_line_rules": op7_line_rules,
