@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import langid, line_rules, ngram_join, packing, suffix_dedup, token_files
+from ratingloom.llm import langid, line_rules, ngram_join, packing, suffix_dedup, token_files, wrappers
 from ratingloom.llm.tokens import public_path
 from ratingloom.workspace import fresh_path
 
@@ -25,6 +25,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
 
 
+def op6_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extract_pages(table(spark, folder, "pages"))
+
+
 def op7_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op5_packing": op5_packing,
+    "op6_wrappers": op6_wrappers,
     "op7_line_rules": op7_line_rules,
     "op8_language_id": op8_language_id,
     "op10_token_files": op10_token_files,
