@@ -5,19 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import langid
+from ratingloom.llm import langid, ngram_join, packing, suffix_dedup, tiling
 from ratingloom.llm.common import saved
+from ratingloom.llm.tokens import public_path
+
+#: Shorter than the operator's default: about fifty words.
+REPEATED_BYTES = 250
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without a letter, so without a language, go."""
     samples = langid.language_samples(docs)
-    judged = langid.identify(docs, samples, keep=[c for c in docs.columns if c not in ("doc_id", "text")] + ["text"])
+    judged = langid.identify(docs, samples, keep=[c for c in docs.columns if c != "doc_id"])
     return judged.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
 
-STAGES = [("language_id", language_id)]
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles: the first."""
+    found = ngram_join.near_duplicates(docs, width=5, percent=80)
+    first = found.where("component_id is null or component_id = doc_id").select("doc_id").distinct()
+    kept = docs.join(first.where("doc_id is not null"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that stand elsewhere too; a document with nothing else goes."""
+    found = suffix_dedup.deduplicate(docs, length=REPEATED_BYTES, with_text=True, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
+    left = found.where((F.col("n_removed") == 0) | (F.trim("kept") != ""))
+    return left.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("bigint")).select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover no benchmark item."""
+    leaks = tiling.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(saved(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids: the pieces of documents, where they lie, and their ids."""
+    return packing.pack(docs, public_path("byte_bpe_50k.json"), with_ids=True)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", pack),
+]
 
+#: No stage but the first parts of some can be said in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

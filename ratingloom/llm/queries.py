@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratingloom.llm import langid, line_rules, ngram_join, packing, suffix_dedup, token_files, wrappers
+from ratingloom.llm import langid, line_rules, ngram_join, packing, site_quality, suffix_dedup, tiling, token_files, toxicity, wrappers
+from ratingloom.llm.common import fold
 from ratingloom.llm.tokens import public_path
 from ratingloom.workspace import fresh_path
 
@@ -21,6 +23,19 @@ def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    judged = toxicity.score(docs.withColumn("held_out", fold("doc_id", 4) == 2), model, keep=["held_out"])
+    return judged.select("doc_id", "held_out", "score", "predicted", "evidence", "similarity")
+
+
+def op4_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A document's host is its source; its path, as in the pages' URLs, the language section there."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return site_quality.site_quality(docs, labels, host="source", path=F.concat_ws("/", "source", "lang"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
 
@@ -37,6 +52,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.held_out_languages(table(spark, folder, "documents"))
 
 
+def op9_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item it covers by half or more."""
+    found = tiling.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "n_tiles", "longest_tile")
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = fresh_path(spark, "token-files")
     token_files.write(table(spark, folder, "documents"), files, public_path("word_bpe_49k.json"))
@@ -46,10 +67,13 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
+    "op3_toxicity": op3_toxicity,
+    "op4_site_quality": op4_site_quality,
     "op5_packing": op5_packing,
     "op6_wrappers": op6_wrappers,
     "op7_line_rules": op7_line_rules,
     "op8_language_id": op8_language_id,
+    "op9_tiling": op9_tiling,
     "op10_token_files": op10_token_files,
 }
 

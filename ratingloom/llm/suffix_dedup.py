@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ratingloom.llm.arrow import map_batches, map_groups
 from ratingloom.llm.common import mix, parts, saved
@@ -320,21 +321,24 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
 
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay.
 
     Texts are UTF-8 bytes, null is empty. With ``with_text`` also the bytes that stay as text, where
-    a character cut apart becomes U+FFFD. Rows that repeat id and text count as places of their own,
+    a character cut apart is left out, and the columns named in ``keep`` as they are. Rows that repeat id and text count as places of their own,
     so all of a long enough text goes from each.
     """
+    keep = keep or []
     given = _keyed(docs, id_col, text_col)
     ranges = repeated_ranges(given, length)
+    given = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"), *(F.col(c).alias(f"keep_{c}") for c in keep))
     spread = ranges.select("id", "h", "at", F.explode("ranges").alias("r")).select(
         "id", "h", (F.col("at") + F.col("r.low")).alias("low"), (F.col("at") + F.col("r.high") + length).alias("high"),
     )
     own = spread.groupBy("id", "h").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     same = given["id"].eqNullSafe(own["id"]) & (given["h"] == own["h"])
-    joined = given.join(own, same, "left").select(given["id"], given["text"], F.array_sort("spans").alias("spans"))
+    joined = given.join(own, same, "left").select(given["id"], given["text"], F.array_sort("spans").alias("spans"), *(f"keep_{c}" for c in keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
@@ -354,9 +358,10 @@ def deduplicate(
                         end = high
                 kept.append(data[end:])
                 left = b"".join(kept)
-                rows.append((len(data), removed, count, hashlib.sha256(left).hexdigest()) + ((None if text is None else left.decode("utf-8", "replace")),) * with_text)
-            yield [batch.column(0), *zip(*rows)] if rows else [batch.column(0)] + [[]] * (4 + with_text)
+                rows.append((len(data), removed, count, hashlib.sha256(left).hexdigest()) + ((None if text is None else left.decode("utf-8", "ignore")),) * with_text)
+            yield [batch.column(0), *(zip(*rows) if rows else [[]] * (4 + with_text)), *batch.columns[3:]]
 
     kind = given.schema["id"].dataType.simpleString()
     schema = f"{id_col} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * with_text
-    return map_batches(joined, run, schema)
+    fields = [StructField(f.name.removeprefix("keep_"), f.dataType) for f in joined.schema.fields[3:]]
+    return map_batches(joined, run, StructType(StructType.fromDDL(schema).fields + fields))
