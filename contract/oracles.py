@@ -147,7 +147,7 @@ _RAW = {
         SELECT item_id, title FROM popular ORDER BY md5('42:' || item_id), item_id LIMIT 5""",
     "sample_items": """
         SELECT item_id, title FROM items ORDER BY md5('42:' || item_id), item_id LIMIT 5""",
-    "sample_fraction": "SELECT count(*) AS n_pool, true AS from_pool FROM items",
+    "sample_fraction": "SELECT count(*) AS n_pool, true AS from_pool, true AS size_ok FROM items",
     "append_ratings": """
         SELECT user_id, count(*) AS n, sum(rating) AS sum_rating FROM ratings GROUP BY user_id""",
     "append_ratings_latest": """
@@ -159,6 +159,58 @@ _RAW = {
         FROM timed_ratings WHERE rated_at < TIMESTAMP '2000-01-01'
         UNION ALL
         SELECT CAST(2 AS BIGINT), count(*), sum(rating) FROM timed_ratings""",
+    "store_latest": """
+        SELECT user_id, item_id, CASE WHEN user_id % 3 = 0 THEN max(rating) / 2 ELSE newest END AS rating
+        FROM (SELECT user_id, item_id, rating, first_value(rating) OVER (
+                  PARTITION BY user_id, item_id ORDER BY rated_at DESC, rating DESC) AS newest
+              FROM timed_ratings)
+        GROUP BY user_id, item_id, newest""",
+    "ingest_two_inboxes": f"{_UPLOAD_FILES} UNION ALL {_UPLOAD_FILES}",
+    "rejected_rows": f"""
+        SELECT reason, count(*) AS n FROM (
+            SELECT 'bad_item' AS reason FROM lineitem
+            UNION ALL SELECT 'bad_item' FROM lineitem
+            UNION ALL SELECT 'bad_rating' FROM lineitem WHERE l_linestatus <> 'F'
+            UNION ALL SELECT 'rating_out_of_range' FROM lineitem WHERE l_quantity > 45)
+        GROUP BY reason
+        UNION ALL SELECT 'accepted', count(*) FROM ({_UPLOADED}) WHERE rating <= 45""",
+    "allocate_after_ingest": "SELECT request_id, user_id, is_new FROM allocated",
+    "submit_replayed": """
+        SELECT request_id, user_id, is_new, count(form_rows.item_id) AS n_rows,
+               CASE WHEN is_new THEN count(form_rows.item_id) END AS n_stored
+        FROM allocated LEFT JOIN form_rows USING (request_id) GROUP BY ALL""",
+    "allocate_twice": """
+        WITH top AS (SELECT coalesce(max(user_id), 0) AS m FROM early),
+        first_turn AS (
+            SELECT count(*) AS n FROM user_requests
+            WHERE user_id IS NULL OR user_id NOT IN (SELECT user_id FROM early)),
+        second_turn AS (
+            SELECT count(*) AS n FROM user_requests, top, first_turn
+            WHERE user_id IS NULL OR (user_id NOT IN (SELECT user_id FROM early)
+                                      AND NOT (user_id > m AND user_id <= m + first_turn.n)))
+        SELECT 0 AS turn, n AS n_new, n AS n_ids, m + 1 AS first_id, m + n AS last_id
+        FROM first_turn, top
+        UNION ALL
+        SELECT turn, s.n, s.n, m + f.n + 1, m + f.n + s.n
+        FROM first_turn f, second_turn s, top, (VALUES (1), (2)) AS t(turn)""",
+    "model_settings": """
+        WITH hashed AS (
+            SELECT user_id, item_id,
+                   CAST('0x' || substr(md5('12345:' || user_id || ':' || item_id), 1, 8) AS BIGINT)
+                       % 10 < 8 AS in_train
+            FROM early),
+        counted AS (
+            SELECT 1 AS version, 'keep' AS on_conflict, count(*) AS n_ratings,
+                   count(*) FILTER (WHERE in_train) AS n_train FROM hashed
+            UNION ALL
+            SELECT 2, 'latest', count(*), count(*) FILTER (WHERE in_train)
+            FROM (SELECT DISTINCT * FROM hashed))
+        SELECT CAST(version AS BIGINT) AS version, CAST(1 AS BIGINT) AS batch,
+               CAST(1 AS BIGINT) AS items_version, n_ratings, n_train, on_conflict,
+               'mllib' AS solver, 1 AS max_iter, 10 AS rank, CAST(12345 AS BIGINT) AS seed,
+               8 AS user_blocks, 8 AS item_blocks, CAST(12345 AS BIGINT) AS split_seed,
+               10 AS buckets, 8 AS train_buckets
+        FROM counted""",
     "known_users_range": """
         SELECT request_id, user_id, coalesce(user_id <= max_user_id, false) AS known
         FROM user_requests, largest""",
@@ -207,16 +259,17 @@ _RAW = {
         SELECT count(*) AS n, true AS rmse_matches FROM test
         WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
     "recommend_top_n": """
-        SELECT user_id, n_rows, true AS ranks_ok, true AS scores_ok, true AS distinct_ok
+        SELECT user_id, n_rows, true AS ranks_ok, true AS scores_ok, true AS distinct_ok,
+               true AS best_ok
         FROM (SELECT DISTINCT user_id FROM train), list_size""",
     "recommend_titles": """
         SELECT user_id, n_rows, true AS titles_ok
         FROM (SELECT DISTINCT user_id FROM train), list_size""",
     "recommend_subset_users": """
-        SELECT user_id, n_rows FROM (SELECT DISTINCT user_id FROM train), list_size
+        SELECT user_id, n_rows, true AS same FROM (SELECT DISTINCT user_id FROM train), list_size
         WHERE user_id IN (SELECT user_id FROM events UNION SELECT event_id FROM events)""",
     "recommend_unseen": """
-        SELECT user_id, least(10, n_items - n_seen) AS n_rows, true AS none_seen
+        SELECT user_id, least(10, n_items - n_seen) AS n_rows, true AS best_ok
         FROM (SELECT count(DISTINCT item_id) AS n_items FROM train),
              (SELECT user_id, count(DISTINCT item_id) AS n_seen FROM ratings
               WHERE item_id IN (SELECT item_id FROM train)

@@ -18,6 +18,7 @@ from ratingloom.operators import (
     append, evaluate, factorize, lookup, predict, profile, registry, sampling, topn,
 )
 from ratingloom.plans import checks, pipeline, submissions
+from ratingloom.plans.recommender import Recommender
 from ratingloom.plans.store import Store
 from ratingloom.sources import (
     accepted, csv_tables, exports, forms, rejected, stage, uploads,
@@ -312,8 +313,11 @@ def sample_fraction(spark, folder):
     pool = items(spark, folder)
     drawn = sampling.sample_fraction(pool, 0.05).distinct()
     foreign = drawn.join(pool, "item_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    n_drawn = drawn.agg(F.count(F.lit(1))).scalar()
+    # six standard deviations around a twentieth
+    off = F.abs(n_drawn - 0.05 * F.col("n_pool")) <= 6 * F.sqrt(0.0475 * F.col("n_pool"))
     return pool.agg(F.count(F.lit(1)).alias("n_pool")).select(
-        "n_pool", (foreign == 0).alias("from_pool")
+        "n_pool", (foreign == 0).alias("from_pool"), off.alias("size_ok")
     )
 
 
@@ -351,6 +355,110 @@ def append_versions(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def store_latest(spark, folder):
+    """A base with times, then a batch of the same pairs without times and with other ratings."""
+    base = timed_ratings(spark, folder)
+    store = Store.create(spark, fresh_path(spark, "store"))
+    store.append(base, "base")
+    again = base.filter("user_id % 3 = 0").select(
+        "user_id", "item_id", (F.col("rating") / 2).alias("rating")
+    )
+    store.append(again, "again")
+    return store.ratings(on_conflict="latest").drop("rated_at")
+
+
+@query
+def ingest_two_inboxes(spark, folder):
+    """Two streams with a checkpoint each into one store, one of them twice."""
+    store = Store.create(spark, fresh_path(spark, "store"))
+    inbox = write_upload_files(spark, folder)
+    for checkpoint in (fresh_path(spark, "stream"), fresh_path(spark, "stream")):
+        ingest_uploads(store, inbox, checkpoint).awaitTermination()
+    ingest_uploads(store, inbox, checkpoint).awaitTermination()
+    return store.ratings().drop("rated_at")
+
+
+@query
+def rejected_rows(spark, folder):
+    """What an upload leaves behind: reasons and counts, and what went in."""
+    lines = uploads.upload_lines(uploaded_texts(spark, folder))
+    store = Store.create(spark, fresh_path(spark, "store"))
+    batch = store.append(uploads.parse_lines(lines, max_rating=45), "upload")
+    counts = store.rejects().groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    logged = store.totals(batch)
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.unionByName(spark.range(1).select(
+        F.lit("accepted").alias("reason"),
+        F.when(total == logged["n_rejected"], F.lit(logged["n_ratings"])).alias("n"),
+    ))
+
+
+def registry_store(spark: SparkSession, folder: str) -> Recommender:
+    """A store of the early ratings under a quick model."""
+    base, _ = base_and_batch(spark, folder, EARLY_CUT)
+    store = Store.create(spark, fresh_path(spark, "store"))
+    pipeline.train_pipeline(store, items(spark, folder), base, replace(PRESET_B, max_iter=1))
+    return Recommender(store, als=replace(PRESET_B, max_iter=1))
+
+
+def new_ids(allocated: DataFrame, turn: int) -> DataFrame:
+    new = allocated.filter("is_new")
+    return new.agg(
+        F.lit(turn).alias("turn"), F.count(F.lit(1)).alias("n_new"),
+        F.countDistinct("user_id").alias("n_ids"), F.min("user_id").alias("first_id"),
+        F.max("user_id").alias("last_id"),
+    )
+
+
+@query
+def allocate_twice(spark, folder):
+    """The same requests twice, then a replay of the second: no id is given out again."""
+    engine = registry_store(spark, folder)
+    wanted = user_requests(spark, folder)
+    answers = [engine.create_users(wanted, source=name) for name in ("one", "two", "two")]
+    parts = [new_ids(answer, turn) for turn, answer in enumerate(answers)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def allocate_after_ingest(spark, folder):
+    """Ratings appended without a refit count for who is known and which id is free."""
+    engine = registry_store(spark, folder)
+    _, batch = base_and_batch(spark, folder, EARLY_CUT)
+    engine.store.append(batch, "late")
+    return engine.create_users(user_requests(spark, folder))
+
+
+@query
+def submit_replayed(spark, folder):
+    """A batch of forms handed in twice: one answer, one set of rows."""
+    engine = registry_store(spark, folder)
+    _, batch = base_and_batch(spark, folder, EARLY_CUT)
+    engine.store.append(batch, "late")
+    handed_in = customer_forms(spark, folder)
+    engine.submit(handed_in, "forms")
+    after, summary = engine.submit(handed_in, "forms")
+    added = after.store.ratings().join(
+        summary.filter("is_new").select("user_id"), "user_id", "left_semi"
+    ).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_stored"))
+    return summary.join(added, "user_id", "left").select(
+        "request_id", "user_id", "is_new", "n_rows",
+        F.when(F.col("is_new"), F.coalesce("n_stored", F.lit(0))).alias("n_stored"),
+    )
+
+
+@query
+def model_settings(spark, folder):
+    """What the log tells of two fits of one batch."""
+    engine = registry_store(spark, folder)
+    pipeline.refit(engine.store, replace(PRESET_B, max_iter=1), on_conflict="latest")
+    return engine.store.model_log().select(
+        "version", "batch", "items_version", "n_ratings", "n_train", "on_conflict", "solver", "max_iter", "rank", "seed", "user_blocks",
+        "item_blocks", "split_seed", "buckets", "train_buckets",
+    )
+
+
 @query
 def known_users_range(spark, folder):
     return registry.known_users(user_requests(spark, folder), ratings(spark, folder), "range")
@@ -455,8 +563,8 @@ def als_optimality_preset_b(spark, folder):
 
 @query
 def als_optimality_hot_keys(spark, folder):
-    """The route for hot keys, taken by allowing no more than ten rows per key."""
-    config = replace(PRESET_A, max_iter=1, max_rows_per_key=10, hot_pairs=30)
+    """The solver for hot keys, all rounds of the preset."""
+    config = replace(PRESET_B, solver="grouped_sums", hot_pairs=30)
     return _optimality(spark, folder, config)
 
 
@@ -479,10 +587,15 @@ def predict_ratings(spark, folder):
 @query
 def prediction_report(spark, folder):
     predictions = predict.predict(fitted(spark, folder), pair_requests(spark, folder))
-    report = predict.prediction_report(predictions, items(spark, folder))
-    shown = F.col("predicted_rating")
-    rounded = F.coalesce(shown == F.round(shown, 2), F.lit(False)).alias("has_rounded_rating")
-    return report.select("user_id", "item_id", "title", "status", rounded)
+    # The report of each pair, beside what it must have been made from.
+    report = predict.prediction_report(predictions, items(spark, folder)).distinct()
+    plain = predictions.select("user_id", "item_id", "prediction")
+    shown, exact = F.col("predicted_rating"), F.col("prediction").cast("double")
+    near = F.abs(shown - exact) <= 0.00501
+    rounded = F.coalesce((shown == F.round(shown, 2)) & near, F.lit(False))
+    return report.join(plain, ["user_id", "item_id"]).select(
+        "user_id", "item_id", "title", "status", rounded.alias("has_rounded_rating")
+    )
 
 
 @query
@@ -523,7 +636,10 @@ QUERIES["evaluate"] = evaluate_model
 
 @query
 def recommend_top_n(spark, folder):
-    return checks.list_shape(topn.recommend(fitted(spark, folder), TOP_N))
+    model = fitted(spark, folder)
+    lists = topn.recommend(model, TOP_N)
+    best = checks.nothing_better(model, lists, TOP_N).drop("n_rows")
+    return checks.list_shape(lists).join(best, "user_id")
 
 
 @query
@@ -539,20 +655,22 @@ def recommend_titles(spark, folder):
 
 @query
 def recommend_subset_users(spark, folder):
-    lists = topn.recommend(fitted(spark, folder), TOP_N, user_list(spark, folder))
-    return lists.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Lists of some users, each row beside that of the lists of all users."""
+    model = fitted(spark, folder)
+    lists = topn.recommend(model, TOP_N, user_list(spark, folder))
+    full = topn.recommend(model, TOP_N).select("user_id", "rank", F.col("score").alias("expected"))
+    same = F.coalesce(F.abs(F.col("score") - F.col("expected")) < 1e-5, F.lit(False))
+    return lists.join(full, ["user_id", "rank"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(same).alias("same")
+    )
 
 
 @query
 def recommend_unseen(spark, folder):
     rows = ratings(spark, folder)
-    lists = topn.recommend_unseen(fitted(spark, folder), TOP_N, rows)
-    seen = rows.select("user_id", "item_id", F.lit(True).alias("_seen")).distinct()
-    marked = lists.join(seen, ["user_id", "item_id"], "left")
-    return marked.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bool_and(F.col("_seen").isNull()).alias("none_seen"),
-    )
+    model = fitted(spark, folder)
+    lists = topn.recommend_unseen(model, TOP_N, rows)
+    return checks.nothing_better(model, lists, TOP_N, rows.select("user_id", "item_id").distinct())
 
 
 # Composed jobs

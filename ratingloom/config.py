@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-# They must equal the source system's for the same results.
+# They must equal the public data sets' and jobs' for the same results.
 SPLIT_SEED = 12345
 SAMPLE_SEED = 42
 POPULAR_LIMIT = 200
@@ -18,37 +17,29 @@ ID_MIN, ID_MAX = -(2**31), 2**31 - 1
 
 @dataclass(frozen=True)
 class AlsConfig:
-    """Hyper-parameters of one explicit-feedback fit.
+    """Settings of one explicit-feedback fit; all of them go to the model log.
 
-    ``blocks`` fixes the number of user and item blocks. Left at None it follows the row count
-    alone, never the cluster, because the starting factors are drawn per block: the same ratings
-    must give the same model on 8 cores and on 8,000.
+    Nothing here follows the size of the data: starting factors are drawn per block, so the same
+    ratings under the same settings give the same model whatever is appended elsewhere and whatever
+    the cluster. Choose ``user_blocks`` and ``item_blocks`` once, for the largest size expected;
+    MLlib keeps their product in builders of each task, so it should stay in the tens of thousands.
     """
 
     max_iter: int = MAX_ITER_A
     reg_param: float = REG_PARAM_A
     rank: int = 10
     seed: int = SPLIT_SEED
-    blocks: int | None = None
-    min_blocks: int = 8
-    max_blocks: int = 2000
-    rows_per_block: int = 5_000_000
+    user_blocks: int = 8
+    item_blocks: int = 8
+    # ``mllib``, or ``grouped_sums`` for ratings of which one key holds more than a block can.
+    solver: str = "mllib"
     checkpoint_interval: int = 5
-    # An ALS block is held as arrays. A key or a block with more rows than this is too much for
-    # one task, and the fit takes the route of grouped sums.
-    max_rows_per_key: int = 50_000_000
-    # On that route, keys with more (user, item) pairs than this are summed before they move.
+    # MLlib holds a block as arrays: a fit is refused, not rerouted, if a key or the average block
+    # has more rows than this.
+    max_rows_per_block: int = 50_000_000
+    # In grouped sums, keys with more (user, item) pairs than this are summed before they move.
     hot_pairs: int = 1_000_000
 
-    def block_count(self, n_rows: int | None) -> int:
-        if self.blocks is not None:
-            return self.blocks
-        wanted = math.ceil((n_rows or 0) / self.rows_per_block)
-        return max(self.min_blocks, min(self.max_blocks, wanted))
-
-    def fits_in_blocks(self, n_rows: int) -> bool:
-        return n_rows <= self.block_count(n_rows) * self.max_rows_per_key
-
 
 PRESET_A = AlsConfig()
 PRESET_B = AlsConfig(max_iter=MAX_ITER_B, reg_param=REG_PARAM_B)

@@ -24,22 +24,37 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
 def fit(train: DataFrame, config: AlsConfig = AlsConfig(), n_rows: int | None = None) -> ALSModel:
     """Explicit-feedback ALS; repeated (user, item) rows each weigh in.
 
-    MLlib keeps all ratings of a user, and of an item, in one block. If one holds too many for
-    that, or all blocks together do, the same problem is solved by grouped sums instead.
-    ``n_rows`` saves a count; the largest key is looked for only if there are enough rows.
+    The settings alone choose the solver. ``n_rows`` saves a count.
     """
-    n_rows = train.count() if n_rows is None else n_rows
-    if not config.fits_in_blocks(n_rows):
+    if config.solver == "grouped_sums":
         return fit_by_sums(usable_ratings(train), config)
-    if n_rows > config.max_rows_per_key:
-        if max(hottest_keys(train).first()) > config.max_rows_per_key:
-            return fit_by_sums(usable_ratings(train), config)
+    if config.solver != "mllib":
+        raise ValueError(f"unknown solver {config.solver!r}")
+    check_blocks(train, config, train.count() if n_rows is None else n_rows)
     shared_dir(train.sparkSession)  # where long fits cut their lineage
-    return estimator(config, n_rows).fit(usable_ratings(train))
-
-
-def estimator(config: AlsConfig, n_rows: int) -> ALS:
-    blocks = config.block_count(n_rows)
+    return estimator(config).fit(usable_ratings(train))
+
+
+def check_blocks(train: DataFrame, config: AlsConfig, n_rows: int) -> None:
+    """Refuse a fit whose ratings MLlib's blocks can't hold. A key has at most all rows, so the
+    largest one is looked for only where it could be too large."""
+    most = config.max_rows_per_block
+    average = n_rows / min(config.user_blocks, config.item_blocks)
+    if average > most:
+        raise ValueError(
+            f"{n_rows} ratings make blocks of {average:.0f} rows on average, above "
+            f"max_rows_per_block={most}: raise user_blocks and item_blocks"
+        )
+    if n_rows > most:
+        largest = max(hottest_keys(train).first())
+        if largest > most:
+            raise ValueError(
+                f"one user or item has {largest} ratings, above max_rows_per_block={most}: "
+                "set solver='grouped_sums'"
+            )
+
+
+def estimator(config: AlsConfig) -> ALS:
     return ALS(
         userCol="user_id",
         itemCol="item_id",
@@ -48,8 +63,8 @@ def estimator(config: AlsConfig, n_rows: int) -> ALS:
         maxIter=config.max_iter,
         regParam=config.reg_param,
         seed=config.seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=config.user_blocks,
+        numItemBlocks=config.item_blocks,
         implicitPrefs=False,
         nonnegative=False,
         checkpointInterval=config.checkpoint_interval,
@@ -58,7 +73,7 @@ def estimator(config: AlsConfig, n_rows: int) -> ALS:
 
 
 def fit_by_sums(ratings: DataFrame, config: AlsConfig) -> ALSModel:
-    """ALS for ratings of which one user or item may hold a large share.
+    """ALS for ratings of which one user or item may hold a large share, as an explicit choice.
 
     The model is stored in MLlib's format around a fit of the first rating, so that it loads and
     scores like any other.
@@ -66,7 +81,7 @@ def fit_by_sums(ratings: DataFrame, config: AlsConfig) -> ALSModel:
     spark = ratings.sparkSession
     users, items = alternate(ratings, config)
     path = fresh_path(spark, "model")
-    save_model(estimator(config, 1).fit(ratings.limit(1)), path)
+    save_model(estimator(config).fit(ratings.limit(1)), path)
     for name, table, key in (("userFactors", users, "user_id"), ("itemFactors", items, "item_id")):
         stage(table.select(F.col(key).alias("id"), "features"), f"{path}/{name}")
     return load_model(path)

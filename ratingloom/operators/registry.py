@@ -2,98 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.operators.profile import distinct_users, max_user_id
+from ratingloom.sources.staging import stage
+from ratingloom.workspace import fresh_path
 
-# The range boundaries are literals of the plan, so their number is bounded.
-MAX_RANGES = 512
 
-
-def known_users(requests: DataFrame, ratings: DataFrame, mode: str = "exists") -> DataFrame:
-    """Add ``known``. ``exists``: the user has a rating. ``range``: the id is not above the
-    largest one in use, whether it has ratings or not."""
+def known_users(
+    requests: DataFrame, users: DataFrame, mode: str = "exists", largest: int | None = None
+) -> DataFrame:
+    """Add ``known``. ``exists``: the user is among ``users`` (any table with ``user_id``, such as
+    the ratings). ``range``: the id is not above the largest one in use, whether it is there or
+    not; ``largest`` saves looking for it."""
     if mode == "range":
-        within = F.col("user_id") <= max_user_id(ratings).scalar()
+        top = max_user_id(users).scalar() if largest is None else F.lit(largest)
+        within = F.col("user_id") <= top
         return requests.withColumn("known", F.coalesce(within, F.lit(False)))
     if mode != "exists":
         raise ValueError(f"unknown mode {mode!r}")
-    return _join_known(requests, distinct_users(ratings))
+    return _join_known(requests, distinct_users(users))
 
 
 def _join_known(requests: DataFrame, users: DataFrame) -> DataFrame:
+    """Requests without an id are known without a join, which would bring them all to one task."""
     marked = users.withColumn("_known", F.lit(True))
-    return (
-        requests.join(marked, "user_id", "left")
+    named = requests.filter(F.col("user_id").isNotNull())
+    nameless = requests.filter(F.col("user_id").isNull()).withColumn("known", F.lit(False))
+    joined = (
+        named.join(marked, "user_id", "left")
         .withColumn("known", F.coalesce("_known", F.lit(False)))
         .select(*requests.columns, "known")
     )
+    return joined.unionByName(nameless)
+
+
+def repeated_requests(requests: DataFrame) -> DataFrame:
+    """``request_id, n`` of ids that several requests use."""
+    counted = requests.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") > 1)
 
 
-def allocate_users(requests: DataFrame, ratings: DataFrame, mode: str = "exists") -> DataFrame:
+def allocate_users(
+    requests: DataFrame, users: DataFrame, mode: str = "exists", largest: int | None = None
+) -> DataFrame:
     """``request_id, user_id, is_new`` for requests ``request_id, user_id`` (null: any new id).
 
-    ``request_id`` must be unique; new ids follow its order.
+    ``users`` is any table with ``user_id``; ``largest`` saves looking for the largest id in it.
+    ``request_id`` must be unique (see ``repeated_requests``); new ids follow its order.
 
-    ``exists``: a user with ratings keeps its id, every other request gets the next free one.
+    ``exists``: a user that is there keeps its id, every other request gets the next free one.
     ``range``: requests are taken one after the other against a running largest id. A null
     raises it by one and gets it; an id above it is new and becomes the largest; an id up to it
     is known and kept.
 
     Both rules are prefix sums over the requests, so they are done as a two-level scan: requests
-    are cut into ranges of ``request_id`` by quantiles, scanned within each range in parallel,
-    and shifted by the totals of the ranges before. No window runs over all rows.
+    are range-partitioned by ``request_id`` and written with the number of their partition, scanned
+    within each in parallel, and shifted by the totals of the partitions before. No window runs
+    over all rows, and there are as many ranges as the session has shuffle partitions.
     """
+    if mode not in ("exists", "range"):
+        raise ValueError(f"unknown mode {mode!r}")
+    top = max_user_id(users).scalar() if largest is None else F.lit(largest)
+    counted = requests.select("request_id", "user_id")
     if mode == "exists":
-        users = distinct_users(ratings)
-        largest = max_user_id(users).scalar()
-        counted = _join_known(requests.select("request_id", "user_id"), users)
+        counted = _join_known(counted, distinct_users(users))
         counted = counted.withColumn("_step", (~F.col("known")).cast("bigint"))
         counted = counted.withColumn("_floor", F.lit(None).cast("bigint"))
-    elif mode == "range":
-        largest = max_user_id(ratings).scalar()
-        counted = requests.select("request_id", "user_id")
+    else:
         counted = counted.withColumn("_step", F.col("user_id").isNull().cast("bigint"))
         counted = counted.withColumn("_floor", F.col("user_id"))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
 
-    scanned = _prefix_scan(counted, "request_id", _range_number(requests, "request_id"))
+    scanned = _prefix_scan(counted, "request_id")
     if mode == "exists":
         is_new = ~F.col("known")
-        user_id = F.when(is_new, largest + F.col("_steps")).otherwise(F.col("user_id"))
+        user_id = F.when(is_new, top + F.col("_steps")).otherwise(F.col("user_id"))
     else:
         # Largest id after this request's own step and before its own explicit id.
-        running = F.col("_steps") + F.greatest(largest, F.col("_floors"))
+        running = F.col("_steps") + F.greatest(top, F.col("_floors"))
         is_new = F.col("user_id").isNull() | (F.col("user_id") > running)
         user_id = F.coalesce("user_id", running)
     return scanned.select("request_id", user_id.alias("user_id"), is_new.alias("is_new"))
 
 
-def _range_number(requests: DataFrame, key: str) -> Column:
-    """Number of the quantile range a row's key lies in; the same for equal keys."""
-    wanted = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, min(MAX_RANGES, wanted))
-    if ranges == 1:
-        return F.lit(0)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = requests.agg(F.percentile_approx(key, shares, 100 * ranges)).first()[0]
-    bounds = F.array(*[F.lit(c).cast("bigint") for c in sorted(set(cuts or []))])
-    return F.size(F.filter(bounds, lambda cut: cut < F.col(key)))
-
-
-def _prefix_scan(counted: DataFrame, key: str, range_number: Column) -> DataFrame:
+def _prefix_scan(counted: DataFrame, key: str) -> DataFrame:
     """Add ``_steps``, the sum of ``_step`` up to and with the row, and ``_floors``, the largest
     ``_floor`` less its own ``_steps`` over the rows before."""
-    ranged = counted.withColumn("_range", range_number)
+    ranges = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = counted.repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id())
+    ranged = stage(numbered, fresh_path(counted.sparkSession, "ranges"))
     upto = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local_steps", F.sum("_step").over(upto))
     local = local.withColumn("_height", F.col("_floor") - F.col("_local_steps"))
     local = local.withColumn("_local_floors", F.max("_height").over(before))
 
-    # One row per range, at most MAX_RANGES of them: small enough for one window and a broadcast.
+    # One row per range: small enough for one window and a broadcast.
     totals = local.groupBy("_range").agg(
         F.max("_local_steps").alias("_n"), F.max("_height").alias("_top")
     )

@@ -8,16 +8,10 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratingloom.functions import dot
 from ratingloom.operators.factorize import factors, fits_id_range
 from ratingloom.sources.staging import stage
 from ratingloom.workspace import fresh_path
 
-# Longest list asked for per user before items are scored block by block instead.
-WIDEST_LIST = 4096
-# Items per block. Small, because the unseen items of a block are found by comparing arrays.
-BLOCK_SIZE = 1024
-
 
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
     """``user_id, rank, item_id, score``: the n best items of the given users, or of all.
@@ -53,40 +47,31 @@ def with_titles(recommendations: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def recommend_unseen(
-    model: ALSModel, n: int, ratings: DataFrame, users: DataFrame | None = None,
-    widest: int = WIDEST_LIST,
+    model: ALSModel, n: int, ratings: DataFrame, users: DataFrame | None = None
 ) -> DataFrame:
     """Like ``recommend``, without the items the user rated already. Exact for every user.
 
-    Lists a little longer than n nearly always hold n unseen items. Users for whom they do not
-    are asked again for longer and longer lists, and those whose list would exceed ``widest``
-    take the block-wise route. Each round is a written table, so no work is done twice.
+    The best n + s items of a user who rated s items hold n unseen ones. Users are asked for by
+    the power of two that is next to it, so there are some twenty widths at most and every user
+    goes the same way; what was seen is looked up for the asked users only.
     """
-    folder = fresh_path(ratings.sparkSession, "unseen")
     trained = factors(model, "user").select("user_id")
-    pending = trained if users is None else trained.join(users, "user_id", "left_semi")
-    # Repeats go before the shuffle, and the anti-join needs no other one.
-    seen = ratings.select("user_id", "item_id").distinct()
+    asked = trained if users is None else trained.join(users.select("user_id"), "user_id", "left_semi")
+    rated = ratings.select("user_id", "item_id")
+    if users is not None:
+        rated = rated.join(asked, "user_id", "left_semi")
+    seen = rated.distinct()
     n_items = model.itemFactors.count()
-    finished, width = [], 2 * n
-    while width <= widest:
-        lists = recommend(model, width, pending if finished or users is not None else None)
-        unseen = lists.join(seen, ["user_id", "item_id"], "left_anti")
-        found = stage(_best(unseen, n), f"{folder}/width={width}")
-        finished.append(found)
-        if width >= n_items:
-            break
-        full = found.filter(F.col("rank") == n).select("user_id")
-        pending = stage(pending.join(full, "user_id", "left_anti"), f"{folder}/pending={width}")
-        if pending.isEmpty():
-            break
-        # A list that fell short is found again, longer.
-        finished[-1] = found.join(full, "user_id", "left_semi")
-        seen = seen.join(pending, "user_id", "left_semi")
-        width *= 8
-    else:
-        finished.append(_best(_best_per_block(model, n, pending, seen), n))
-    return reduce(DataFrame.unionByName, finished)
+    counted = asked.join(seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("s")), "user_id", "left")
+    power = F.pow(F.lit(2.0), F.ceil(F.log2(F.coalesce("s", F.lit(0)) + n)))
+    width = F.least(power, F.lit(n_items)).cast("int")
+    wanted = stage(counted.select("user_id", width.alias("width")), fresh_path(ratings.sparkSession, "unseen"))
+    widths = sorted(r.width for r in wanted.select("width").distinct().collect())
+    if not widths:
+        return recommend(model, n, wanted)
+    lists = [recommend(model, k, wanted.filter(F.col("width") == k)) for k in widths]
+    unseen = reduce(DataFrame.unionByName, lists).join(seen, ["user_id", "item_id"], "left_anti")
+    return _best(unseen, n)
 
 
 def _best(candidates: DataFrame, n: int) -> DataFrame:
@@ -96,51 +81,3 @@ def _best(candidates: DataFrame, n: int) -> DataFrame:
         .filter(F.col("rank") <= n)
         .select("user_id", "rank", "item_id", "score")
     )
-
-
-def _best_per_block(
-    model: ALSModel, n: int, users: DataFrame, seen: DataFrame, block_size: int = BLOCK_SIZE
-) -> DataFrame:
-    """The n best unseen items of each user out of each block of items.
-
-    Items are cut into blocks of about ``block_size``. A user's row meets a block's row, scores
-    its items and keeps n of them: rows grow with users times blocks, not users times items, and
-    no row or group is larger than a block. Seen items are grouped per user and block, which
-    bounds them as well, since an item is in one block.
-    """
-    items = factors(model, "item")
-    n_blocks = max(1, -(-items.count() // block_size))
-    block_of = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)).cast("int")
-    entry = F.struct("item_id", "item_factor")
-    blocks = items.groupBy(block_of.alias("block")).agg(F.collect_list(entry).alias("entries"))
-    seen_there = (
-        seen.join(users, "user_id", "left_semi")
-        .groupBy("user_id", block_of.alias("block"))
-        .agg(F.collect_set("item_id").alias("seen"))
-    )
-    wanted = (
-        users.join(factors(model, "user"), "user_id")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-        .join(seen_there, ["user_id", "block"], "left")
-    )
-    # Negated scores sort the best first and equal ones by item id.
-    scored = F.transform(
-        "entries",
-        lambda e: F.struct(
-            (-dot(F.col("user_factor"), e["item_factor"], model.rank).cast("float")).alias("cost"),
-            e["item_id"].alias("item_id"),
-        ),
-    )
-    unseen = F.when(F.col("seen").isNull(), F.col("scored")).otherwise(
-        F.filter("scored", lambda e: ~F.array_contains(F.col("seen"), e["item_id"]))
-    )
-    best = F.slice(F.array_sort(unseen), 1, n)
-    return (
-        wanted.join(blocks, "block")
-        .select("user_id", "seen", scored.alias("scored"))
-        .select("user_id", F.explode(best).alias("entry"))
-        .select(
-            "user_id", F.col("entry.item_id").alias("item_id"),
-            (-F.col("entry.cost")).alias("score"),
-        )
-    )

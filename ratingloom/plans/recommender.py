@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,6 @@ from ratingloom.operators import lookup, predict, profile, registry, sampling, t
 from ratingloom.plans import pipeline, submissions
 from ratingloom.plans.store import Store
 from ratingloom.sources import csv_tables, uploads
-from ratingloom.sources.rejects import accepted
-from ratingloom.sources.staging import stage
-from ratingloom.workspace import fresh_path
 
 
 class Recommender:
@@ -22,8 +21,9 @@ class Recommender:
         self.store, self.als = store, als
         self.version = store.latest_version() if version is None else version
         self.model = store.model(self.version)
-        self.items = store.items()
-        self.ratings = store.ratings(self.version)
+        row = self.log().first()
+        self.items = store.items(row.items_version)
+        self.ratings = store.ratings(row.batch, on_conflict=row.on_conflict)
 
     @classmethod
     def train(
@@ -44,13 +44,27 @@ class Recommender:
         """Sizes, settings and hold-out error of this version."""
         return self.store.model_log().filter(F.col("version") == self.version)
 
-    # Users
+    # Users. Who exists and which ids are taken is asked of the store as it is now, whatever
+    # version this view shows.
 
     def known_users(self, requests: DataFrame, mode: str = "exists") -> DataFrame:
-        return registry.known_users(requests, self.ratings, mode)
+        store = self.store
+        return registry.known_users(requests, store.users(), mode, store.largest_user_id())
 
-    def create_users(self, requests: DataFrame, mode: str = "exists") -> DataFrame:
-        return registry.allocate_users(requests, self.ratings, mode)
+    def create_users(
+        self, requests: DataFrame, mode: str = "exists", source: str | None = None
+    ) -> DataFrame:
+        """Ids for requests. They are taken from then on; the same source gets the same answer."""
+        source = source or f"requests:{uuid.uuid4().hex}"
+        answer = self.store.answered(source)
+        if answer is not None:
+            return answer
+        repeats = registry.repeated_requests(requests)
+        if not repeats.isEmpty():
+            raise ValueError(f"request_id {repeats.first().request_id} is used more than once")
+        store = self.store
+        allocated = registry.allocate_users(requests, store.users(), mode, store.largest_user_id())
+        return store.put_users(allocated, source)
 
     # Items
 
@@ -71,28 +85,32 @@ class Recommender:
     def ratings_for(self, users: DataFrame) -> DataFrame:
         return lookup.user_ratings(self.ratings, users).select("user_id", "item_id", "rating")
 
-    def add_ratings(self, new: DataFrame, source: str, **limits) -> "Recommender":
-        pipeline.add_ratings(self.store, new, source, self.als, **limits)
+    def add_ratings(self, new: DataFrame, source: str, **options) -> "Recommender":
+        """``options``: ``min_rating``, ``max_rating``, ``on_conflict``."""
+        pipeline.add_ratings(self.store, new, source, self.als, **options)
         return Recommender(self.store, als=self.als)
 
-    def upload(self, path: str, source: str, **limits) -> "Recommender":
+    def upload(
+        self, path: str, source: str, min_rating: float | None = None,
+        max_rating: float | None = None, on_conflict: str = "keep",
+    ) -> "Recommender":
         """Add the rating files under ``path/user_id=<id>/``."""
-        parsed = uploads.parse_lines(uploads.read_uploads(self.store.spark, path), **limits)
-        return self.add_ratings(accepted(parsed), source)
+        lines = uploads.read_uploads(self.store.spark, path)
+        parsed = uploads.parse_lines(lines, min_rating, max_rating)
+        return self.add_ratings(parsed, source, on_conflict=on_conflict)
 
     def submit(
-        self, forms: DataFrame, source: str, mode: str = "exists"
+        self, forms: DataFrame, source: str, mode: str = "exists", on_conflict: str = "keep"
     ) -> tuple["Recommender", DataFrame]:
         """Add the ratings of a batch of forms; also returns who was created.
 
-        The allocated ids are written down first, so that the ratings and the answer agree
-        whatever is recomputed.
+        The allocated ids are written down first, under the source, so that the ratings and the
+        answer agree whatever is recomputed or replayed.
         """
-        allocated = submissions.submitting_users(forms, self.ratings, mode)
-        users = stage(allocated, fresh_path(self.store.spark, "submitting-users"))
-        rows = submissions.submitted_ratings(forms, users)
+        users = self.create_users(forms.select("request_id", "user_id"), mode, f"forms:{source}")
+        rows = submissions.submitted_ratings(forms, users).drop("request_id")
         summary = submissions.submission_summary(forms, users)
-        return self.add_ratings(accepted(rows), source), summary
+        return self.add_ratings(rows, source, on_conflict=on_conflict), summary
 
     # Predictions
 

@@ -1,17 +1,20 @@
-"""Versioned tables in one folder: items, rating batches, models and their logs.
+"""Versioned tables in one folder: items, rating batches, users given out, models and their logs.
 
-Nothing is changed in place. Ratings grow by one partition ``batch=<n>`` per append and a batch
-counts only once its row is in the rating log, so a job that dies half-way leaves nothing visible
-and can simply be run again. A model directory holds the model trained on the batches up to its
-version. One writer at a time; any number of readers.
+Nothing is changed in place but by ``compact``. Ratings grow by one folder ``batch=<n>`` per append
+and a batch counts only once its row is in the rating log, so a job that dies half-way leaves
+nothing visible and can simply be run again. Item tables, answers to requests for users and models
+have folders of their own, named by their logs. One writer at a time; any number of readers.
 
-Within a batch, rows lie in ``part=train`` or ``part=test`` as the content hash decides. The hash
-is thus computed once per row, on arrival; a fit reads only the train files and an evaluation only
-the test files.
+Within a batch, rows lie in ``part=train``, ``part=test`` or ``part=reject``, as the content hash
+and the checks decide. Both are computed once per row, on arrival; a fit reads only the train files
+and an evaluation only the test files. Refused rows stay with the reason they were refused for.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import asdict
+
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +24,15 @@ from ratingloom.config import SplitConfig
 from ratingloom.operators.append import latest_ratings
 from ratingloom.operators.factorize import load_model, save_model
 from ratingloom.operators.sampling import split_part
-from ratingloom.sources.staging import ranged, read_staged, stage
+from ratingloom.sources.staging import read_staged, spread, stage
 
 STORED_RATINGS = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("item_id", T.LongType()),
     T.StructField("rating", T.DoubleType()),
     T.StructField("rated_at", T.TimestampType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("reason", T.StringType()),
     T.StructField("batch", T.LongType()),
     T.StructField("part", T.StringType()),
 ])
@@ -43,20 +48,51 @@ RATING_LOG = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("n_train", T.LongType()),
     T.StructField("n_test", T.LongType()),
+    T.StructField("n_rejected", T.LongType()),
+    T.StructField("max_user_id", T.LongType()),
+    T.StructField("fingerprint", T.LongType()),
+])
+
+USER_LOG = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("n_new", T.LongType()),
     T.StructField("max_user_id", T.LongType()),
 ])
 
+ITEM_LOG = T.StructType([
+    T.StructField("items_version", T.LongType()),
+    T.StructField("n_items", T.LongType()),
+])
+
 MODEL_LOG = T.StructType([
     T.StructField("version", T.LongType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("items_version", T.LongType()),
     T.StructField("n_ratings", T.LongType()),
     T.StructField("max_user_id", T.LongType()),
     T.StructField("n_train", T.LongType()),
     T.StructField("n_test", T.LongType()),
+    T.StructField("n_rejected", T.LongType()),
     T.StructField("n_scored", T.LongType()),
     T.StructField("rmse", T.DoubleType()),
+    T.StructField("on_conflict", T.StringType()),
+    T.StructField("solver", T.StringType()),
     T.StructField("max_iter", T.IntegerType()),
     T.StructField("reg_param", T.DoubleType()),
     T.StructField("rank", T.IntegerType()),
+    T.StructField("seed", T.LongType()),
+    T.StructField("user_blocks", T.IntegerType()),
+    T.StructField("item_blocks", T.IntegerType()),
+    T.StructField("split_seed", T.LongType()),
+    T.StructField("buckets", T.IntegerType()),
+    T.StructField("train_buckets", T.IntegerType()),
+])
+
+ALLOCATED = T.StructType([
+    T.StructField("request_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("is_new", T.BooleanType()),
 ])
 
 
@@ -75,6 +111,8 @@ class Store:
         for name, rows, schema in (
             ("settings", [setting], SETTINGS),
             ("rating_log", [], RATING_LOG),
+            ("user_log", [], USER_LOG),
+            ("item_log", [], ITEM_LOG),
             ("model_log", [], MODEL_LOG),
         ):
             table = spark.createDataFrame(rows, schema).coalesce(1)
@@ -83,74 +121,169 @@ class Store:
 
     # Items
 
-    def put_items(self, items: DataFrame) -> DataFrame:
-        return stage(items, f"{self.path}/items", cluster_by=["item_id"])
+    def put_items(self, items: DataFrame) -> int:
+        """Write a new version of the item table; older versions stay as they are."""
+        version = (self.items_version() or 0) + 1
+        table = stage(items, f"{self.path}/items/version={version}", cluster_by=["item_id"])
+        self._add("item_log", ITEM_LOG, (version, table.count()))
+        return version
+
+    def items_version(self) -> int | None:
+        return self._log("item_log", ITEM_LOG).agg(F.max("items_version")).first()[0]
 
-    def items(self) -> DataFrame:
-        return read_staged(self.spark, f"{self.path}/items")
+    def items(self, version: int | None = None) -> DataFrame:
+        version = self.items_version() if version is None else version
+        return read_staged(self.spark, f"{self.path}/items/version={version}")
 
     # Ratings
 
     def append(self, ratings: DataFrame, source: str) -> int:
-        """Write a batch and return its number. A source already in the log is not written
-        again, so replaying an append is harmless.
+        """Write a batch and return its number. Rows with a ``reason`` are kept as rejects.
 
-        Files are clustered by user for look-ups. What the log tells about the batch is counted
-        by the writing tasks, after the shuffle, where each row is met once."""
-        done = self.rating_log().filter(F.col("source") == source).select("batch").first()
+        A source already in the log is not written again, so replaying an append is harmless; other
+        rows under the same source are an error. Files are clustered by user for look-ups. The
+        input is computed once; what the log tells about the batch is counted by the writing tasks.
+        """
+        given = dict(ratings.dtypes)
+        rows = ratings.select(
+            "user_id", "item_id", F.col("rating").cast("double").alias("rating"), *[
+                (F.col(c) if c in given else F.lit(None)).cast(kind).alias(c)
+                for c, kind in (("rated_at", "timestamp"), ("line", "string"), ("reason", "string"))
+            ],
+        )
+        content = F.bit_xor(F.xxhash64(*rows.columns)).alias("fingerprint")
+        done = self.rating_log().filter(F.col("source") == source).first()
         if done is not None:
+            seen = rows.agg(content, F.count(F.lit(1)).alias("n")).first()
+            n = done.n_train + done.n_test + done.n_rejected
+            if (seen.fingerprint, seen.n) != (done.fingerprint, n):
+                raise ValueError(f"source {source!r} is batch {done.batch}, which has other rows")
             return done.batch
         batch = self.latest_batch() + 1
-        rated_at = F.col("rated_at") if "rated_at" in ratings.columns else F.lit(None)
-        rows = ratings.select(
-            "user_id", "item_id", "rating", rated_at.cast("timestamp").alias("rated_at")
-        )
-        parted = ranged(rows, "user_id").withColumn("part", split_part(self.split))
+        part = F.when(F.col("reason").isNotNull(), "reject").otherwise(split_part(self.split))
+        parted = spread(rows, "user_id").withColumn("part", part)
+        good = F.col("part") != "reject"
         written = Observation()
         observed = parted.sortWithinPartitions("part", "user_id").observe(
             written,
             F.count_if(F.col("part") == "train").alias("n_train"),
             F.count_if(F.col("part") == "test").alias("n_test"),
-            F.max("user_id").alias("max_user_id"),
+            F.count_if(~good).alias("n_rejected"),
+            F.max(F.when(good, F.col("user_id"))).alias("max_user_id"),
+            content,
         )
         observed.write.mode("overwrite").partitionBy("part").parquet(
             f"{self.path}/ratings/batch={batch}"
         )
-        seen = written.get
-        entry = (batch, source, seen["n_train"], seen["n_test"], seen["max_user_id"])
-        self._add("rating_log", RATING_LOG, entry)
+        self._add("rating_log", RATING_LOG, (batch, source, *[
+            written.get[c]
+            for c in ("n_train", "n_test", "n_rejected", "max_user_id", "fingerprint")
+        ]))
         return batch
 
     def latest_batch(self) -> int:
         return self.rating_log().agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
 
+    def _stored(self, upto: int) -> DataFrame:
+        if upto == 0:
+            return self.spark.createDataFrame([], STORED_RATINGS)
+        table = self.spark.read.schema(STORED_RATINGS).parquet(f"{self.path}/ratings")
+        return table.filter(F.col("batch") <= upto)
+
     def ratings(
         self, upto: int | None = None, part: str | None = None, on_conflict: str = "keep"
     ) -> DataFrame:
-        """Ratings as of a batch, of one part or both. Batch and part prune whole folders."""
-        upto = self.latest_batch() if upto is None else upto
-        if upto == 0:
-            return self.spark.createDataFrame([], T.StructType(STORED_RATINGS.fields[:4]))
-        table = self.spark.read.schema(STORED_RATINGS).parquet(f"{self.path}/ratings")
-        table = table.filter(F.col("batch") <= upto)
-        if part is not None:
-            table = table.filter(F.col("part") == part)
-        table = table.drop("batch", "part")
-        return latest_ratings(table) if on_conflict == "latest" else table
-
-    def totals(self, upto: int) -> dict:
-        """``n_ratings, n_train, n_test, max_user_id`` from the log."""
+        """Ratings as of a batch, of one part or both. Batch and part prune whole folders.
+
+        ``latest`` keeps one row per user and item: of the last batch, then by time, then rating.
+        """
+        table = self._stored(self.latest_batch() if upto is None else upto)
+        wanted = F.col("part").isin("train", "test") if part is None else F.col("part") == part
+        table = table.filter(wanted).drop("line", "reason", "part")
+        return latest_ratings(table, "batch") if on_conflict == "latest" else table.drop("batch")
+
+    def rejects(self, upto: int | None = None) -> DataFrame:
+        """Refused rows of all batches, as far as they could be read, with their reasons."""
+        table = self._stored(self.latest_batch() if upto is None else upto)
+        return table.filter(F.col("part") == "reject").drop("part")
+
+    def totals(self, upto: int, on_conflict: str = "keep") -> dict:
+        """``n_ratings, n_train, n_test, n_rejected, max_user_id`` as of a batch: from the log, or,
+        where pairs are reduced to their latest row, counted."""
         batches = self.rating_log().filter(F.col("batch") <= upto)
-        return batches.agg(
-            F.coalesce(F.sum(F.col("n_train") + F.col("n_test")), F.lit(0)).alias("n_ratings"),
-            F.coalesce(F.sum("n_train"), F.lit(0)).alias("n_train"),
-            F.coalesce(F.sum("n_test"), F.lit(0)).alias("n_test"),
+        names = ("n_train", "n_test", "n_rejected")
+        totals = batches.agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
             F.coalesce(F.max("max_user_id"), F.lit(0)).alias("max_user_id"),
         ).first().asDict()
+        if on_conflict == "latest":
+            for part in ("train", "test"):
+                totals[f"n_{part}"] = self.ratings(upto, part, on_conflict).count()
+        return totals | {"n_ratings": totals["n_train"] + totals["n_test"]}
 
     def rating_log(self) -> DataFrame:
         return self._log("rating_log", RATING_LOG)
 
+    def compact(self, upto: int | None = None) -> str:
+        """Rewrite the store as of a batch into a new folder with one file set per part and log.
+
+        Readers of the old folder are not disturbed; the caller moves on to the new one, whose
+        path is returned. Batches keep their numbers, so models keep what they were fitted on.
+        """
+        upto = self.latest_batch() if upto is None else upto
+        path = f"{self.path}-compact-{uuid.uuid4().hex}"
+        target = Store.create(self.spark, path, self.split)
+        rows = spread(self._stored(upto), "batch", "part").sortWithinPartitions("batch", "part", "user_id")
+        rows.write.mode("append").partitionBy("batch", "part").parquet(f"{path}/ratings")
+        for name, schema in (
+            ("rating_log", RATING_LOG), ("user_log", USER_LOG), ("item_log", ITEM_LOG), ("model_log", MODEL_LOG),
+        ):
+            self._log(name, schema).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+        for row in self._log("item_log", ITEM_LOG).collect():
+            stage(self.items(row.items_version), f"{path}/items/version={row.items_version}", ["item_id"])
+        for row in self.user_log().collect():
+            self._answer(row.folder).coalesce(1).write.parquet(f"{path}/users/{row.folder}")
+        for row in self.model_log().collect():
+            save_model(self.model(row.version), f"{path}/models/version={row.version}")
+        return target.path
+
+    # Users: answers to requests, kept under their source.
+
+    def user_log(self) -> DataFrame:
+        return self._log("user_log", USER_LOG)
+
+    def _answer(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(ALLOCATED).parquet(f"{self.path}/users/{folder}")
+
+    def answered(self, source: str) -> DataFrame | None:
+        row = self.user_log().filter(F.col("source") == source).first()
+        return None if row is None else self._answer(row.folder)
+
+    def put_users(self, allocated: DataFrame, source: str) -> DataFrame:
+        """Write an answer down; ids in it are taken from then on."""
+        folder = f"answer={uuid.uuid4().hex}"
+        seen = Observation()
+        allocated.select(*ALLOCATED.names).observe(
+            seen, F.count_if("is_new").alias("n_new"), F.max("user_id").alias("max_user_id")
+        ).write.parquet(f"{self.path}/users/{folder}")
+        self._add("user_log", USER_LOG, (source, folder, seen.get["n_new"], seen.get["max_user_id"]))
+        return self._answer(folder)
+
+    def users(self) -> DataFrame:
+        """``user_id`` of everyone with a rating, as of now, and of everyone created."""
+        rated = self.ratings().select("user_id")
+        folders = [r.folder for r in self.user_log().filter("n_new > 0").collect()]
+        if not folders:
+            return rated
+        paths = [f"{self.path}/users/{f}" for f in folders]
+        created = self.spark.read.schema(ALLOCATED).parquet(*paths).filter("is_new")
+        return rated.unionByName(created.select("user_id"))
+
+    def largest_user_id(self) -> int:
+        """The largest id that has ratings or was given out, from the logs."""
+        logs = self.rating_log().select("max_user_id").unionByName(self.user_log().select("max_user_id"))
+        return logs.agg(F.coalesce(F.max("max_user_id"), F.lit(0))).first()[0]
+
     # Models
 
     def put_model(self, model: ALSModel, version: int) -> ALSModel:
@@ -160,7 +293,9 @@ class Store:
         return load_model(path)
 
     def commit_model(self, metrics: dict) -> DataFrame:
-        """Make a saved model the current one by logging it with its metrics."""
+        """Make a saved model the current one by logging it with its metrics and settings."""
+        split = asdict(self.split)
+        metrics = {**split, "split_seed": split["seed"], **metrics}
         row = tuple(metrics.get(field.name) for field in MODEL_LOG)
         self._add("model_log", MODEL_LOG, row)
         return self.spark.createDataFrame([row], MODEL_LOG)
@@ -177,7 +312,7 @@ class Store:
     def model_log(self) -> DataFrame:
         return self._log("model_log", MODEL_LOG)
 
-    # Logs hold one row per batch or version.
+    # Logs hold one row per batch, answer or version.
 
     def _add(self, name: str, schema: T.StructType, row: tuple) -> None:
         rows = self.spark.createDataFrame([row], schema).coalesce(1)

@@ -9,10 +9,12 @@ from ratingloom.operators.registry import allocate_users
 from ratingloom.sources.forms import parse_submissions
 
 
-def submitting_users(submissions: DataFrame, ratings: DataFrame, mode: str = "exists") -> DataFrame:
+def submitting_users(
+    submissions: DataFrame, users: DataFrame, mode: str = "exists", largest: int | None = None
+) -> DataFrame:
     """``request_id, user_id, is_new`` for every ``request_id, user_id, fields`` submission,
     whether it has rated items or not."""
-    return allocate_users(submissions.select("request_id", "user_id"), ratings, mode)
+    return allocate_users(submissions.select("request_id", "user_id"), users, mode, largest)
 
 
 def submitted_ratings(submissions: DataFrame, users: DataFrame) -> DataFrame:

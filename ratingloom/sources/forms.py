@@ -26,18 +26,19 @@ def parse_submissions(submissions: DataFrame, fields: str = "fields") -> DataFra
     rated = F.transform(
         starts,
         lambda k: F.struct(
-            value(k * 3).alias("title"),
+            (F.length(strip(value(k * 3))) > 0).alias("titled"),
             value(k * 3 + 1).alias("item"),
             value(k * 3 + 2).alias("rating"),
         ),
     )
+    entries = submissions.select(*keys, F.explode(rated).alias("entry")).filter("entry.titled")
+    # A second generator keeps the parsed numbers, so that a filter on the reason doesn't parse again.
+    parsed = F.struct(
+        to_id(F.col("entry.item"), "int").alias("item_id"),
+        to_number(F.col("entry.rating")).alias("rating"),
+    )
     return (
-        submissions.select(*keys, F.explode(rated).alias("entry"))
-        .filter(F.length(strip(F.col("entry.title"))) > 0)
-        .select(
-            *keys,
-            to_id(F.col("entry.item"), "int").alias("item_id"),
-            to_number(F.col("entry.rating")).alias("rating"),
-        )
+        entries.select(*keys, F.explode(F.array(parsed)).alias("p"))
+        .select(*keys, "p.item_id", "p.rating")
         .withColumn("reason", parsed_reason(F.when(F.lit(False), "")))
     )

@@ -33,10 +33,12 @@ def parse_lines(
 ) -> DataFrame:
     """``user_id, item_id, rating, line, reason``: a bad line is set aside, not fatal. An item id
     outside the int range is as bad as no number."""
-    fields = F.split(F.col("line"), ",")
-    return lines.select(
-        "user_id",
-        to_id(F.get(fields, F.lit(0)), "int").alias("item_id"),
-        to_number(F.get(fields, F.lit(1))).alias("rating"),
-        "line",
+    # Generators keep what they make: a filter on the reason doesn't split and match again.
+    split = lines.select("user_id", "line", F.explode(F.array(F.split("line", ","))).alias("f"))
+    parsed = F.struct(
+        to_id(F.get("f", F.lit(0)), "int").alias("item_id"),
+        to_number(F.get("f", F.lit(1))).alias("rating"),
+    )
+    return split.select("user_id", "line", F.explode(F.array(parsed)).alias("p")).select(
+        "user_id", "p.item_id", "p.rating", "line"
     ).withColumn("reason", parsed_reason(user_reason(), min_rating, max_rating))

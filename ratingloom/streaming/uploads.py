@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratingloom.plans.store import Store
-from ratingloom.sources.rejects import accepted
 from ratingloom.sources.uploads import UPLOAD_FILES, parse_lines
 
 
@@ -25,13 +24,15 @@ def ingest_uploads(
 ) -> StreamingQuery:
     """Append all files waiting in the inbox, then stop. One refit can follow many appends.
 
-    A micro-batch that is replayed after a failure carries the same number and is recognised by
-    the store, so each file is appended once.
+    A batch is named by the stream, whose id its checkpoint keeps, and its number: replayed after a
+    failure it is recognised by the store, and each file is appended once. Another inbox or a new
+    checkpoint is another stream. Lines that can't be read are kept as rejects.
     """
 
     def append(lines: DataFrame, number: int) -> None:
+        stream = lines.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         parsed = parse_lines(lines, min_rating, max_rating)
-        store.append(accepted(parsed), source=f"{name}:{number}")
+        store.append(parsed, source=f"{name}:{stream or checkpoint}:{number}")
 
     return (
         watch_uploads(store.spark, inbox)

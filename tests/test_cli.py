@@ -58,6 +58,10 @@ def test_users_and_items(job):
     assert {r.item_id: r.status for r in found} == {4: "ok", 400: "not_found"}
     rated, _ = job("user-ratings", requests="user_id\n1\n")
     assert {r.user_id for r in rated} == {1}
+    repeated, out = job("known-users", requests="request_id,user_id\n1,4\n1,5\n2,4\n")
+    assert {r.request_id for r in repeated} == {2}
+    with pytest.raises(Exception, match="CSV header"):
+        job("predict", requests="item_id,user_id\n4,1\n")
     drawn, _ = job("sample", "--n", "4", "--pool", "all")
     assert len(drawn) == 4
 
@@ -67,13 +71,15 @@ def test_ratings_come_in_by_file_and_form(job, tmp_path):
     folder.mkdir(parents=True)
     (folder / "a.csv").write_text("1,5\n2,4\nbad\n")
     log, _ = job("upload", "--files", str(folder.parent), "--source", "u1", out=False)
-    assert log[0].version == 2
+    assert (log[0].version, log[0].n_rejected) == (2, 1)
+    refused, _ = job("rejects")
+    assert [(r.line, r.reason) for r in refused] == [("bad", "bad_item")]
     fields = [{"name": "t", "value": "Film"}, {"name": "i", "value": "5"},
               {"name": "r", "value": "2"}]
     forms = tmp_path / "forms.json"
     forms.write_text(json.dumps({"request_id": 1, "user_id": None, "fields": fields}))
     answer, _ = job("submit", "--forms", str(forms), "--source", "f1")
-    assert [tuple(r) for r in answer] == [(1, 41, True, 1)]
+    assert [tuple(r) for r in answer] == [(1, 51, True, 1)]
     waiting = tmp_path / "inbox" / "user_id=42"
     waiting.mkdir(parents=True)
     (waiting / "b.csv").write_text("3,5\n")
@@ -81,4 +87,4 @@ def test_ratings_come_in_by_file_and_form(job, tmp_path):
                  out=False)
     assert max(r.batch for r in log) == 4
     refit, _ = job("refit", out=False)
-    assert (refit[0].version, refit[0].max_user_id, refit[0].max_iter) == (4, 42, 5)
+    assert (refit[0].version, refit[0].max_user_id, refit[0].max_iter) == (4, 51, 5)

@@ -77,8 +77,9 @@ def test_adding_ratings_makes_a_new_view(trained, make):
     assert (trained.version, after.version) == (1, 2)
     assert after.ratings.count() == trained.ratings.count() + 12
     known = make([(0, 50), (1, 51)], schemas.USER_REQUESTS)
+    # who exists is asked of the store as it is now, by an older view too
     assert [r.known for r in trained.known_users(known).orderBy("request_id").collect()] == [
-        False, False
+        True, False
     ]
     assert [r.known for r in after.known_users(known).orderBy("request_id").collect()] == [
         True, False
@@ -120,7 +121,9 @@ def test_an_unfinished_batch_stays_invisible(trained, make, spark):
 def test_empty_batches_and_stores(spark, tmp_path, make):
     store = Store.create(spark, str(tmp_path / "s"), SplitConfig(seed=5))
     assert store.ratings().count() == 0 and store.latest_version() is None
-    assert store.totals(0) == {"n_ratings": 0, "n_train": 0, "n_test": 0, "max_user_id": 0}
+    assert store.totals(0) == {
+        "n_ratings": 0, "n_train": 0, "n_test": 0, "n_rejected": 0, "max_user_id": 0
+    }
     with pytest.raises(LookupError):
         store.model()
     store.append(make([], schemas.RATINGS), "nothing")
@@ -132,10 +135,68 @@ def test_latest_ratings_can_be_fitted(spark, tmp_path, make):
     store = Store.create(spark, str(tmp_path / "s"))
     rows = [(u, i, 3.0) for u in range(10) for i in range(10)]
     store.append(make(rows, schemas.RATINGS), "a")
-    store.append(make(rows[:40], schemas.RATINGS), "b")
+    store.append(make([(u, i, 4.0) for u, i, _ in rows[:40]], schemas.RATINGS), "b")
     assert store.ratings().count() == 140
-    assert store.ratings(on_conflict="latest").count() == 100
-    assert pipeline.refit(store, QUICK, on_conflict="latest").first().rmse < 1
+    newest = store.ratings(on_conflict="latest")
+    assert newest.count() == 100 and newest.filter("rating = 4").count() == 40
+    log = pipeline.refit(store, QUICK, on_conflict="latest").first()
+    assert log.n_ratings == log.n_train + log.n_test == 100
+
+
+def test_an_untimed_batch_beats_an_older_time(spark, tmp_path, make):
+    store = Store.create(spark, str(tmp_path / "s"))
+    timed = make([(1, 1, 1.0)], schemas.RATINGS).withColumn("rated_at", F.current_timestamp())
+    store.append(timed, "a")
+    store.append(make([(1, 1, 0.5)], schemas.RATINGS), "b")
+    assert store.ratings(on_conflict="latest").first().rating == 0.5
+
+
+def test_other_rows_under_a_used_source_are_an_error(trained, make):
+    trained.store.append(make([(60, 1, 2.0)], schemas.RATINGS), "s")
+    with pytest.raises(ValueError, match="other rows"):
+        trained.store.append(make([(60, 1, 3.0)], schemas.RATINGS), "s")
+
+
+def test_two_refits_are_two_versions_and_old_views_stay(trained, make, spark):
+    store = trained.store
+    pair = make([(1, 4)], schemas.PAIRS)
+    before = trained.report(pair).collect()
+    store.put_items(make([(4, "Other", "x")], schemas.ITEMS))
+    assert pipeline.refit(store, QUICK).first().version == 2
+    assert pipeline.refit(store, replace(QUICK, max_iter=1)).first().version == 3
+    assert store.model_log().count() == 3
+    old = Recommender(store, version=1, als=QUICK)
+    assert old.report(pair).collect() == before and before[0].title == "Film 4, The"
+    assert Recommender(store, als=QUICK).report(pair).first().title == "Other"
+    moved = Store(spark, store.compact())
+    assert moved.ratings().exceptAll(store.ratings()).isEmpty()
+    assert store.ratings().exceptAll(moved.ratings()).isEmpty()
+    assert Recommender(moved, version=1, als=QUICK).report(pair).collect() == before
+
+
+def test_created_users_stay_taken(trained, make):
+    ask = make([(0, None), (1, None)], schemas.USER_REQUESTS)
+    first, second = trained.create_users(ask), trained.create_users(ask, source="x")
+    ids = [r.user_id for r in first.unionByName(second).collect()]
+    assert sorted(ids) == [15, 16, 17, 18]
+    assert rows_of(trained.create_users(ask, source="x")) == rows_of(second)
+    known = trained.known_users(make([(0, 16), (1, 19)], schemas.USER_REQUESTS))
+    assert {r.user_id: r.known for r in known.collect()} == {16: True, 19: False}
+    with pytest.raises(ValueError, match="more than once"):
+        trained.create_users(make([(0, None), (0, 3)], schemas.USER_REQUESTS))
+
+
+def test_input_is_computed_once_per_append(spark, tmp_path):
+    met = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            met.add(len(frame))
+            yield frame
+
+    rows = spark.range(500).selectExpr("id as user_id", "id as item_id", "2.0D as rating")
+    Store.create(spark, str(tmp_path / "s")).append(rows.mapInPandas(count, rows.schema), "a")
+    assert met.value == 500
 
 
 def forms_of(spark, rows):
@@ -158,6 +219,9 @@ def test_forms_create_users_and_add_their_ratings(trained, spark):
     assert [tuple(r) for r in summary.orderBy("request_id").collect()] == [
         (0, 15, True, 1), (1, 4, False, 2), (2, 16, True, 0), (3, 17, True, 0)
     ]
+    again, same = trained.submit(forms, source="forms-1")
+    assert rows_of(same) == rows_of(summary) and again.ratings.count() == after.ratings.count()
+    assert after.store.rejects().count() == 1
     added = after.ratings.drop("rated_at").exceptAll(trained.ratings.drop("rated_at"))
     assert rows_of(added) == [(15, 1, 5.0), (4, 2, 1.0), (4, 3, 2.0)]
     users = submissions.submitting_users(forms, trained.ratings, mode="range")
@@ -187,4 +251,7 @@ def test_waiting_files_are_taken_in_once(trained, tmp_path):
     ingest_uploads(trained.store, str(inbox), checkpoint).awaitTermination()
     assert trained.store.ratings().count() == before + 3
     assert rows_of(trained.store.ratings().filter("user_id = 31").select("item_id")) == [(2,), (3,)]
-    assert pipeline.refit(trained.store, QUICK).first().version == 3
+    assert pipeline.refit(trained.store, QUICK).first().batch == 3
+    ingest_uploads(trained.store, str(inbox), str(tmp_path / "other")).awaitTermination()
+    assert trained.store.ratings().count() == before + 6
+    assert trained.store.rejects().count() == 2

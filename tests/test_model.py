@@ -119,7 +119,7 @@ def test_grouped_sums_solve_the_same_problem(low_rank):
     hot_item = train.filter("item_id = 5").select(F.explode(F.array_repeat(F.struct("*"), 50)))
     skewed = train.unionAll(hot_user.select("col.*")).unionAll(hot_item.select("col.*"))
     config = replace(
-        PRESET_A, rank=3, reg_param=0.001, max_rows_per_key=1000, hot_pairs=90
+        PRESET_A, rank=3, reg_param=0.001, solver="grouped_sums", hot_pairs=90
     )
     model = factorize.fit(skewed, config)
     good = checks.optimality(model, skewed, config.reg_param)
@@ -128,23 +128,24 @@ def test_grouped_sums_solve_the_same_problem(low_rank):
     assert score.n == test.count() and score.rmse < 0.05
 
 
-def test_the_route_follows_the_largest_key(low_rank, monkeypatch):
+def test_the_settings_alone_choose_the_route(low_rank, monkeypatch):
     train, _ = low_rank
     taken = []
     monkeypatch.setattr(factorize, "fit_by_sums", lambda rows, config: taken.append(config))
-    factorize.fit(train, replace(PRESET_A, max_iter=1, max_rows_per_key=10_000))
-    factorize.fit(train, replace(PRESET_A, max_iter=1, max_rows_per_key=5_000))
+    factorize.fit(train, replace(PRESET_A, max_iter=1))
     assert not taken
-    factorize.fit(train, replace(PRESET_A, max_iter=1, max_rows_per_key=20))
+    factorize.fit(train, replace(PRESET_A, solver="grouped_sums"))
     assert len(taken) == 1
+    with pytest.raises(ValueError, match="unknown solver"):
+        factorize.fit(train, replace(PRESET_A, solver="guess"))
 
 
-def test_block_count_follows_the_data_only():
-    assert PRESET_A.block_count(0) == 8
-    assert PRESET_A.block_count(10**9) == 200
-    assert PRESET_A.block_count(10**13) == 2000
-    assert PRESET_A.fits_in_blocks(10**11) and not PRESET_A.fits_in_blocks(10**13)
-    assert replace(PRESET_A, blocks=3).block_count(10**9) == 3
+def test_too_much_for_a_block_is_refused_by_name(low_rank):
+    train, _ = low_rank
+    with pytest.raises(ValueError, match="raise user_blocks and item_blocks"):
+        factorize.fit(train, replace(PRESET_A, max_rows_per_block=20))
+    with pytest.raises(ValueError, match="solver='grouped_sums'"):
+        factorize.fit(train, replace(PRESET_A, user_blocks=1000, item_blocks=1000, max_rows_per_block=50))
 
 
 def test_split_model_and_constant(spark, small_data):

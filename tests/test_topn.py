@@ -62,13 +62,10 @@ def test_more_asked_than_there_are_items(fitted):
     assert topn.recommend(model, 500).count() == N_USERS * N_ITEMS
 
 
-@pytest.mark.parametrize("widest", [4096, 20, 0])
 @pytest.mark.parametrize("n", [5, 30])
-def test_unseen_lists_match_brute_force(fitted, monkeypatch, widest, n):
-    """By longer lists, by a mix, and block by block alone."""
+def test_unseen_lists_match_brute_force(fitted, n):
     ratings, model, scores, rows = fitted
-    monkeypatch.setattr(topn._best_per_block, "__defaults__", (7,))
-    lists = lists_of(topn.recommend_unseen(model, n, ratings, widest=widest))
+    lists = lists_of(topn.recommend_unseen(model, n, ratings))
     expected = {u: best(scores, u, n, without=rows) for u in range(N_USERS)}
     assert lists == {u: items for u, items in expected.items() if items}
     assert 0 not in lists and len(lists[1]) == 3
