@@ -32,6 +32,10 @@ WIDTH = 4
 PERCENT = 85
 BLOCK = 256
 ROUNDS = 3
+#: Bins of the sketch of a set, which bounds the overlap of two.
+BINS = 256
+#: Ids of sets to compare that go to every task; more are joined by a shuffle.
+SENT_IDS = 2_000_000
 _BATCH_BYTES = 4 << 20
 
 
@@ -98,36 +102,78 @@ class Cells:
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
-def _described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document its set's size and fingerprint; cell keys for the first of equal sets in a task."""
+def _described(docs: DataFrame, width: int) -> DataFrame:
+    """Per document its set's size and fingerprint."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for batch in given:
+            sets = list(shingle_sets(batch.column(1).to_pylist(), width))
+            yield [batch.column(0), [len(x) for x in sets], [_mark(x) for x in sets]]
+
+    return map_batches(docs, run, "id bigint, n bigint, mark binary")
+
+
+def _mark(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
+def _cell_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Cell keys of the first of equal sets in a task."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         cells, seen = Cells(percent), set()
         for batch in given:
-            ids, rows = batch.column(0).to_pylist(), []
-            for doc_id, own in zip(ids, shingle_sets(batch.column(1).to_pylist(), width)):
-                mark = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                keys = None
-                if doc_id is not None and len(own) and mark not in seen:
+            ids, keys = [], []
+            for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
+                if doc_id is not None and len(own) and (mark := _mark(own)) not in seen:
                     seen.add(mark)
-                    keys = cells.keys(own).view(np.int64)
-                rows.append((doc_id, len(own), mark, keys))
-            yield list(zip(*rows)) if rows else [[], [], [], []]
+                    found = cells.keys(own).view(np.int64)
+                    keys.append(found)
+                    ids.append(np.full(len(found), doc_id, np.int64))
+            if ids:
+                yield [np.concatenate(keys), np.concatenate(ids)]
 
-    return map_batches(docs, run, "id bigint, n bigint, mark binary, keys array<bigint>")
+    return map_batches(docs, run, "key bigint, id bigint")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """The sets asked for, with a sketch: how many shingles fall in each of ``BINS`` bins."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        for batch in given:
+            sets = list(shingle_sets(batch.column(1).to_pylist(), width))
+            bins = [np.bincount((x % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<u4") for x in sets]
+            yield [batch.column(0), [len(x) for x in sets], [x.tobytes() for x in bins], [x.tobytes() for x in sets]]
+
+    few = wanted.limit(SENT_IDS + 1).count() <= SENT_IDS
+    found = docs.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    return map_batches(found, run, "id bigint, n bigint, sketch binary, shingles binary")
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and sketches leave room for enough common shingles."""
+    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    sized = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
-            sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist(), width)]
-            yield [batch.column(0), sets]
+            a, b, na, nb = (batch.column(k).to_numpy() for k in range(4))
+            for lo in range(0, len(a), 2048):
+                part = slice(lo, lo + 2048)
+                sa, sb = (np.frombuffer(b"".join(batch.column(k)[part].to_pylist()), "<u4").reshape(-1, BINS) for k in (4, 5))
+                most = np.minimum(sa, sb).sum(axis=1).astype(np.int64)
+                keep = 100 * most >= percent * (na[part] + nb[part] - most)
+                yield [a[part][keep], b[part][keep]]
 
-    return map_batches(docs.join(wanted, "id", "left_semi"), run, "id bigint, shingles binary")
+    found = map_batches(sized.select("a", "b", "na", "nb", "sa", "sb"), run, "a bigint, b bigint")
+    return saved(found.distinct(), "possible")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked: each a against blocks of its bs."""
+    pairs = _possible(pairs, sets, percent)
+    sets = sets.select("id", "shingles")
     per = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = pairs.join(per, "a").select("a", "b", F.pmod(F.xxhash64("b"), "blocks").alias("block"))
     own = per.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
@@ -171,14 +217,14 @@ def near_duplicates(
     together, and each row is returned. Null ids are linked with nothing and have no component.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    all_rows = saved(_described(docs, width, percent), "described")
+    all_rows = saved(_described(docs, width), "described")
     known = all_rows.where("id is not null and n > 0").select("id", "n", "mark")
     first = known.groupBy("mark").agg(F.min("id").alias("node"))
     of = saved(known.join(first, "mark").select("id", "node", "n").distinct(), "nodes")
 
     key = Window.partitionBy("key")
     cells = (
-        all_rows.where("keys is not null").select(F.explode("keys").alias("key"), "id")
+        _cell_keys(docs, width, percent)
         .withColumn("low", F.min("id").over(key)).withColumn("high", F.max("id").over(key))
         .where("low < high").select("key", "id")
     )
@@ -205,7 +251,7 @@ def near_duplicates(
     links = links.unionByName(_verify(rest, sets, percent))
     found = components(links).withColumnRenamed("component", "root")
 
-    placed = all_rows.select("id", "n", "mark").join(first, "mark", "left")
+    placed = all_rows.join(first, "mark", "left")
     placed = placed.join(found, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("root", "node", "id")).otherwise(F.col("id"))
     return placed.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"))
