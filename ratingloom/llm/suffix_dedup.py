@@ -33,9 +33,9 @@ from ratingloom.llm.common import mix, parts, saved
 
 LENGTH = 400
 ANCHOR = 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 #: Contexts of one anchor that a shard takes.
-SHARD_CONTEXTS = 2048
+SHARD_CONTEXTS = 1024
 #: Bits of the filter of shared anchors that goes to every task, and how many anchors it serves.
 FILTER_BITS = 1 << 26
 FILTER_ANCHORS = FILTER_BITS // 4
@@ -96,8 +96,9 @@ def suffix_array(data: bytes, depth: int) -> np.ndarray:
     while len(open_at) and reach < depth:
         here = order[open_at]
         beyond = here + reach
-        second = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
-        both = rank[here] * (n + 1) + second
+        # a suffix that ends before comes first, the shorter of two such ones too
+        second = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + n + 1, n - here)
+        both = rank[here] * (2 * n + 2) + second
         by = np.argsort(both, kind="stable")
         here, both = here[by], both[by]
         order[open_at] = here
