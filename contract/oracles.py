@@ -176,9 +176,9 @@ _RAW = {
         UNION ALL SELECT 'accepted', count(*) FROM ({_UPLOADED}) WHERE rating <= 45""",
     "allocate_after_ingest": "SELECT request_id, user_id, is_new FROM allocated",
     "submit_replayed": """
-        SELECT request_id, user_id, is_new, count(form_rows.item_id) AS n_rows,
-               CASE WHEN is_new THEN count(form_rows.item_id) END AS n_stored
-        FROM allocated LEFT JOIN form_rows USING (request_id) GROUP BY ALL""",
+        SELECT request_id, user_id, is_new, n_rows, CASE WHEN is_new THEN n_rows END AS n_stored
+        FROM (SELECT request_id, user_id, is_new, count(form_rows.item_id) AS n_rows
+              FROM allocated LEFT JOIN form_rows USING (request_id) GROUP BY ALL)""",
     "allocate_twice": """
         WITH top AS (SELECT coalesce(max(user_id), 0) AS m FROM early),
         first_turn AS (
