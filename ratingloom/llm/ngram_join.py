@@ -6,6 +6,10 @@ the same for all sets of a size level), so linked sets agree on whole cells, and
 share a cell of two shingles or more are compared. Sets with too many thin cells also offer the
 first shingles in hash order, of which linked sets share one.
 
+There are more cells than needed, so linked sets share several. A set may therefore leave out as
+many of its cells as are spare: cells that many sets share, such as those within a common line, count
+only for sets that have more of them than that, such as near copies by the hundred.
+
 A comparison is a blocked product of the sparse incidence of documents by shingles: one set against
 a block of others, overlap counts accumulated for all of them at once, pairs beyond the size bounds
 discarded first. A first few rounds compare each set with the one it shares most cells with, which
@@ -32,6 +36,8 @@ WIDTH = 4
 PERCENT = 85
 BLOCK = 256
 ROUNDS = 3
+#: A key of more sets than this is common.
+COMMON = 16
 #: Bins of the sketch of a set, which bounds the overlap of two.
 BINS = 256
 #: Ids of sets to compare that go to every task; more are joined by a shuffle.
@@ -70,11 +76,11 @@ class Cells:
             low = self.tops[-1] + 1
             self.tops.append(max(low, int(low / t ** self.steps)))
             differ = 2 * self.tops[-1] * (100 - percent) // (100 + percent)
-            thin = 0
+            thin = spare = 1 + differ // 8
             for _ in range(8):
                 mean = low / (differ + 1 + thin)
                 expected = (differ + 1 + thin) * math.exp(-mean) * (1 + mean)
-                thin = min(math.ceil(expected + math.sqrt(expected)), 1 + differ // 3)
+                thin = spare + min(math.ceil(expected + math.sqrt(expected)), 1 + differ // 3)
             self.plan.append((differ + 1 + thin, thin))
 
     def _levels(self, n: int) -> list[int]:
@@ -82,11 +88,12 @@ class Cells:
         above = 100 * n >= self.percent * (self.tops[own] + 1)
         return [k for k in ([own, own + 1] if above else [own]) if k]
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Keys of which linked, unequal sets share at least one."""
+    def keys(self, shingles: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """By level: how many keys a set may leave out, and its keys. Two linked, unequal sets have
+        a level on which each of them shares more than it may leave out."""
         n, out = len(shingles), []
         if not n:
-            return np.zeros(0, np.uint64)
+            return out
         spread = mix(shingles)
         for level in self._levels(n):
             cells, allowed = self.plan[level]
@@ -95,11 +102,13 @@ class Cells:
             total = np.zeros(cells, np.uint64)
             np.add.at(total, cell, mix(spread + np.uint64(level)))
             thick = np.flatnonzero(count >= 2)
-            out.append(mix(total[thick] + mix(thick.astype(np.uint64) + np.uint64(level << 40))))
-            if cells - len(thick) > allowed:
+            own = mix(total[thick] + mix(thick.astype(np.uint64) + np.uint64(level << 40)))
+            spare = allowed - (cells - len(thick))
+            if spare < 0:
                 first = n - -(-self.percent * n // 100) + 1
-                out.append(mix(np.sort(spread)[:first] + np.uint64(level << 8 | 1)))
-        return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+                own = np.concatenate([own, mix(np.sort(spread)[:first] + np.uint64(level << 8 | 1))])
+            out.append((level, max(0, spare), own))
+        return out
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -123,17 +132,19 @@ def _cell_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         cells, seen = Cells(percent), set()
         for batch in given:
-            ids, keys = [], []
+            ids, keys, levels, spares = [], [], [], []
             for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
                 if doc_id is not None and len(own) and (mark := _mark(own)) not in seen:
                     seen.add(mark)
-                    found = cells.keys(own).view(np.int64)
-                    keys.append(found)
-                    ids.append(np.full(len(found), doc_id, np.int64))
+                    for level, spare, found in cells.keys(own):
+                        keys.append(found.view(np.int64))
+                        ids.append(np.full(len(found), doc_id, np.int64))
+                        levels.append(np.full(len(found), level, np.int32))
+                        spares.append(np.full(len(found), spare, np.int32))
             if ids:
-                yield [np.concatenate(keys), np.concatenate(ids)]
+                yield [np.concatenate(x) for x in (keys, ids, levels, spares)]
 
-    return map_batches(docs, run, "key bigint, id bigint")
+    return map_batches(docs, run, "key bigint, id bigint, level int, spare int")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -226,10 +237,16 @@ def near_duplicates(
     cells = (
         _cell_keys(docs, width, percent)
         .withColumn("low", F.min("id").over(key)).withColumn("high", F.max("id").over(key))
-        .where("low < high").select("key", "id")
+        .where("low < high").select("key", "id", "level", "spare")
     )
-    shared = cells.join(of.select("id", "node", "n"), "id").select("key", "node", "n").distinct()
-    shared = saved(shared.withColumn("low", F.min("node").over(key)).withColumn("high", F.max("node").over(key)).where("low < high").drop("low", "high"), "shared")
+    held = cells.join(of.select("id", "node", "n"), "id").groupBy("key", "node").agg(
+        F.max("n").alias("n"), F.max("level").alias("level"), F.min("spare").alias("spare"))
+    held = saved(held.withColumn("holders", F.count("*").over(key)).where("holders > 1"), "held")
+    common = F.col("holders") > COMMON
+    heavy = held.groupBy("node", "level").agg(F.count_if(common).alias("common"), F.min("spare").alias("spare"))
+    heavy = heavy.where("common > spare").select("node", "level")
+    rare, often = held.where(~common), held.where(common).join(heavy, ["node", "level"], "left_semi")
+    shared = saved(rare.select("key", "node", "n").unionByName(often.select("key", "node", "n")), "shared")
 
     sets = saved(_with_sets(docs.where("id is not null"), shared.select(F.col("node").alias("id")).distinct(), width), "sets")
     repeated = of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
