@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -21,7 +22,7 @@ WORDS_KEPT = 1_000_000
 #: Byte-level vocabularies write a byte as a printable character: itself, or one from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-_GROUP_CHARS = 400_000
+_SPACE = _BYTE_CHARACTERS[32]
 _LONG = 1_000_000
 #: Anything but characters whose class, case and normal form are the same everywhere.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ȹɀ-ɏ]")
@@ -32,6 +33,28 @@ _PATTERNS = {
 }
 
 
+class _Words(dict):
+    """Ids of words by the vocabulary's own model, made when a word is first asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        rest = word[1:]
+        if word[0] == " " and rest.isascii() and rest.isprintable() and " " not in rest:
+            shown = _SPACE + rest
+        elif word.isascii() and word.isprintable() and " " not in word:
+            shown = word
+        else:
+            shown = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        ids = [t.id for t in self.tokenize(shown)]
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, without special tokens."""
 
@@ -43,7 +66,7 @@ class WordEncoder:
             spec = json.load(f)
         self.lower = spec["normalizer"] is not None
         self.pattern = self._pattern(spec)
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.library.model)
 
     @staticmethod
     def _pattern(spec: dict) -> re.Pattern | None:
@@ -59,68 +82,24 @@ class WordEncoder:
             return re.compile(known) if known else None
         return None
 
-    def _plain_words(self, text: str):
-        """Lists of words of a plain text; a very long one comes in pieces."""
+    def _one(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if self.pattern is None or _UNUSUAL.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.lower:
             text = unicodedata.normalize("NFC", text).lower()
+        ids = self.words.__getitem__
         if len(text) < _LONG:
-            yield self.pattern.findall(text)
-            return
-        found = (m.group() for m in self.pattern.finditer(text))
-        while some := list(islice(found, 100_000)):
-            yield some
-
-    def _learn(self, words: list[list[str]]) -> None:
-        novel = list(set(chain.from_iterable(words)) - self.words.keys())
-        if not novel:
-            return
-        if len(self.words) + len(novel) > WORDS_KEPT:
-            self.words.clear()
-            novel = list(set(chain.from_iterable(words)))
-        tokenize = self.library.model.tokenize
-        ids: list[int] = []
-        cut = [0]
-        for word in novel:
-            ids += [t.id for t in tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))]
-            cut.append(4 * len(ids))
-        raw = np.array(ids, "<u4").tobytes()
-        for i, word in enumerate(novel):
-            self.words[word] = raw[cut[i]:cut[i + 1]]
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        plain = [self.pattern is not None and not _UNUSUAL.search(t) for t in texts]
-        words = {i: list(self._plain_words(t))[0] for i, t in enumerate(texts) if plain[i] and t and len(t) < _LONG}
-        self._learn(list(words.values()))
-        out = []
-        for i, text in enumerate(texts):
-            if i in words:
-                out.append(b"".join(map(self.words.__getitem__, words[i])))
-            elif not text:
-                out.append(b"")
-            elif plain[i]:
-                pieces = []
-                for some in self._plain_words(text):
-                    self._learn([some])
-                    pieces.append(b"".join(map(self.words.__getitem__, some)))
-                out.append(b"".join(pieces))
-                self._learn(list(words.values()))  # the dictionary may have started anew
-            else:
-                out.append(self._whole(text))
-        return out
+            return b"".join(map(ids, self.pattern.findall(text)))
+        found, pieces = self.pattern.finditer(text), []
+        while some := [m.group() for m in islice(found, 100_000)]:
+            pieces.append(b"".join(map(ids, some)))
+        return b"".join(pieces)
 
     def encode(self, texts: list[str | None]):
-        """Yields the ids of each text in turn; null counts as empty."""
-        lo = size = 0
-        texts = [t if isinstance(t, str) else "" for t in texts]
-        for i, text in enumerate(texts):
-            if i > lo and size + len(text) > _GROUP_CHARS:
-                yield from self._group(texts[lo:i])
-                lo, size = i, 0
-            size += len(text)
-        yield from self._group(texts[lo:])
+        """The ids of each text in turn; null counts as empty."""
+        return map(self._one, (t if isinstance(t, str) else "" for t in texts))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
