@@ -7,8 +7,8 @@ and all windows of an anchor can be judged together:
 
 1. Windows in a row with the same anchor position form a context. Contexts with a shared anchor are
    dealt to shards by anchor, equal contexts once with their number.
-2. A shard's contexts get a suffix array (Larsson-Sadakane refinement: sort by eight bytes, then
-   double the depth of the groups still unsorted) and the common prefixes of neighbours (Kasai's
+2. A shard's contexts get a full suffix array (Larsson-Sadakane refinement: sort by eight bytes, then
+   double the depth of the groups still unsorted until none is) and the common prefixes of neighbours (Kasai's
    order: a position keeps what its predecessor had, less one byte). Windows whose neighbour agrees
    on ``length`` bytes are repeated.
 3. An anchor with more contexts than a shard holds is split over shards. Each gives out a sorted run
@@ -81,8 +81,9 @@ def _anchors(data: bytes, length: int, base: int) -> tuple[np.ndarray, np.ndarra
     return first + base, np.diff(first, append=windows), hashed[at[first]]
 
 
-def suffix_array(data: bytes, depth: int) -> np.ndarray:
-    """Positions in the order of the suffixes, as far as their first ``depth`` bytes tell them apart."""
+def suffix_array(data: bytes, depth: int | None = None) -> np.ndarray:
+    """Positions in the order of the suffixes; with ``depth`` only as far as their first ``depth``
+    bytes tell them apart, which isn't enough for ``common_prefixes``."""
     n = len(data)
     key = words_at(data, ">")
     order = np.argsort(key, kind="stable")
@@ -93,7 +94,7 @@ def suffix_array(data: bytes, depth: int) -> np.ndarray:
     reach = 8
     ends = np.append(fresh[1:], True)
     open_at = np.flatnonzero(~(fresh & ends))
-    while len(open_at) and reach < depth:
+    while len(open_at) and (depth is None or reach < depth):
         here = order[open_at]
         beyond = here + reach
         # a suffix that ends before comes first, the shorter of two such ones too
@@ -115,6 +116,7 @@ def common_prefixes(data: bytes, order: np.ndarray, most: int, stride: int = 64)
     """Bytes that each suffix shares with the one before it in the order, up to ``most``.
 
     In text order, as Kasai's: a position shares at least what an earlier one did, less the distance.
+    That holds only if ``order`` is the full order of the suffixes.
     Every ``stride``-th position is compared from the start, the others go on from there.
     """
     n = len(data)
@@ -249,7 +251,7 @@ def _in_shards(dealt: DataFrame, length: int) -> DataFrame:
         start = np.concatenate([[0], np.cumsum(sizes)])
         owner = np.repeat(np.arange(len(bodies)), sizes)
         room = np.repeat(start[1:], sizes) - np.arange(len(data)) >= length
-        order = suffix_array(data, length)
+        order = suffix_array(data)
         prefix = common_prefixes(data, order, length)[order]
         # suffixes that agree on the length form a class; those too near a context's end don't count
         kind = np.cumsum(prefix < length)[room[order]]

@@ -145,6 +145,40 @@ def test_suffixes_are_sorted_and_prefixes_exact(data):
         assert shared[b] == n
 
 
+def test_windows_in_shards_are_repeated_only_where_their_bytes_are():
+    """Common runs just over a power of two: ties there may not let other windows join a class."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    length = 250
+
+    def noise(n: int) -> bytes:
+        return bytes(rng.integers(97, 123, n, dtype=np.uint8))
+
+    def judge(bodies: list[bytes]) -> set[tuple[str, int]]:
+        caught = []
+        plain = suffix_dedup.map_groups
+        suffix_dedup.map_groups = lambda table, keys, run, ddl: caught.append(run)
+        try:
+            suffix_dedup._in_shards(None, length)
+        finally:
+            suffix_dedup.map_groups = plain
+        rows = pa.table({"context": [str(k) for k in range(len(bodies))], "body": bodies, "sub": [-1] * len(bodies)})
+        found = caught[0](rows)
+        return {(m, k) for m, a, b in zip(*found[:3]) for k in range(a, b + 1)}
+
+    for common in range(250, 331, 4):
+        for lead in range(0, 64, 7):
+            run = noise(common)
+            # the first run ends higher than the second; between the suffixes of both stand other texts
+            tail = run[-(common - 3):]
+            bodies = [noise(lead) + run + b"z" + noise(260), noise(5) + run + b"b" + noise(260)]
+            bodies += [tail[k:k + 249 - k] + noise(300) for k in range(0, 6)]
+            starts = Counter(b[k:k + length] for b in bodies for k in range(len(b) - length + 1))
+            expected = {(str(i), k) for i, b in enumerate(bodies) for k in range(len(b) - length + 1) if starts[b[k:k + length]] > 1}
+            assert judge(bodies) == expected, (common, lead)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.binary(max_size=300), st.binary(max_size=50))
 def test_equal_windows_have_equal_anchors(middle, rest):
