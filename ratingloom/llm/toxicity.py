@@ -1,6 +1,6 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over block-max indexes.
 
-A bounded, documented sample of labelled texts serves as examples. The terms compared are those
+A bounded, documented sample of different labelled texts serves as examples. The terms compared are those
 whose contexts (word before, word after) are significantly more frequent in toxic examples; contexts
 are counted once however many copies hold them. Examples lie in blocks, and for each term and block
 the index holds the largest weight; a text visits blocks in the order of their bounds and stops where
@@ -29,7 +29,7 @@ MAX_TERMS = 4_096
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term needs this many different contexts in toxic examples, this z score, and may not be in a
-#: larger share of all examples.
+#: larger share of the examples that aren't toxic.
 LEAST_CONTEXTS = 5
 LEAST_Z = 5.0
 MOST_COMMON = 0.2
@@ -126,20 +126,29 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _examples(docs: DataFrame, labels: DataFrame, held_out: int, folds: int, most: int) -> tuple[DataFrame, dict[int, float]]:
-    """The sample's texts and, by label, how many labelled rows each of them stands for."""
+    """The sample's texts and, by label, how many different labelled texts each of them stands for.
+
+    Equal texts are one, under the smallest id and the label most of their rows have.
+    """
     known = labels.where("toxic is not null and doc_id is not null and toxic in (0, 1)").where(fold("doc_id", folds) != held_out)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("doc_id", "toxic")
-    texts = saved(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "examples")
-    total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    own = docs.select("doc_id", F.xxhash64("text").alias("h")).join(known, "doc_id")
+    different = own.groupBy("h").agg(F.min("doc_id").alias("doc_id"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    different = saved(different, "labelled-texts")
+    first = [different.where(F.col("toxic") == t).orderBy(F.xxhash64("h"), "h").limit(most) for t in (0, 1)]
+    picked = F.broadcast(first[0].unionByName(first[1]))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(picked, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
+    texts = saved(texts.select("doc_id", "text", "toxic"), "examples")
+    total = {r["toxic"]: r["count"] for r in different.groupBy("toxic").count().collect()}
     used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     return texts, {t: total[t] / n for t, n in used.items()}
 
 
-def _terms(texts: DataFrame, most: int) -> dict[str, float]:
-    """The terms that mark toxic examples, with their inverse document frequency."""
-    n = texts.count()
+def _terms(texts: DataFrame, weight: dict[int, float], most: int) -> dict[str, float]:
+    """The terms that mark toxic examples, with their inverse document frequency; examples count as
+    many texts as they stand for."""
+    used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    n = sum(weight[t] * k for t, k in used.items())
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
@@ -153,24 +162,29 @@ def _terms(texts: DataFrame, most: int) -> dict[str, float]:
                 yield [[t for t, _, _ in around], [f"{a} {b}" for _, a, b in around], [toxic] * len(around), first]
 
     found = map_batches(texts.select("text", "toxic"), run, "term string, around string, toxic int, first int")
-    contexts = found.groupBy("term", "around").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("low"), F.sum("first").alias("docs"))
-    stats = contexts.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("low")).alias("b"), F.sum("docs").alias("df"))
+    contexts = found.groupBy("term", "around").agg(
+        F.max("toxic").alias("toxic"), F.min("toxic").alias("low"), F.sum(F.col("first") * F.col("toxic")).alias("marked"), F.sum(F.col("first") * (1 - F.col("toxic"))).alias("plain"),
+    )
+    stats = contexts.groupBy("term").agg(
+        F.sum("toxic").alias("a"), F.sum(1 - F.col("low")).alias("b"), F.sum("marked").alias("marked"), F.sum("plain").alias("plain"),
+    )
     stats = saved(stats, "terms")
     total = stats.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not total or not total["a"] or not total["b"]:
         return {}
     share = (F.col("a") + F.col("b")) / (total["a"] + total["b"])
     z = (F.col("a") / total["a"] - F.col("b") / total["b"]) / F.sqrt(share * (1 - share) * (1 / total["a"] + 1 / total["b"]))
-    chosen = stats.withColumn("z", z).where((F.col("a") >= LEAST_CONTEXTS) & (F.col("z") >= LEAST_Z) & (F.col("df") <= max(MOST_COMMON * n, LEAST_CONTEXTS)))
-    rows = chosen.orderBy(F.col("z").desc(), "term").limit(most).select("term", "df").collect()
-    return {r["term"]: float(np.log((1 + n) / (1 + r["df"])) + 0.01) for r in rows}
+    chosen = stats.withColumn("z", z).where((F.col("a") >= LEAST_CONTEXTS) & (F.col("z") >= LEAST_Z) & (F.col("plain") <= max(MOST_COMMON * used.get(0, 0), LEAST_CONTEXTS)))
+    rows = chosen.orderBy(F.col("z").desc(), "term").limit(most).select("term", "marked", "plain").collect()
+    df = [weight.get(1, 0) * r["marked"] + weight.get(0, 0) * r["plain"] for r in rows]
+    return {r["term"]: float(np.log((1 + n) / (1 + d)) + 0.01) for r, d in zip(rows, df)}
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, examples: int = EXAMPLES, max_terms: int = MAX_TERMS) -> tuple[Index, np.ndarray, np.ndarray]:
-    """Index and calibration, from labelled rows outside the held-out fold. At most ``examples`` rows
-    of each label and ``max_terms`` terms are used."""
+    """Index and calibration, from labelled rows outside the held-out fold. At most ``examples`` different
+    texts of each label and ``max_terms`` terms are used."""
     texts, weight = _examples(docs, labels, held_out, folds, examples)
-    terms = _terms(texts, max_terms)
+    terms = _terms(texts, weight, max_terms)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:

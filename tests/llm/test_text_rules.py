@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from ratingloom.llm import langid, line_rules, site_quality, toxicity
 from ratingloom.llm.common import combine, word_hashes
 from ratingloom.llm.queries import op3_toxicity, op4_site_quality, op7_line_rules, op8_language_id
+from tests.llm.conftest import sentence
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -159,6 +160,37 @@ def test_held_out_toxicity(spark):
     assert caught >= 0.4 * sum(r.toxic for r in rows) and wrong <= 0.05 * len(rows)
 
 
+@pytest.fixture(scope="module")
+def insults(spark):
+    """Texts and labels: a word in most toxic texts, and one in a toxic text with many copies."""
+    plain = [(k, sentence(k, 20), 0) for k in range(2000)]
+    marked = []
+    for k in range(300):
+        words = sentence(5000 + k, 20).split()
+        words.insert(k % 20, "vilest" if k % 5 < 3 else "cruder")
+        marked.append((5000 + k, " ".join(words), 1))
+    copied = " ".join("grimmest " + sentence(9000 + j, 3).rstrip(".") for j in range(30))
+    copies = [(9000 + k, copied, 1) for k in range(400)]
+    rows = [(k, t, y) for k, t, y in plain + marked + copies]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    return docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+
+
+@pytest.mark.parametrize("examples", [150, 4000])
+def test_strong_terms_stay_whatever_the_size(insults, examples):
+    index, _, _ = toxicity.fit(*insults, examples=examples)
+    assert {"vilest", "cruder", "grimmest"} <= set(index.terms)
+    # each copied text is one example
+    assert sum(9000 <= k < 9400 for k in index.ids) == 1
+
+
+def test_examples_are_one_row_each(spark, insults):
+    docs, labels = insults
+    copied = docs.where("doc_id between 5000 and 5099").crossJoin(spark.range(9)).select("doc_id", "text")
+    index, _, _ = toxicity.fit(docs.unionByName(copied), labels, examples=150)
+    assert len(set(index.ids)) == len(index.ids)
+
+
 def test_isotonic_steps_rise():
     import numpy as np
     x, y = np.array([0.1, 0.2, 0.3, 0.4, 0.4]), np.array([0.0, 1.0, 0.0, 1.0, 1.0])
