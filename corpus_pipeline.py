@@ -14,8 +14,11 @@ REPEATED_BYTES = 250
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without a letter, so without a language, go."""
+    """Documents in a language: those without a letter, so without a language, go. If no language
+    was learned, all with a letter stay."""
     samples = langid.language_samples(docs)
+    if not samples:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = langid.identify(docs, samples, keep=[c for c in docs.columns if c != "doc_id"])
     return judged.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 

@@ -145,19 +145,24 @@ def language_samples(
     documents: int = SAMPLE_DOCUMENTS, max_bytes: int = SAMPLE_BYTES,
 ) -> dict[str, bytes]:
     """At most ``max_bytes`` of normalised text per language, from documents picked by the hash of
-    their id. Languages whose sample has no letters are left out."""
+    their id; of rows that repeat an id, one counts. Languages whose sample has no letters are left
+    out; more than MAX_LANGUAGES are an error."""
     order = Window.partitionBy("lang").orderBy("h", "id")
     picked = (
         labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
         .where("lang is not null")
+        .distinct()
         .withColumn("r", F.row_number().over(order))
         .where(F.col("r") <= documents)
         .select("lang", "id", "r")
     )
-    picked = F.broadcast(picked.limit(documents * MAX_LANGUAGES))
+    if labelled.select(lang_col).where(F.col(lang_col).isNotNull()).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    picked = F.broadcast(picked)
     # characters beyond the bound on bytes can't enter the sample
     text = F.substring(F.col(text_col), 1, max_bytes).alias("text")
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), text).join(picked, ["lang", "id"])
+    rows = rows.groupBy("lang", "id").agg(F.min("r").alias("r"), F.min("text").alias("text"))
     found: dict[str, list[bytes]] = {}
     for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["r"], r["text"] or "")):
         found.setdefault(r["lang"], []).append(normalise(r["text"]))

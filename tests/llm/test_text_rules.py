@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ratingloom.llm import langid, line_rules, site_quality, toxicity
 from ratingloom.llm.common import combine, word_hashes
 from ratingloom.llm.queries import op3_toxicity, op4_site_quality, op7_line_rules, op8_language_id
@@ -160,6 +162,21 @@ def test_held_out_toxicity(spark):
     assert caught >= 0.4 * sum(r.toxic for r in rows) and wrong <= 0.05 * len(rows)
 
 
+def test_language_samples_are_bounded(spark, monkeypatch):
+    rows = [(k % 3, f"word{'abc'[k % 3]} " * 3, "xx") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.language_samples(docs, documents=3)
+    assert sorted(found["xx"].split()) == sorted(f"word{c}".encode() for c in "abc" for _ in range(3))
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        langid.language_samples(docs.unionByName(docs.withColumn("lang", F.lit("yy"))))
+
+
+def test_stage_keeps_letters_without_languages(spark):
+    docs = spark.createDataFrame([(1, "Some words", None), (2, "12 %", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()] == [1]
+
+
 @pytest.fixture(scope="module")
 def insults(spark):
     """Texts and labels: a word in most toxic texts, and one in a toxic text with many copies."""
