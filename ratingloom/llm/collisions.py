@@ -34,7 +34,7 @@ CONFIDENCE = 0.95
 #: near it; the first half-width as a share of the projections' spread.
 FAR, NEAR, FIRST = 1.5, 1.1, 0.05
 #: Vectors of a shard, queries of a block, shards of the first wave, growth of the waves.
-SHARD_ROWS, BLOCK_ROWS, FIRST_WAVE, WAVES = 8192, 8192, 8, 16
+SHARD_ROWS, BLOCK_ROWS, FIRST_WAVE, WAVES = 8192, 8192, 2, 16
 #: Vectors verified at once in a task.
 VERIFIED = 16_384
 
