@@ -69,6 +69,8 @@ class Shard:
 
     def __init__(self, vectors: np.ndarray, projected: np.ndarray, order: np.ndarray):
         self.vectors, self.sorted, self.order = vectors, projected, order
+        #: what the projections of equal vectors can differ by
+        self.slack = np.float32(1e-6 * np.abs(projected[:, [0, -1]]).max())
 
     @staticmethod
     def built(vectors: np.ndarray) -> Shard:
@@ -80,8 +82,9 @@ class Shard:
         """In how many arrays each vector lies within ``width`` of the query's projection."""
         size = len(self.vectors)
         inside, outside, full = [], [], 0
-        for values, order, c in zip(self.sorted, self.order, centre):
-            lo, hi = values.searchsorted((c - width, c + width))
+        low, high = centre - (width + self.slack), centre + (width + self.slack)
+        for values, order, first, last in zip(self.sorted, self.order, low, high):
+            lo, hi = values.searchsorted(first), values.searchsorted(last, "right")
             if 2 * (hi - lo) <= size:
                 inside.append(order[lo:hi])
             else:  # fewer lie outside
