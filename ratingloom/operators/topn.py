@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.factorize import factors, fits_id_range
-from ratingloom.sources.staging import stage
-from ratingloom.workspace import fresh_path
+from ratingloom.operators.blocks import best_outside
+from ratingloom.operators.factorize import fits_id_range
 
 
 def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
@@ -51,33 +48,7 @@ def recommend_unseen(
 ) -> DataFrame:
     """Like ``recommend``, without the items the user rated already. Exact for every user.
 
-    The best n + s items of a user who rated s items hold n unseen ones. Users are asked for by
-    the power of two that is next to it, so there are some twenty widths at most and every user
-    goes the same way; what was seen is looked up for the asked users only.
+    One pass over the pairs of factor blocks, as for the plain lists; what a user has seen is masked
+    in the block's scores before its best are taken, however much it is.
     """
-    trained = factors(model, "user").select("user_id")
-    asked = trained if users is None else trained.join(users.select("user_id"), "user_id", "left_semi")
-    rated = ratings.select("user_id", "item_id")
-    if users is not None:
-        rated = rated.join(asked, "user_id", "left_semi")
-    seen = rated.distinct()
-    n_items = model.itemFactors.count()
-    counted = asked.join(seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("s")), "user_id", "left")
-    power = F.pow(F.lit(2.0), F.ceil(F.log2(F.coalesce("s", F.lit(0)) + n)))
-    width = F.least(power, F.lit(n_items)).cast("int")
-    wanted = stage(counted.select("user_id", width.alias("width")), fresh_path(ratings.sparkSession, "unseen"))
-    widths = sorted(r.width for r in wanted.select("width").distinct().collect())
-    if not widths:
-        return recommend(model, n, wanted)
-    lists = [recommend(model, k, wanted.filter(F.col("width") == k)) for k in widths]
-    unseen = reduce(DataFrame.unionByName, lists).join(seen, ["user_id", "item_id"], "left_anti")
-    return _best(unseen, n)
-
-
-def _best(candidates: DataFrame, n: int) -> DataFrame:
-    best_first = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
-    return (
-        candidates.withColumn("rank", F.row_number().over(best_first))
-        .filter(F.col("rank") <= n)
-        .select("user_id", "rank", "item_id", "score")
-    )
+    return best_outside(model, n, ratings, users)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions import dot
+from ratingloom.operators.blocks import best_outside
 from ratingloom.operators.factorize import factors
 
 
@@ -58,53 +55,31 @@ def list_shape(recommendations: DataFrame) -> DataFrame:
     )
 
 
-# Item factors that ``nothing_better`` sends to every task, in numbers.
-SENT_NUMBERS = 50_000_000
-
-
 def nothing_better(
     model: ALSModel, lists: DataFrame, n: int, seen: DataFrame | None = None, tolerance: float = 1e-4
 ) -> DataFrame:
     """``user_id, n_rows, best_ok`` of each listed user: the scores are the factors' own products,
     and no item outside the list, nor among the user's ``seen`` ones, scores above the last of it.
-    A list shorter than n must hold all items.
+    A list shorter than n must hold all items but the seen ones, and no list holds a seen one.
 
-    Every item is scored for every user, a matrix product per batch of users.
+    The best item outside the list comes from the blocked product over all pairs, with listed and
+    seen pairs left out.
     """
-    if model.itemFactors.count() * model.rank > SENT_NUMBERS:
-        raise ValueError("too many items to score all of them for each user")
-    rows = sorted(factors(model, "item").collect(), key=lambda r: r.item_id)
-    ids = np.array([r.item_id for r in rows])
-    table = np.array([r.item_factor for r in rows], np.float32)
-    sent = lists.sparkSession.sparkContext.broadcast((ids, table))
-    entries = lists.groupBy("user_id").agg(
-        F.collect_list("item_id").alias("items"), F.collect_list("score").alias("scores")
-    )
-    checked = entries.join(factors(model, "user"), "user_id")
+    scored = lists.join(factors(model, "user"), "user_id", "left").join(factors(model, "item"), "item_id", "left")
+    exact = dot(F.col("user_factor"), F.col("item_factor"), model.rank)
+    right = F.coalesce(F.abs(F.col("score") - exact) <= tolerance, F.lit(False))
+    left_out = lists.select("user_id", "item_id")
     if seen is None:
-        checked = checked.withColumn("seen", F.array().cast("array<bigint>"))
+        scored = scored.withColumn("listed_seen", F.lit(False))
     else:
-        own = seen.groupBy("user_id").agg(F.collect_set("item_id").alias("seen"))
-        checked = checked.join(own, "user_id", "left")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, table = sent.value
-        for frame in frames:
-            out = []
-            for row in frame.itertuples():
-                scores = table @ np.asarray(row.user_factor, np.float32)
-                at = np.searchsorted(ids, np.asarray(row.items))
-                right = np.allclose(scores[at], np.asarray(row.scores), atol=tolerance)
-                rest = np.ones(len(ids), bool)
-                rest[at] = False
-                known = np.asarray(row.seen if row.seen is not None else [], np.int64)
-                spot = np.searchsorted(ids, known)
-                spot = spot[(spot < len(ids)) & (ids[np.minimum(spot, len(ids) - 1)] == known)]
-                unlisted = not np.isin(known, np.asarray(row.items)).any()
-                rest[spot] = False
-                full = len(row.items) == n or not rest.any()
-                best = not rest.any() or scores[rest].max() <= min(row.scores) + tolerance
-                out.append((row.user_id, len(row.items), bool(right and unlisted and full and best)))
-            yield pd.DataFrame(out, columns=["user_id", "n_rows", "best_ok"])
-
-    return checked.mapInPandas(run, "user_id bigint, n_rows bigint, best_ok boolean")
+        pairs = seen.select("user_id", "item_id").distinct()
+        scored = scored.join(pairs.withColumn("listed_seen", F.lit(True)), ["user_id", "item_id"], "left")
+        left_out = left_out.unionByName(pairs)
+    checked = scored.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("score").alias("last"),
+        F.bool_and(right & ~F.coalesce("listed_seen", F.lit(False))).alias("rows_ok"),
+    )
+    rest = best_outside(model, 1, left_out, lists.select("user_id").distinct()).select("user_id", F.col("score").alias("next"))
+    no_better = F.col("next").isNull() | (F.col("next") <= F.col("last") + tolerance)
+    full = (F.col("n_rows") == n) | F.col("next").isNull()
+    return checked.join(rest, "user_id", "left").select("user_id", "n_rows", (F.col("rows_ok") & full & no_better).alias("best_ok"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def local_session(app: str, cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -41,3 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def findable(table: DataFrame) -> DataFrame:
+    """Lets Python workers that start in another folder find this package where it is installed
+    at the same place; otherwise ship it with --py-files."""
+    table.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    return table

@@ -5,7 +5,7 @@ import pytest
 
 from ratingloom import schemas
 from ratingloom.config import PRESET_A
-from ratingloom.operators import factorize, topn
+from ratingloom.operators import blocks, factorize, topn
 from ratingloom.plans import checks
 from tests.conftest import rows_of
 
@@ -100,3 +100,51 @@ def test_shape_check_notices_faults(make):
         (1, 3, True, True, True), (2, 2, False, True, True), (3, 2, True, False, True),
         (4, 2, True, True, False),
     ]
+
+
+@pytest.mark.parametrize(("user_block", "item_block"), [(7, 9), (2048, 16_384), (1, 60)])
+def test_block_sizes_do_not_change_lists(fitted, user_block, item_block):
+    ratings, model, scores, rows = fitted
+    lists = blocks.best_outside(model, 6, ratings, user_block=user_block, item_block=item_block)
+    expected = {u: best(scores, u, 6, without=rows) for u in range(N_USERS)}
+    assert lists_of(lists) == {u: items for u, items in expected.items() if items}
+
+
+def test_left_out_pairs_may_be_unknown_null_or_repeated(fitted, make):
+    _, model, scores, _ = fitted
+    pairs = [(3, 5), (3, 5), (3, 999), (999, 5), (None, 5), (3, None), (2**40, 2**40)]
+    lists = blocks.best_outside(model, 60, make(pairs, "user_id bigint, item_id bigint"), make([(3,), (4,)], schemas.USERS))
+    assert lists_of(lists) == {3: best(scores, 3, 60, without={(3, 5)}), 4: best(scores, 4, 60)}
+    assert blocks.best_outside(model, 0, make(pairs, "user_id bigint, item_id bigint")).count() == 0
+
+
+def test_largest_of_rows_with_ties_and_gaps():
+    dice = np.random.default_rng(5)
+    for width, n in ((3, 5), (700, 2), (5000, 10), (64, 1)):
+        scores = dice.integers(0, 30, (20, width)).astype(np.float32)
+        scores[dice.random(scores.shape) < 0.3] = -np.inf
+        scores[0], scores[1] = 1.0, -np.inf
+        row, column = blocks._largest(scores, n)
+        found = [(r, c) for r, c in zip(row.tolist(), column.tolist())]
+        expected = []
+        for r in range(20):
+            ranked = sorted((-scores[r, c], c) for c in range(width) if np.isfinite(scores[r, c]))
+            expected += [(r, c) for _, c in ranked[:n]]
+        assert found == expected
+
+
+def test_check_of_best_lists_notices_faults(fitted, make):
+    ratings, model, scores, rows = fitted
+    schema = "user_id bigint, rank int, item_id bigint, score float"
+    listed = {u: best(scores, u, 4, without=rows) for u in range(2, 8)}
+    right = {u: [(u, k + 1, i, scores[u, i]) for k, i in enumerate(own)] for u, own in listed.items()}
+    wrong = dict(right)
+    wrong[3] = right[3][:3]  # too short
+    wrong[4] = right[4][:3] + [(4, 4, right[4][3][2], right[4][3][3] + 1)]  # a score of its own
+    worse = best(scores, 5, 6, without=rows)[5]
+    wrong[5] = right[5][:3] + [(5, 4, worse, scores[5, worse])]  # a better one is missing
+    rated = next(i for u, i in sorted(rows) if u == 6)
+    wrong[6] = right[6][:3] + [(6, 4, rated, scores[6, rated])]  # seen
+    lists = make([r for own in wrong.values() for r in own], schema)
+    found = checks.nothing_better(model, lists, 4, ratings.select("user_id", "item_id"))
+    assert {r.user_id: r.best_ok for r in found.collect()} == {2: True, 3: False, 4: False, 5: False, 6: False, 7: True}
