@@ -60,12 +60,12 @@ def run_jobs(spark, folder: str) -> dict[str, float]:
 
     store = Store.create(spark, fresh_path(spark, "store"))
     timed("stage_and_split", lambda: store.append(raw, "bench"))
-    train, test = store.ratings(part="train"), store.ratings(part="test")
+    train, test = store.ratings(part="train"), store.ratings(part="test", by_user=True)
     n_train = store.totals(1)["n_train"]
     model = timed("als_fit", lambda: factorize.fit(train, PRESET_A, n_train))
     model = timed("save_model", lambda: store.put_model(model, 1))
-    timed("predict_test", lambda: drain(predict.predict(model, test)))
-    timed("evaluate", lambda: rmse(predict.predict(model, test)).collect())
+    timed("predict_test", lambda: drain(predict.predict(model, test, store.user_factors(1))))
+    timed("evaluate", lambda: rmse(predict.predict(model, test, store.user_factors(1))).collect())
     timed("top10_all_users", lambda: drain(topn.recommend(model, 10)))
     timed("top10_titles", lambda: drain(topn.with_titles(topn.recommend(model, 10), items)))
     one = spark.range(1).select(F.lit(1).cast("bigint").alias("user_id"))

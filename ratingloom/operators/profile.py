@@ -22,7 +22,11 @@ def item_popularity(items: DataFrame, ratings: DataFrame) -> DataFrame:
     item is. An id listed more than once in the catalogue counts once per listing, as it would
     in a join of the raw rows.
     """
-    counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted_items(items, ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def counted_items(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """``item_id, title, count`` from counts ``item_id, n`` that are there already."""
     return (
         counts.join(items.select("item_id", "title"), "item_id")
         .groupBy("item_id", "title")
@@ -32,7 +36,11 @@ def item_popularity(items: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def popular_items(items: DataFrame, ratings: DataFrame, k: int = POPULAR_LIMIT) -> DataFrame:
     """The k most rated items; equal counts go by item id."""
-    return item_popularity(items, ratings).orderBy(F.desc("count"), "item_id").limit(k)
+    return most_rated(item_popularity(items, ratings), k)
+
+
+def most_rated(popularity: DataFrame, k: int = POPULAR_LIMIT) -> DataFrame:
+    return popularity.orderBy(F.desc("count"), "item_id").limit(k)
 
 
 def distinct_users(ratings: DataFrame) -> DataFrame:

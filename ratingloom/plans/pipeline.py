@@ -36,9 +36,9 @@ def refit(store: Store, als: AlsConfig = AlsConfig(), on_conflict: str = "keep")
     version = (store.latest_version() or 0) + 1
     totals = store.totals(batch, on_conflict)
     train = store.ratings(batch, "train", on_conflict)
-    test = store.ratings(batch, "test", on_conflict)
+    test = store.ratings(batch, "test", on_conflict, by_user=True)
     model = store.put_model(fit(train, als, n_rows=totals["n_train"]), version)
-    score = rmse(predict(model, test)).first()
+    score = rmse(predict(model, test, store.user_factors(version))).first()
     return store.commit_model({
         **totals,
         **asdict(als),

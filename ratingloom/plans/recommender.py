@@ -69,7 +69,11 @@ class Recommender:
     # Items
 
     def popular(self, k: int = POPULAR_LIMIT) -> DataFrame:
-        return profile.popular_items(self.items, self.ratings, k)
+        """The most rated items, from the counts of each batch: after an append only the new one is
+        counted."""
+        row = self.log().first()
+        counts = self.store.item_counts(row.batch, row.on_conflict)
+        return profile.most_rated(profile.counted_items(self.items, counts), k)
 
     def sample_items(
         self, n: int = 1, seed: int = SAMPLE_SEED, pool: str = "popular"

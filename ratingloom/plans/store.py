@@ -5,9 +5,12 @@ and a batch counts only once its row is in the rating log, so a job that dies ha
 nothing visible and can simply be run again. Item tables, answers to requests for users and models
 have folders of their own, named by their logs. One writer at a time; any number of readers.
 
-Within a batch, rows lie in ``part=train``, ``part=test`` or ``part=reject``, as the content hash
+Within a batch, rows lie in hash buckets of their user, and in ``part=train``, ``part=test`` or ``part=reject``, as the content hash
 and the checks decide. Both are computed once per row, on arrival; a fit reads only the train files
 and an evaluation only the test files. Refused rows stay with the reason they were refused for.
+
+What follows from a batch alone is written once beside it, when it is asked for first: its counts per
+item, and the earlier rows it supersedes (``conflicts``).
 """
 
 from __future__ import annotations
@@ -21,10 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.config import SplitConfig
-from ratingloom.operators.append import latest_ratings
-from ratingloom.operators.factorize import load_model, save_model
+from ratingloom.operators.factorize import factors, load_model, save_model
 from ratingloom.operators.sampling import split_part
-from ratingloom.sources.staging import read_staged, spread, stage
+from ratingloom.plans import conflicts
+from ratingloom.sources.buckets import bucket_bytes, bucketed_table, gather, write_bucketed
+from ratingloom.sources.staging import read_staged, stage
+
+#: Buckets by user of ratings and user factors; a store keeps its number for good.
+USER_BUCKETS = 8
+#: The ratings are read by buckets, one task each, if none holds more bytes than this.
+BUCKET_BYTES = 512 << 20
 
 STORED_RATINGS = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -41,6 +50,7 @@ SETTINGS = T.StructType([
     T.StructField("seed", T.LongType()),
     T.StructField("buckets", T.IntegerType()),
     T.StructField("train_buckets", T.IntegerType()),
+    T.StructField("user_buckets", T.IntegerType()),
 ])
 
 RATING_LOG = T.StructType([
@@ -51,6 +61,17 @@ RATING_LOG = T.StructType([
     T.StructField("n_rejected", T.LongType()),
     T.StructField("max_user_id", T.LongType()),
     T.StructField("fingerprint", T.LongType()),
+    T.StructField("largest_bucket", T.LongType()),
+])
+
+COUNT_LOG = T.StructType([
+    T.StructField("batch", T.LongType()),
+    T.StructField("folder", T.StringType()),
+])
+
+USER_FACTORS = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("user_factor", T.ArrayType(T.FloatType())),
 ])
 
 USER_LOG = T.StructType([
@@ -100,20 +121,25 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.split = SplitConfig(**self._log("settings", SETTINGS).first().asDict())
+        settings = self._log("settings", SETTINGS).first().asDict()
+        self.user_buckets = settings.pop("user_buckets")
+        self.split = SplitConfig(**settings)
 
     @classmethod
     def create(
-        cls, spark: SparkSession, path: str, split: SplitConfig = SplitConfig()
+        cls, spark: SparkSession, path: str, split: SplitConfig = SplitConfig(), user_buckets: int = USER_BUCKETS
     ) -> "Store":
-        """Open a store; a new one gets empty logs and keeps the split setting for good."""
-        setting = (split.seed, split.buckets, split.train_buckets)
+        """Open a store; a new one gets empty logs and keeps its settings for good. Choose
+        ``user_buckets`` once, for the largest size expected."""
+        setting = (split.seed, split.buckets, split.train_buckets, user_buckets)
         for name, rows, schema in (
             ("settings", [setting], SETTINGS),
             ("rating_log", [], RATING_LOG),
             ("user_log", [], USER_LOG),
             ("item_log", [], ITEM_LOG),
             ("model_log", [], MODEL_LOG),
+            ("settled_log", [], conflicts.SETTLED_LOG),
+            ("count_log", [], COUNT_LOG),
         ):
             table = spark.createDataFrame(rows, schema).coalesce(1)
             table.write.mode("ignore").parquet(f"{path.rstrip('/')}/{name}")
@@ -161,10 +187,9 @@ class Store:
             return done.batch
         batch = self.latest_batch() + 1
         part = F.when(F.col("reason").isNotNull(), "reject").otherwise(split_part(self.split))
-        parted = spread(rows, "user_id").withColumn("part", part)
         good = F.col("part") != "reject"
         written = Observation()
-        observed = parted.sortWithinPartitions("part", "user_id").observe(
+        observed = gather(rows.withColumn("part", part), "user_id", self.user_buckets).observe(
             written,
             F.count_if(F.col("part") == "train").alias("n_train"),
             F.count_if(F.col("part") == "test").alias("n_test"),
@@ -172,35 +197,76 @@ class Store:
             F.max(F.when(good, F.col("user_id"))).alias("max_user_id"),
             content,
         )
-        observed.write.mode("overwrite").partitionBy("part").parquet(
-            f"{self.path}/ratings/batch={batch}"
-        )
+        path = f"{self.path}/ratings/batch={batch}"
+        write_bucketed(observed, path, "user_id", self.user_buckets, ("part",))
         self._add("rating_log", RATING_LOG, (batch, source, *[
             written.get[c]
             for c in ("n_train", "n_test", "n_rejected", "max_user_id", "fingerprint")
-        ]))
+        ], bucket_bytes(self.spark, path)))
         return batch
 
     def latest_batch(self) -> int:
         return self.rating_log().agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
 
-    def _stored(self, upto: int) -> DataFrame:
+    def _stored(self, upto: int, by_user: bool = False) -> DataFrame:
         if upto == 0:
             return self.spark.createDataFrame([], STORED_RATINGS)
-        table = self.spark.read.schema(STORED_RATINGS).parquet(f"{self.path}/ratings")
+        if not by_user:
+            table = self.spark.read.schema(STORED_RATINGS).parquet(f"{self.path}/ratings")
+            return table.filter(F.col("batch") <= upto)
+        batches = self.rating_log().filter(F.col("batch") <= upto).collect()
+        there = [(r.batch, p) for r in batches for p, n in (("train", r.n_train), ("test", r.n_test), ("reject", r.n_rejected)) if n]
+        table = bucketed_table(
+            self.spark, f"{self.path}/ratings", STORED_RATINGS, "user_id", self.user_buckets, ("batch", "part"), there)
         return table.filter(F.col("batch") <= upto)
 
+    def stored(self, upto: int, part: str | None = None, by_user: bool = False) -> DataFrame:
+        """Accepted rows as they came, with ``batch`` and ``part``, of one part or both."""
+        wanted = F.col("part").isin("train", "test") if part is None else F.col("part") == part
+        return self._stored(upto, by_user).filter(wanted).drop("line", "reason")
+
+    def rows_of_batch(self, batch: int) -> DataFrame:
+        return self.stored(batch).filter(F.col("batch") == batch)
+
     def ratings(
-        self, upto: int | None = None, part: str | None = None, on_conflict: str = "keep"
+        self, upto: int | None = None, part: str | None = None, on_conflict: str = "keep", by_user: bool = False
     ) -> DataFrame:
         """Ratings as of a batch, of one part or both. Batch and part prune whole folders.
 
         ``latest`` keeps one row per user and item: of the last batch, then by time, then rating.
+        What each batch supersedes is written down when it is asked for first; a read then leaves
+        out those rows. ``by_user`` reads the rows by buckets of the user, for joins with
+        ``user_factors`` without a shuffle, unless a bucket is too large for one task.
         """
-        table = self._stored(self.latest_batch() if upto is None else upto)
-        wanted = F.col("part").isin("train", "test") if part is None else F.col("part") == part
-        table = table.filter(wanted).drop("line", "reason", "part")
-        return latest_ratings(table, "batch") if on_conflict == "latest" else table.drop("batch")
+        upto = self.latest_batch() if upto is None else upto
+        if on_conflict == "latest":
+            return conflicts.current(self, upto, conflicts.settle(self, upto), part).drop("batch")
+        return self.stored(upto, part, by_user and self.even_buckets(upto)).drop("batch", "part")
+
+    def even_buckets(self, upto: int) -> bool:
+        """Whether no user bucket, as of a batch, has more bytes than one task should read."""
+        most = self.rating_log().filter(F.col("batch") <= upto).agg(F.sum("largest_bucket")).first()[0]
+        return most is not None and most <= BUCKET_BYTES
+
+    def item_counts(self, upto: int | None = None, on_conflict: str = "keep") -> DataFrame:
+        """``item_id, n``: ratings per item as of a batch. Each batch is counted once and its counts
+        are written; the sum over batches reads nothing else."""
+        upto = self.latest_batch() if upto is None else upto
+        if on_conflict == "latest":
+            return conflicts.rated_pairs(self, conflicts.settle(self, upto))
+        log = self._log("count_log", COUNT_LOG).groupBy("batch").agg(F.min("folder").alias("folder"))
+        done = {r.batch: r.folder for r in log.collect()}
+        for batch in range(1, upto + 1):
+            if batch not in done:
+                done[batch] = f"counts/batch={batch}-{uuid.uuid4().hex}"
+                counts = self.rows_of_batch(batch).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+                counts.write.parquet(f"{self.path}/{done[batch]}")
+                self._add("count_log", COUNT_LOG, (batch, done[batch]))
+        folders = [f"{self.path}/{done[b]}" for b in range(1, upto + 1)]
+        if not folders:
+            return self.spark.createDataFrame([], conflicts.CHANGES)
+        counts = self.spark.read.schema(conflicts.CHANGES).parquet(*folders)
+        return counts.groupBy("item_id").agg(F.sum("n").alias("n"))
 
     def rejects(self, upto: int | None = None) -> DataFrame:
         """Refused rows of all batches, as far as they could be read, with their reasons."""
@@ -232,9 +298,9 @@ class Store:
         """
         upto = self.latest_batch() if upto is None else upto
         path = f"{self.path}-compact-{uuid.uuid4().hex}"
-        target = Store.create(self.spark, path, self.split)
-        rows = spread(self._stored(upto), "batch", "part").sortWithinPartitions("batch", "part", "user_id")
-        rows.write.mode("append").partitionBy("batch", "part").parquet(f"{path}/ratings")
+        target = Store.create(self.spark, path, self.split, self.user_buckets)
+        rows = gather(self._stored(upto), "user_id", self.user_buckets)
+        write_bucketed(rows, f"{path}/ratings", "user_id", self.user_buckets, ("batch", "part"))
         for name, schema in (
             ("rating_log", RATING_LOG), ("user_log", USER_LOG), ("item_log", ITEM_LOG), ("model_log", MODEL_LOG),
         ):
@@ -244,7 +310,7 @@ class Store:
         for row in self.user_log().collect():
             self._answer(row.folder).coalesce(1).write.parquet(f"{path}/users/{row.folder}")
         for row in self.model_log().collect():
-            save_model(self.model(row.version), f"{path}/models/version={row.version}")
+            target.put_model(self.model(row.version), row.version)
         return target.path
 
     # Users: answers to requests, kept under their source.
@@ -290,7 +356,14 @@ class Store:
         """Save and read back: scoring then reads files instead of the fit's lineage."""
         path = f"{self.path}/models/version={version}"
         save_model(model, path)
-        return load_model(path)
+        saved = load_model(path)
+        rows = gather(factors(saved, "user"), "user_id", self.user_buckets)
+        write_bucketed(rows, f"{self.path}/user_factors/version={version}", "user_id", self.user_buckets)
+        return saved
+
+    def user_factors(self, version: int) -> DataFrame:
+        """``user_id, user_factor`` of a model, in the buckets of the ratings."""
+        return bucketed_table(self.spark, f"{self.path}/user_factors/version={version}", USER_FACTORS, "user_id", self.user_buckets)
 
     def commit_model(self, metrics: dict) -> DataFrame:
         """Make a saved model the current one by logging it with its metrics and settings."""

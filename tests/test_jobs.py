@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.config import PRESET_A, SplitConfig
-from ratingloom.plans import pipeline, submissions
+from ratingloom.operators import append, predict, profile
+from ratingloom.plans import conflicts, pipeline, submissions
+from ratingloom.plans import store as store_module
 from ratingloom.plans.recommender import Recommender
 from ratingloom.plans.store import Store
 from ratingloom.streaming.uploads import ingest_uploads
@@ -54,16 +56,16 @@ def test_user_filters_reach_the_files(trained, capsys):
 
 
 def test_a_hot_user_is_spread_over_files_and_counted_once(spark, tmp_path):
-    rows = spark.range(0, 90_000, 1, 3).select(
+    rows = spark.range(0, 90_000, 1, 12).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("user_id"),
         (F.col("id") % 1000).alias("item_id"), F.lit(2.0).alias("rating"),
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
         store = Store.create(spark, str(tmp_path / "s"))
         store.append(rows, "hot")
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     totals = store.totals(1)
     assert totals["n_ratings"] == store.ratings().count() == 90_000
     assert totals["n_train"] == store.ratings(part="train").count()
@@ -71,6 +73,73 @@ def test_a_hot_user_is_spread_over_files_and_counted_once(spark, tmp_path):
     assert len(files) > 2 and max(r["count"] for r in files) < 20_000
 
 
+def test_a_bucket_too_large_for_one_task_is_not_read_as_one(spark, tmp_path, monkeypatch, capsys):
+    rows = spark.range(6000).selectExpr("if(id % 3 = 0, 7, id % 500) as user_id", "id % 100 as item_id", "2.0D as rating")
+    store = Store.create(spark, str(tmp_path / "s"))
+    store.append(rows, "hot")
+    largest = store.rating_log().first().largest_bucket
+    assert store.even_buckets(1) and largest > 0
+    monkeypatch.setattr(store_module, "BUCKET_BYTES", largest - 1)
+    assert not store.even_buckets(1)
+    assert store.ratings(by_user=True).count() == 6000
+    store.ratings(by_user=True).explain()
+    assert "Bucketed: true" not in capsys.readouterr().out
+
+
+def test_test_rows_meet_user_factors_where_they_lie(trained, spark, capsys):
+    store = trained.store
+    store.append(spark.createDataFrame([(3, 19, 2.0), (99, 1, 3.0)], schemas.RATINGS), "more")
+    test = store.ratings(by_user=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the factors were large
+    try:
+        found = predict.predict(trained.model, test, store.user_factors(1))
+        rows = rows_of(found)
+        capsys.readouterr()
+        predict.predict(trained.model, test, store.user_factors(1)).explain()
+        plan = capsys.readouterr().out
+        plain = rows_of(predict.predict(trained.model, store.ratings()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == plain and {r[-1] for r in rows} == {"ok", "unknown_user"}
+    assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") == 2
+
+
+def test_what_is_superseded_is_written_once(trained, make, spark, capsys):
+    store = trained.store
+    store.append(make([(3, 2, 0.5), (3, 2, 1.5), (3, 19, 1.0), (80, 1, 1.0)], schemas.RATINGS), "a")
+    store.append(make([(3, 2, 4.5), (81, 1, 1.0), (80, 1, 2.0)], schemas.RATINGS), "b")
+    for upto in (3, 2, 1):  # any version, in any order
+        rows = store.stored(upto)
+        expected = rows_of(append.latest_ratings(rows, "batch"))
+        assert rows_of(store.ratings(upto, on_conflict="latest").select("user_id", "item_id", "rating", "rated_at")) == expected
+        for part in ("train", "test"):
+            own = rows_of(append.latest_ratings(rows.filter(F.col("part") == part), "batch"))
+            assert rows_of(store.ratings(upto, part, "latest").select("user_id", "item_id", "rating", "rated_at")) == own
+        counts = rows_of(append.latest_ratings(rows, "batch").groupBy("item_id").count())
+        assert rows_of(store.item_counts(upto, "latest")) == counts
+        assert rows_of(store.item_counts(upto)) == rows_of(rows.groupBy("item_id").count())
+    capsys.readouterr()
+    store.ratings(on_conflict="latest").explain()
+    assert "Aggregate" not in capsys.readouterr().out
+    assert store._log("settled_log", conflicts.SETTLED_LOG).count() == 3
+    log = pipeline.refit(store, QUICK, on_conflict="latest").first()
+    assert log.n_ratings == store.ratings(on_conflict="latest").count()
+    view = Recommender(store, als=QUICK)
+    assert rows_of(view.popular()) == rows_of(profile.popular_items(view.items, view.ratings))
+
+
+def test_popular_items_follow_appends_by_one_scan_of_the_batch(trained, make, spark):
+    store = trained.store
+    before = rows_of(trained.popular())
+    assert before == rows_of(profile.popular_items(trained.items, trained.ratings))
+    store.append(make([(3, 2, 0.5), (3, 2, 1.5), (90, 19, 1.0)], schemas.RATINGS), "a")
+    assert rows_of(trained.popular()) == before  # the view stays
+    counts = rows_of(store.item_counts())
+    assert counts == rows_of(store.ratings().groupBy("item_id").count())
+    files = store.item_counts().inputFiles()
+    assert files and all("/counts/batch=" in f for f in files)
+
+
 def test_adding_ratings_makes_a_new_view(trained, make):
     new = make([(50, i, 4.0) for i in range(12)] + [(None, 1, 3.0), (51, 1, None)], schemas.RATINGS)
     after = trained.add_ratings(new, source="batch-1")
