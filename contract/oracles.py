@@ -165,6 +165,33 @@ _RAW = {
                   PARTITION BY user_id, item_id ORDER BY rated_at DESC, rating DESC) AS newest
               FROM timed_ratings)
         GROUP BY user_id, item_id, newest""",
+    "popular_after_appends": """
+        SELECT item_id, title, CAST(sum(times) AS BIGINT) AS "count"
+        FROM items JOIN (SELECT item_id, 1 + CAST(user_id % 3 = 0 AS INT) + CAST(user_id % 5 = 0 AS INT) AS times
+                         FROM ratings) USING (item_id)
+        GROUP BY item_id, title""",
+    "popular_latest_after_appends": """
+        SELECT item_id, title, count(DISTINCT user_id) AS "count"
+        FROM items JOIN ratings USING (item_id) GROUP BY item_id, title
+        ORDER BY "count" DESC, item_id LIMIT 200""",
+    "latest_versions": """
+        WITH pairs AS (
+            SELECT user_id, item_id, max(rating) / 2 AS half, arg_max(rating, (rated_at, rating)) AS newest
+            FROM timed_ratings GROUP BY user_id, item_id)
+        SELECT CAST(1 AS BIGINT) AS version, count(*) AS n, sum(newest) AS sum_rating FROM pairs
+        UNION ALL SELECT 2, count(*), sum(CASE WHEN user_id % 3 = 0 THEN half ELSE newest END) FROM pairs
+        UNION ALL SELECT 3, count(*), sum(CASE WHEN user_id % 3 = 0 OR user_id % 5 = 0 THEN half ELSE newest END) FROM pairs""",
+    "predict_stored": """
+        WITH early_train AS (
+            SELECT DISTINCT user_id, item_id FROM early
+            WHERE (user_id, item_id) IN (SELECT user_id, item_id FROM train))
+        SELECT user_id, item_id, rating, status, status = 'ok' AS has_prediction
+        FROM (SELECT test.*, CASE
+                  WHEN user_id IN (SELECT user_id FROM early_train) THEN CASE
+                      WHEN item_id IN (SELECT item_id FROM early_train) THEN 'ok' ELSE 'unknown_item' END
+                  WHEN item_id IN (SELECT item_id FROM early_train) THEN 'unknown_user'
+                  ELSE 'unknown_both' END AS status
+              FROM test)""",
     "ingest_two_inboxes": f"{_UPLOAD_FILES} UNION ALL {_UPLOAD_FILES}",
     "rejected_rows": f"""
         SELECT reason, count(*) AS n FROM (

@@ -368,6 +368,59 @@ def store_latest(spark, folder):
     return store.ratings(on_conflict="latest").drop("rated_at")
 
 
+def three_appends(spark: SparkSession, folder: str) -> Store:
+    """All ratings, then those of some users again, halved, then those of others, without times."""
+    base = timed_ratings(spark, folder)
+    store = Store.create(spark, fresh_path(spark, "store"))
+    store.append(base, "base")
+    store.item_counts()  # the list is in use before the appends
+    again = base.select("user_id", "item_id", (F.col("rating") / 2).alias("rating"))
+    store.append(again.filter("user_id % 3 = 0"), "again")
+    store.item_counts(on_conflict="latest")
+    store.append(again.filter("user_id % 5 = 0"), "other")
+    return store
+
+
+@query
+def popular_after_appends(spark, folder):
+    """Counts kept per batch and summed, beside the catalogue."""
+    return profile.counted_items(items(spark, folder), three_appends(spark, folder).item_counts())
+
+
+@query
+def popular_latest_after_appends(spark, folder):
+    """The most rated items by pairs, each counted once, from the changes of each batch."""
+    counts = three_appends(spark, folder).item_counts(on_conflict="latest")
+    return profile.most_rated(profile.counted_items(items(spark, folder), counts))
+
+
+@query
+def latest_versions(spark, folder):
+    """The valid rows as of each batch."""
+    store = three_appends(spark, folder)
+    parts = [
+        store.ratings(v, on_conflict="latest").agg(
+            F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("n"),
+            F.sum("rating").alias("sum_rating"),
+        )
+        for v in (1, 2, 3)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def predict_stored(spark, folder):
+    """Test rows of a store meet the user factors in their buckets."""
+    early, late = base_and_batch(spark, folder, EARLY_CUT)
+    store = Store.create(spark, fresh_path(spark, "store"))
+    pipeline.train_pipeline(store, items(spark, folder), early, replace(PRESET_B, max_iter=1))
+    store.append(late, "late")
+    test = store.ratings(part="test", by_user=True)
+    found = predict.predict(store.model(1), test, store.user_factors(1))
+    has_prediction = F.col("prediction").isNotNull().alias("has_prediction")
+    return found.select("user_id", "item_id", "rating", "status", has_prediction)
+
+
 @query
 def ingest_two_inboxes(spark, folder):
     """Two streams with a checkpoint each into one store, one of them twice."""
