@@ -24,7 +24,18 @@ def saved(table: DataFrame, label: str) -> DataFrame:
     spark = table.sparkSession
     path = fresh_path(spark, label)
     table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    back = spark.read.schema(table.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what ``saved`` wrote, for tables that nothing reads any more."""
+    for table in tables:
+        if path := getattr(table, "written_to", None):
+            sc = table.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def parts(spark: SparkSession) -> int:
@@ -104,4 +115,4 @@ def batches(texts: list[bytes], most: int):
         yield lo, len(texts)
 
 
-__all__ = ["WORD_SPACE", "batches", "combine", "fold", "fresh_path", "mix", "parts", "saved", "shared_dir", "word_hashes"]
+__all__ = ["WORD_SPACE", "batches", "combine", "discard", "fold", "fresh_path", "mix", "parts", "saved", "shared_dir", "word_hashes"]

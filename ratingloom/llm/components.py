@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import saved
+from ratingloom.llm.common import discard, saved
 
 
 def _jump(parent: DataFrame) -> DataFrame:
@@ -13,8 +13,10 @@ def _jump(parent: DataFrame) -> DataFrame:
     while True:
         up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         longer = saved(parent.join(up, "parent", "left").select("node", F.coalesce("above", "parent").alias("next"), "parent"), "jump")
+        discard(parent)
         moved = longer.where(F.col("next") != F.col("parent")).limit(1).count()
         parent = longer.select("node", F.col("next").alias("parent"))
+        parent.written_to = longer.written_to
         if not moved:
             return parent
 
@@ -31,12 +33,13 @@ def components(links: DataFrame) -> DataFrame:
     while links.limit(1).count():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-        root = saved(_jump(near.select("node", F.least("node", "near").alias("parent"))), "roots")
+        root = _jump(near.select("node", F.least("node", "near").alias("parent")))
         steps.append(root)
         left = root.select(F.col("node").alias("a"), F.col("parent").alias("ra"))
         right = root.select(F.col("node").alias("b"), F.col("parent").alias("rb"))
         between = links.join(left, "a").join(right, "b").where("ra <> rb")
-        links = saved(between.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+        before, links = links, saved(between.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+        discard(before)
     if not steps:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     out = steps[0].withColumnRenamed("parent", "component")

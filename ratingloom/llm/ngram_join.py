@@ -1,26 +1,26 @@
 """Exact n-gram Jaccard join: links between documents whose shingle sets are similar enough.
 
-Equal sets are one node from the start. For the others, the sizes of two linked sets bound the
-shingles in which they can differ; the shingles are dealt into more cells than that (by their hash,
-the same for all sets of a size level), so linked sets agree on whole cells, and only sets that
-share a cell of two shingles or more are compared. Sets with too many thin cells also offer the
-first shingles in hash order, of which linked sets share one.
+Equal sets are one node from the start. For the others all shingles are put in one order, rare ones
+first. Two linked sets share a shingle among their first few in this order, where few is what the
+similarity lets them differ in: these first shingles are a set's keys, and only sets that share a key
+are compared. How many documents hold a shingle is counted over all of them; the table of the most
+frequent ones decides the order alone, so its fixed size costs time at worst, never a link. A line or
+passage that many documents share stands last in all of them and gives no key.
 
-There are more cells than needed, so linked sets share several. A set may therefore leave out as
-many of its cells as are spare: cells that many sets share, such as those within a common line, count
-only for sets that have more of them than that, such as near copies by the hundred.
+A key comes with its position and the set's size. What both leave at and after the first common key
+bounds the overlap, which discards most pairs before any set is looked at; of two linked sets the
+smaller one needs fewer keys than the larger.
 
 A comparison is a blocked product of the sparse incidence of documents by shingles: one set against
 a block of others, overlap counts accumulated for all of them at once, pairs beyond the size bounds
-discarded first. A first few rounds compare each set with the one it shares most cells with, which
-joins groups of copies of any size with one comparison each; what then still meets in a cell from
-two components is compared pair by pair, so that no link is lost.
+discarded first. A first few rounds compare each set with the one it shares most keys with, which
+joins groups of copies of any size with one comparison each; what then still meets in a key from
+two components within the bounds is compared pair by pair, so that no link is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +29,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm.arrow import map_batches, map_groups
-from ratingloom.llm.common import batches, combine, mix, saved, word_hashes
+from ratingloom.llm.common import batches, combine, discard, mix, saved, word_hashes
 from ratingloom.llm.components import components
 
 WIDTH = 4
 PERCENT = 85
 BLOCK = 256
 ROUNDS = 3
-#: A key of more sets than this is common.
-COMMON = 16
+#: Shingles, the most frequent ones, that the common order knows the frequency of.
+FREQUENT = 1 << 18
+#: Fingerprints of sets a task remembers, so as not to offer keys of equal sets again.
+SEEN = 200_000
 #: Bins of the sketch of a set, which bounds the overlap of two.
 BINS = 256
 #: Ids of sets to compare that go to every task; more are joined by a shuffle.
@@ -62,89 +64,83 @@ def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
 
-class Cells:
-    """The cell keys of shingle sets for a similarity of ``percent``."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        t = percent / 100
-        share = (1 - t) / (1 + t)  # of both sizes together: shingles that linked sets can differ in
-        self.steps = 2 if t * t / (2 * share) >= 4 else 1
-        self.tops = [max(2, math.floor(1 / share / 2))]
-        self.plan: list[tuple[int, int]] = [(0, 0)]  # cells and thin cells allowed, by level
-        while self.tops[-1] < 1 << 40:
-            low = self.tops[-1] + 1
-            self.tops.append(max(low, int(low / t ** self.steps)))
-            differ = 2 * self.tops[-1] * (100 - percent) // (100 + percent)
-            thin = spare = 1 + differ // 8
-            for _ in range(8):
-                mean = low / (differ + 1 + thin)
-                expected = (differ + 1 + thin) * math.exp(-mean) * (1 + mean)
-                thin = spare + min(math.ceil(expected + math.sqrt(expected)), 1 + differ // 3)
-            self.plan.append((differ + 1 + thin, thin))
-
-    def _levels(self, n: int) -> list[int]:
-        own = next(k for k, top in enumerate(self.tops) if n <= top)
-        above = 100 * n >= self.percent * (self.tops[own] + 1)
-        return [k for k in ([own, own + 1] if above else [own]) if k]
-
-    def keys(self, shingles: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        """By level: how many keys a set may leave out, and its keys. Two linked, unequal sets have
-        a level on which each of them shares more than it may leave out."""
-        n, out = len(shingles), []
-        if not n:
-            return out
-        spread = mix(shingles)
-        for level in self._levels(n):
-            cells, allowed = self.plan[level]
-            cell = (spread % np.uint64(cells)).astype(np.int64)
-            count = np.bincount(cell, minlength=cells)
-            total = np.zeros(cells, np.uint64)
-            np.add.at(total, cell, mix(spread + np.uint64(level)))
-            thick = np.flatnonzero(count >= 2)
-            own = mix(total[thick] + mix(thick.astype(np.uint64) + np.uint64(level << 40)))
-            spare = allowed - (cells - len(thick))
-            if spare < 0:
-                first = n - -(-self.percent * n // 100) + 1
-                own = np.concatenate([own, mix(np.sort(spread)[:first] + np.uint64(level << 8 | 1))])
-            out.append((level, max(0, spare), own))
-        return out
+def prefix_length(n, percent: int):
+    """How many first shingles of a set of ``n`` hold one of any linked set's first ones."""
+    return n - -(-percent * n // 100) + 1
+
+
+def required(a: str, b: str, percent: int) -> str:
+    """SQL: the least overlap of linked sets of these sizes."""
+    return f"(({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent})"
+
+
+def first_shingles(sets: list[np.ndarray], percent: int, known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Keys of sets: number of the set, size, position and shingle. ``known`` are the frequent
+    shingles in ascending order, ``rank`` their places among themselves, rare ones first."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    place = np.zeros(len(flat), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+        place = np.where(known[at] == flat, rank[at] + 1, 0)
+    order = np.lexsort((mix(flat), place, owner))
+    position = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    keep = position < prefix_length(sizes, percent)[owner]
+    return owner[keep], sizes[owner[keep]], position[keep], flat[order][keep]
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """Per document its set's size and fingerprint."""
+    """Per document its set's size and fingerprint; and, as rows with a ``shingle``, how many
+    documents of a batch hold a shingle that several hold."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
             sets = list(shingle_sets(batch.column(1).to_pylist(), width))
-            yield [batch.column(0), [len(x) for x in sets], [_mark(x) for x in sets]]
+            yield [batch.column(0), [len(x) for x in sets], [_mark(x) for x in sets], pa.nulls(len(sets), pa.int64())]
+            held, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+            held, n = held[n > 1].view(np.int64), n[n > 1]
+            yield [pa.nulls(len(n), pa.int64()), n, pa.nulls(len(n), pa.binary()), held]
 
-    return map_batches(docs, run, "id bigint, n bigint, mark binary")
+    return map_batches(docs, run, "id bigint, n bigint, mark binary, shingle bigint")
 
 
 def _mark(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _cell_keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Cell keys of the first of equal sets in a task."""
+def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles in ascending order, and their places by frequency."""
+    counted = described.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()  # FREQUENT rows at most
+    shingles, n = rows.column("shingle").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    place = np.empty(len(n), np.int64)
+    place[np.lexsort((shingles, n))] = np.arange(len(n))
+    order = np.argsort(shingles)
+    return shingles[order], place[order]
+
+
+def _keys(docs: DataFrame, width: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``key, id, n, pos`` of the sets."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        cells, seen = Cells(percent), set()
+        known, rank = sent.value
+        seen: set[bytes] = set()
         for batch in given:
-            ids, keys, levels, spares = [], [], [], []
+            ids, sets = [], []
             for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
                 if doc_id is not None and len(own) and (mark := _mark(own)) not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
                     seen.add(mark)
-                    for level, spare, found in cells.keys(own):
-                        keys.append(found.view(np.int64))
-                        ids.append(np.full(len(found), doc_id, np.int64))
-                        levels.append(np.full(len(found), level, np.int32))
-                        spares.append(np.full(len(found), spare, np.int32))
+                    ids.append(doc_id)
+                    sets.append(own)
             if ids:
-                yield [np.concatenate(x) for x in (keys, ids, levels, spares)]
+                owner, n, position, shingle = first_shingles(sets, percent, known, rank)
+                yield [shingle.view(np.int64), np.array(ids, np.int64)[owner], n, position.astype(np.int32)]
 
-    return map_batches(docs, run, "key bigint, id bigint, level int, spare int")
+    return map_batches(docs, run, "key bigint, id bigint, n bigint, pos int")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -218,6 +214,17 @@ def _component_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return saved(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
 
 
+def _rest(part: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a key within the bounds of size and position: the
+    smaller set by the keys it needs against larger ones, the larger by all of its own."""
+    n = F.col("n")
+    small = part.where(F.col("pos") <= n - F.ceil(2 * percent * n / (100 + percent) - 1e-9))
+    bound = f"""x.key = y.key and x.component <> y.component and (x.n < y.n or x.n = y.n and x.node < y.node)
+        and 100 * x.n >= {percent} * y.n and least(x.n - x.pos, y.n - y.pos) >= {required("x.n", "y.n", percent)}"""
+    pairs = small.alias("x").join(part.alias("y"), F.expr(bound))
+    return saved(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
 ) -> DataFrame:
@@ -228,25 +235,19 @@ def near_duplicates(
     together, and each row is returned. Null ids are linked with nothing and have no component.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    all_rows = saved(_described(docs, width), "described")
-    known = all_rows.where("id is not null and n > 0").select("id", "n", "mark")
+    described = saved(_described(docs, width), "described")
+    all_rows = described.where("shingle is null").select("id", "n", "mark")
+    known = all_rows.where("id is not null and n > 0")
     first = known.groupBy("mark").agg(F.min("id").alias("node"))
-    of = saved(known.join(first, "mark").select("id", "node", "n").distinct(), "nodes")
-
-    key = Window.partitionBy("key")
-    cells = (
-        _cell_keys(docs, width, percent)
-        .withColumn("low", F.min("id").over(key)).withColumn("high", F.max("id").over(key))
-        .where("low < high").select("key", "id", "level", "spare")
-    )
-    held = cells.join(of.select("id", "node", "n"), "id").groupBy("key", "node").agg(
-        F.max("n").alias("n"), F.max("level").alias("level"), F.min("spare").alias("spare"))
-    held = saved(held.withColumn("holders", F.count("*").over(key)).where("holders > 1"), "held")
-    common = F.col("holders") > COMMON
-    heavy = held.groupBy("node", "level").agg(F.count_if(common).alias("common"), F.min("spare").alias("spare"))
-    heavy = heavy.where("common > spare").select("node", "level")
-    rare, often = held.where(~common), held.where(common).join(heavy, ["node", "level"], "left_semi")
-    shared = saved(rare.select("key", "node", "n").unionByName(often.select("key", "node", "n")), "shared")
+    of = saved(known.join(first, "mark").select("id", "node").distinct(), "nodes")
+
+    keys = saved(_keys(docs, width, percent, _frequent(described)), "keys")
+    held = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    held = keys.join(held, "key", "left_semi").join(of, "id").groupBy("key", "node", "n").agg(F.min("pos").alias("pos"))
+    held = saved(held, "held")
+    several = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    shared = saved(held.join(several, "key", "left_semi"), "shared")
+    discard(keys, held)
 
     sets = saved(_with_sets(docs.where("id is not null"), shared.select(F.col("node").alias("id")).distinct(), width), "sets")
     repeated = of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
@@ -260,13 +261,14 @@ def near_duplicates(
         met = part.join(leaders.select("key", "lead.a", "lead.ca"), "key").where("component <> ca")
         votes = met.groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("votes"))
         pairs = saved(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "pairs")
-        links = saved(links.unionByName(_verify(pairs, sets, percent)), "links")
-        part = saved(shared.join(_component_of(nodes, links), "node"), "part")
-    one, two = part.alias("x"), part.alias("y")
-    bound = f"x.key = y.key and x.component < y.component and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    rest = saved(one.join(two, F.expr(bound)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest")
-    links = links.unionByName(_verify(rest, sets, percent))
-    found = components(links).withColumnRenamed("component", "root")
+        more = saved(links.unionByName(_verify(pairs, sets, percent)), "links")
+        last = part
+        part = saved(shared.join(_component_of(nodes, more), "node"), "part")
+        discard(pairs, links, last)
+        links = more
+    found = components(saved(links.unionByName(_verify(_rest(part, percent), sets, percent)), "links"))
+    discard(sets, shared, part)
+    found = found.withColumnRenamed("component", "root")
 
     placed = all_rows.join(first, "mark", "left")
     placed = placed.join(found, "node", "left")

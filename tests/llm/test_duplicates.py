@@ -73,7 +73,8 @@ def near_copies(spark):
 @pytest.mark.parametrize("width, percent", [(4, 85), (5, 80), (2, 95)])
 def test_groups_equal_brute_force(spark, near_copies, monkeypatch, width, percent):
     monkeypatch.setattr(ngram_join, "BLOCK", 7)
-    monkeypatch.setattr(ngram_join, "COMMON", 4)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 50)
+    monkeypatch.setattr(ngram_join, "SEEN", 5)
     docs = spark.createDataFrame(list(near_copies.items()), "doc_id long, text string").repartition(3)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs, width=width, percent=percent).collect()}
     assert found == groups(near_copies, width, percent)
@@ -81,15 +82,42 @@ def test_groups_equal_brute_force(spark, near_copies, monkeypatch, width, percen
 
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 60), st.integers(0, 14), st.integers(0, 14), st.sampled_from([80, 85, 95]), st.randoms(use_true_random=False))
-def test_linked_sets_share_a_cell(size, drop, add, percent, dice):
+def test_linked_sets_meet_within_the_bounds(size, drop, add, percent, dice):
     draw = lambda n: {dice.getrandbits(64) for _ in range(n)}
     one = draw(size)
     two = set(list(one)[min(drop, size - 1):]) | draw(add)
     common = len(one & two)
     if one != two and ngram_join.linked(len(one), len(two), common, percent):
-        cells = ngram_join.Cells(percent)
-        a, b = ({lv: (spare, set(k.tolist())) for lv, spare, k in cells.keys(np.array(sorted(s), np.uint64))} for s in (one, two))
-        assert any(len(a[lv][1] & b[lv][1]) > max(a[lv][0], b[lv][0]) for lv in a.keys() & b.keys())
+        sets = [np.array(sorted(s), np.uint64) for s in (one, two)]
+        known = np.array(sorted(dice.sample(sorted(one | two), len(one | two) // 2)), np.uint64)
+        rank = np.array(dice.sample(range(len(known)), len(known)), np.int64)
+        owner, n, position, key = ngram_join.first_shingles(sets, percent, known, rank)
+        a, b = sorted((len(s), k) for k, s in enumerate((one, two)))
+        own = [dict(zip(key[owner == k].tolist(), position[owner == k].tolist())) for k in (a[1], b[1])]
+        needed = -(-percent * (a[0] + b[0]) // (100 + percent))
+        index = a[0] - -(-2 * percent * a[0] // (100 + percent))
+        assert any(own[0][k] <= index and min(a[0] - own[0][k], b[0] - own[1][k]) >= needed for k in own[0].keys() & own[1].keys())
+
+
+@pytest.mark.parametrize("core, low, high", [(60, 66, 74), (60, 73, 81)])
+def test_a_common_core_makes_no_pairs_of_all(spark, monkeypatch, core, low, high):
+    """Sets that share most of their words, none of them linked: the pairs compared stay few."""
+    dice = random.Random(core + low)
+    line = [f"c{k}" for k in range(core)]
+    texts = {k: " ".join(line + [f"w{dice.randrange(10**9)}" for _ in range(dice.randint(low, high) - core)]) for k in range(1500)}
+    compared = []
+    rest = ngram_join._rest
+
+    def counted(part, percent):
+        pairs = rest(part, percent)
+        compared.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_rest", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == groups(texts, 4, 85)
+    assert compared[0] <= 20 * len(texts)
 
 
 def test_odd_documents_in_groups(spark, odd_documents, no_documents):
