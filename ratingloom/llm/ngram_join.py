@@ -35,7 +35,9 @@ from ratingloom.llm.components import components
 WIDTH = 4
 PERCENT = 85
 BLOCK = 256
-ROUNDS = 3
+ROUNDS = 2
+#: After the rounds, one pair in so many is compared before all that are left.
+SHARES = (16,)
 #: Shingles, the most frequent ones, that the common order knows the frequency of.
 FREQUENT = 1 << 18
 #: Fingerprints of sets a task remembers, so as not to offer keys of equal sets again.
@@ -64,6 +66,10 @@ def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
 
+#: Frequent shingles stand after all others.
+_LAST = np.uint64(1 << 63)
+
+
 def prefix_length(n, percent: int):
     """How many first shingles of a set of ``n`` hold one of any linked set's first ones."""
     return n - -(-percent * n // 100) + 1
@@ -80,14 +86,17 @@ def first_shingles(sets: list[np.ndarray], percent: int, known: np.ndarray, rank
     sizes = np.array([len(x) for x in sets], np.int64)
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(sets)), sizes)
-    place = np.zeros(len(flat), np.int64)
+    order = mix(flat) >> np.uint64(1)
     if len(known):
         at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-        place = np.where(known[at] == flat, rank[at] + 1, 0)
-    order = np.lexsort((mix(flat), place, owner))
-    position = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    keep = position < prefix_length(sizes, percent)[owner]
-    return owner[keep], sizes[owner[keep]], position[keep], flat[order][keep]
+        order = np.where(known[at] == flat, rank[at].astype(np.uint64) | _LAST, order)
+    chosen, start = [], 0
+    for n, length in zip(sizes.tolist(), prefix_length(sizes, percent).tolist()):
+        chosen.append(start + np.argsort(order[start:start + n], kind="stable")[:length])
+        start += n
+    at = np.concatenate([*chosen, np.zeros(0, np.int64)])
+    position = np.concatenate([*(np.arange(len(x)) for x in chosen), np.zeros(0, np.int64)])
+    return owner[at], sizes[owner[at]], position, flat[at]
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -149,14 +158,19 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
             sets = list(shingle_sets(batch.column(1).to_pylist(), width))
-            bins = [np.bincount((x % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<u4") for x in sets]
-            yield [batch.column(0), [len(x) for x in sets], [x.tobytes() for x in bins], [x.tobytes() for x in sets]]
+            bins = (np.bincount((x % np.uint64(BINS)).astype(np.int64), minlength=BINS) for x in sets)
+            bins = [x.astype("u1" if x.max() < 256 else "<u4").tobytes() for x in bins]
+            yield [batch.column(0), [len(x) for x in sets], bins, [x.tobytes() for x in sets]]
 
     few = wanted.limit(SENT_IDS + 1).count() <= SENT_IDS
     found = docs.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
     return map_batches(found, run, "id bigint, n bigint, sketch binary, shingles binary")
 
 
+def _bins(sketch: bytes) -> np.ndarray:
+    return np.frombuffer(sketch, "u1" if len(sketch) == BINS else "<u4").astype(np.int64)
+
+
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and sketches leave room for enough common shingles."""
     one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -168,7 +182,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             a, b, na, nb = (batch.column(k).to_numpy() for k in range(4))
             for lo in range(0, len(a), 2048):
                 part = slice(lo, lo + 2048)
-                sa, sb = (np.frombuffer(b"".join(batch.column(k)[part].to_pylist()), "<u4").reshape(-1, BINS) for k in (4, 5))
+                sa, sb = (np.array([_bins(x) for x in batch.column(k)[part].to_pylist()]) for k in (4, 5))
                 most = np.minimum(sa, sb).sum(axis=1).astype(np.int64)
                 keep = 100 * most >= percent * (na[part] + nb[part] - most)
                 yield [a[part][keep], b[part][keep]]
@@ -214,13 +228,20 @@ def _component_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return saved(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
 
 
-def _rest(part: DataFrame, percent: int) -> DataFrame:
+def _bound(percent: int) -> str:
+    """SQL: what rows x and y of one key allow if it is the first key that their sets share."""
+    return f"""x.key = y.key and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)
+        and least(x.n - x.pos, y.n - y.pos) >= {required("x.n", "y.n", percent)}"""
+
+
+def _rest(part: DataFrame, percent: int, share: int) -> DataFrame:
     """Pairs of different components that share a key within the bounds of size and position: the
-    smaller set by the keys it needs against larger ones, the larger by all of its own."""
+    smaller set by the keys it needs against larger ones, the larger by all of its own. One pair in
+    ``share``, chosen by its hash."""
     n = F.col("n")
     small = part.where(F.col("pos") <= n - F.ceil(2 * percent * n / (100 + percent) - 1e-9))
-    bound = f"""x.key = y.key and x.component <> y.component and (x.n < y.n or x.n = y.n and x.node < y.node)
-        and 100 * x.n >= {percent} * y.n and least(x.n - x.pos, y.n - y.pos) >= {required("x.n", "y.n", percent)}"""
+    bound = f"""x.component <> y.component and (x.n < y.n or x.n = y.n and x.node < y.node)
+        and pmod(xxhash64(x.node, y.node), {share}) = 0 and {_bound(percent)}"""
     pairs = small.alias("x").join(part.alias("y"), F.expr(bound))
     return saved(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "rest")
 
@@ -241,32 +262,39 @@ def near_duplicates(
     first = known.groupBy("mark").agg(F.min("id").alias("node"))
     of = saved(known.join(first, "mark").select("id", "node").distinct(), "nodes")
 
-    keys = saved(_keys(docs, width, percent, _frequent(described)), "keys")
-    held = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    held = keys.join(held, "key", "left_semi").join(of, "id").groupBy("key", "node", "n").agg(F.min("pos").alias("pos"))
-    held = saved(held, "held")
-    several = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    shared = saved(held.join(several, "key", "left_semi"), "shared")
-    discard(keys, held)
+    # one shuffle by key serves the count of holders and the rows
+    keys = _keys(docs, width, percent, _frequent(described)).repartition("key")
+    met = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    held = keys.join(met, "key", "left_semi").join(of, "id")
+    held = saved(held.groupBy("key", "node", "n").agg(F.min("pos").alias("pos")), "held")
+    dealt = held.repartition("key")
+    shared = saved(dealt.alias("x").join(dealt.alias("y"), F.expr(f"x.node <> y.node and {_bound(percent)}"), "left_semi"), "shared")
+    discard(held)
 
     sets = saved(_with_sets(docs.where("id is not null"), shared.select(F.col("node").alias("id")).distinct(), width), "sets")
     repeated = of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
     links = repeated
     nodes = shared.select("node").distinct()
     part = shared.withColumn("component", F.col("node"))
+
+    def contracted(links: DataFrame, part: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        more = saved(links.unionByName(_verify(pairs, sets, percent)), "links")
+        new = saved(shared.join(_component_of(nodes, more), "node"), "part")
+        discard(links, part, pairs)
+        return more, new
+
     for k in range(ROUNDS):
         # every node against the one node it shares most keys with, of those that lead their keys
-        lead = F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), F.col("node").alias("a"), F.col("component").alias("ca")))
+        lead = F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "pos", "component"))
         leaders = part.groupBy("key").agg(lead.alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        met = part.join(leaders.select("key", "lead.a", "lead.ca"), "key").where("component <> ca")
-        votes = met.groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("votes"))
+        leaders = leaders.select("key", "lead.node", "lead.n", "lead.pos", "lead.component")
+        met = part.alias("x").join(leaders.alias("y"), F.expr(f"x.component <> y.component and {_bound(percent)}"))
+        votes = met.groupBy(F.col("x.node").alias("b"), F.col("y.node").alias("a")).agg(F.count("*").alias("votes"))
         pairs = saved(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "pairs")
-        more = saved(links.unionByName(_verify(pairs, sets, percent)), "links")
-        last = part
-        part = saved(shared.join(_component_of(nodes, more), "node"), "part")
-        discard(pairs, links, last)
-        links = more
-    found = components(saved(links.unionByName(_verify(_rest(part, percent), sets, percent)), "links"))
+        links, part = contracted(links, part, pairs)
+    for share in SHARES:  # part of the pairs joins most of what is linked, which spares the others
+        links, part = contracted(links, part, _rest(part, percent, share))
+    found = components(saved(links.unionByName(_verify(_rest(part, percent, 1), sets, percent)), "links"))
     discard(sets, shared, part)
     found = found.withColumnRenamed("component", "root")
 
