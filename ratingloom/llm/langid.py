@@ -5,13 +5,13 @@ the longest pieces that occur in that sample, one piece after the other; the lan
 the fewest pieces, each paid with the bits of a position in its sample, wins.
 
 The automata are dense tables, and all 256-byte blocks of a batch are parsed in step: every block
-holds one state per language, and one gather moves all of them by one byte. Pieces end at block
-borders. Whole texts are parsed.
+holds one state per language, and one gather moves all of them by one byte. A piece goes on across
+block borders: blocks are parsed again from the state that the block before ended in, until no
+state at a border changes, which it mostly does once. Whole texts are parsed.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +32,6 @@ MAX_LANGUAGES = 8_000
 BLOCK = 256
 _BATCH_BYTES = 4 << 20
 _WORDS = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def normalise(text: str | None) -> bytes:
@@ -100,22 +99,34 @@ class CrossParser:
             flat = b"".join(t.translate(self.symbols).ljust(int(n) * BLOCK, fill) for t, n in zip(some, blocks))
             steps = np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(-1, BLOCK).T).astype(np.int32)
             owner = np.repeat(np.arange(len(some)), blocks)
+            first = np.diff(owner, prepend=-1) > 0
             for k, table in enumerate(self.tables):
-                width = self.pad + 1
-                state = np.zeros(steps.shape[1], np.int32)
-                ended = np.zeros(steps.shape[1], np.int32)
-                for row in steps:
-                    state = table[state * width + row]
-                    sign = state >> 31
-                    ended -= sign
-                    state ^= sign
-                out[lo:hi, k] = np.bincount(owner, ended + 1, len(some))
+                before = np.zeros(len(owner), np.int32)
+                after, ended = self._run(table, steps, before)
+                while True:
+                    border = np.where(first, 0, np.roll(after, 1)).astype(np.int32)
+                    again = np.flatnonzero(border != before)
+                    if not len(again):
+                        break
+                    before = border
+                    after[again], ended[again] = self._run(table, steps[:, again], border[again])
+                out[lo:hi, k] = np.bincount(owner, ended, len(some)) + (blocks > 0)
         return out
 
+    def _run(self, table: np.ndarray, steps: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after all steps, and how many pieces ended on the way, for each column."""
+        width, ended = self.pad + 1, np.zeros(steps.shape[1], np.int32)
+        for row in steps:
+            state = table[state * width + row]
+            sign = state >> 31
+            ended -= sign
+            state ^= sign
+        return state, ended
+
     def judge(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """Language, score and bits per byte of each text."""
         out: list[tuple[str, float, float]] = [(UNDETERMINED, 0.0, 0.0)] * len(texts)
-        at = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         clean = [normalise(texts[i]) for i in at]
         if not at or not self.languages:
             return out
@@ -129,17 +140,6 @@ class CrossParser:
         return out
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
-def _parser(samples: dict[str, bytes]) -> CrossParser:
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(samples)
-    return _PARSERS[key]
-
-
 def language_samples(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     documents: int = SAMPLE_DOCUMENTS, max_bytes: int = SAMPLE_BYTES,
@@ -184,7 +184,7 @@ def identify(
     added = StructType.fromDDL("lang_pred string, score double, bits_per_byte double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        parser = _parser(samples)
+        parser = CrossParser(samples)  # of this task alone, so that no worker keeps it
         for batch in batches:
             judged = parser.judge(batch.column(0).to_pylist())
             yield [*batch.columns[1:], *map(list, zip(*judged))] if judged else [*batch.columns[1:], [], [], []]

@@ -42,6 +42,8 @@ SHARES = (16,)
 FREQUENT = 1 << 18
 #: Fingerprints of sets a task remembers, so as not to offer keys of equal sets again.
 SEEN = 200_000
+#: Shingles that are sorted or counted together in a task.
+TOGETHER = 1_000_000
 #: Bins of the sketch of a set, which bounds the overlap of two.
 BINS = 256
 #: Ids of sets to compare that go to every task; more are joined by a shuffle.
@@ -101,15 +103,26 @@ def first_shingles(sets: list[np.ndarray], percent: int, known: np.ndarray, rank
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
     """Per document its set's size and fingerprint; and, as rows with a ``shingle``, how many
-    documents of a batch hold a shingle that several hold."""
+    documents next to each other hold a shingle that several of them hold."""
+
+    def several(sets: list[np.ndarray]) -> list:
+        held, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+        held, n = held[n > 1].view(np.int64), n[n > 1]
+        return [pa.nulls(len(n), pa.int64()), n, pa.nulls(len(n), pa.binary()), held]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
-            sets = list(shingle_sets(batch.column(1).to_pylist(), width))
-            yield [batch.column(0), [len(x) for x in sets], [_mark(x) for x in sets], pa.nulls(len(sets), pa.int64())]
-            held, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-            held, n = held[n > 1].view(np.int64), n[n > 1]
-            yield [pa.nulls(len(n), pa.int64()), n, pa.nulls(len(n), pa.binary()), held]
+            sizes, marks, sets, together = [], [], [], 0
+            for own in shingle_sets(batch.column(1).to_pylist(), width):
+                sizes.append(len(own))
+                marks.append(_mark(own))
+                sets.append(own)
+                together += len(own)
+                if together >= TOGETHER:
+                    yield several(sets)
+                    sets, together = [], 0
+            yield [batch.column(0), sizes, marks, pa.nulls(len(sizes), pa.int64())]
+            yield several(sets)
 
     return map_batches(docs, run, "id bigint, n bigint, mark binary, shingle bigint")
 
@@ -136,8 +149,13 @@ def _keys(docs: DataFrame, width: int, percent: int, frequent: tuple[np.ndarray,
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         known, rank = sent.value
         seen: set[bytes] = set()
+        ids, sets, held = [], [], 0
+
+        def offered() -> list:
+            owner, n, position, shingle = first_shingles(sets, percent, known, rank)
+            return [shingle.view(np.int64), np.array(ids, np.int64)[owner], n, position.astype(np.int32)]
+
         for batch in given:
-            ids, sets = [], []
             for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
                 if doc_id is not None and len(own) and (mark := _mark(own)) not in seen:
                     if len(seen) >= SEEN:
@@ -145,9 +163,12 @@ def _keys(docs: DataFrame, width: int, percent: int, frequent: tuple[np.ndarray,
                     seen.add(mark)
                     ids.append(doc_id)
                     sets.append(own)
-            if ids:
-                owner, n, position, shingle = first_shingles(sets, percent, known, rank)
-                yield [shingle.view(np.int64), np.array(ids, np.int64)[owner], n, position.astype(np.int32)]
+                    held += len(own)
+                    if held >= TOGETHER:
+                        yield offered()
+                        ids, sets, held = [], [], 0
+        if ids:
+            yield offered()
 
     return map_batches(docs, run, "key bigint, id bigint, n bigint, pos int")
 

@@ -283,7 +283,8 @@ def _between_shards(windows: DataFrame) -> DataFrame:
         if given is None or not len(given):
             return
         one, two = (given.column(c).to_numpy().view(np.uint64) for c in ("one", "two"))
-        value = one ^ mix(two)
+        second = np.unique(two)  # both numbers count: equal windows have equal pairs
+        value = np.searchsorted(np.unique(one), one) * len(second) + np.searchsorted(second, two)
         run_ = np.sort(value)
         times = np.searchsorted(run_, value, "right") - np.searchsorted(run_, value, "left")
         found = given.filter(pa.array(times > 1)).combine_chunks()

@@ -9,6 +9,7 @@ ASCII punctuation.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -93,10 +94,18 @@ def tile(item: np.ndarray, document: np.ndarray, least: int) -> list[tuple[int,
                 while i + n < len(item) and j + n < len(document) and item[i + n] == document[j + n] and one.free[i + n] and two.free[j + n]:
                     n += 1
                 found.append((-n, i, j))
-        for n, i, j in sorted(found):
-            if one.free[i:i - n].all() and two.free[j:j - n].all():
+        heapq.heapify(found)
+        while found:
+            n, i, j = heapq.heappop(found)
+            free = one.free[i:i - n] & two.free[j:j - n]
+            if free.all():
                 one.free[i:i - n] = two.free[j:j - n] = False
                 tiles.append((i, j, -n))
+            else:  # what is still free of it waits its turn by length; shorter runs wait for their size
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], free, [0]])))
+                for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist()):
+                    if b - a >= size:
+                        heapq.heappush(found, (a - b, i + a, j + a))
         size = size - 1 if size <= least else max(least, size // 2)
     return tiles
 
@@ -121,7 +130,8 @@ def leaks(
     token spans in the document.
 
     Null and empty texts are covered by nothing and cover nothing. An item shorter than a seed is
-    one seed. Rows that repeat an id give a row each; items that repeat an id likewise.
+    one seed. Rows that repeat an id give a row each; items that repeat an id likewise. Item ids are
+    whole numbers or text of them.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     items = items.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).alias("item")).where("item <> ''")

@@ -3,7 +3,8 @@
 The supported vocabularies encode every word of their pre-tokenizer on its own, so a bounded
 dictionary of words seen gives the same ids as the library on the whole text, several times as fast.
 Words are cut here only in texts of plain characters, where both regular expression engines agree;
-any other text, and any tokenizer of another build, goes to the library whole.
+any other text, one that holds an added token such as an end mark, and any tokenizer of another
+build, goes to the library whole. What such a token in a text becomes is thus the library's answer.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept in a process; the dictionary starts anew beyond it, which costs time only.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
 #: Byte-level vocabularies write a byte as a printable character: itself, or one from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -56,16 +57,18 @@ class _Words(dict):
 
 
 class WordEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, without special tokens."""
+    """Encodes texts to little-endian unsigned 32-bit ids, as the library does without adding
+    special tokens."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.vocabulary = self.library.get_vocab_size()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.lower = spec["normalizer"] is not None
         self.pattern = self._pattern(spec)
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.words = _Words(self.library.model)
 
     @staticmethod
@@ -85,7 +88,7 @@ class WordEncoder:
     def _one(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.pattern is None or _UNUSUAL.search(text):
+        if self.pattern is None or _UNUSUAL.search(text) or self.added and self.added.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.lower:
             text = unicodedata.normalize("NFC", text).lower()

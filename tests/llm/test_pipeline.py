@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import conftest as samples
@@ -48,9 +49,21 @@ def test_each_stage_does_its_part(spark, inputs):
 
 def test_odd_and_missing_documents(spark, odd_documents, no_documents, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    columns = ["doc_id", "text", "lang", "source", "n_chars", "key"]
-    for docs in (odd_documents.select(*columns), no_documents.select(*columns)):
+    extra = {name: F.lit(name) for name in ("lang_pred", "bits_per_byte", "kept", "n_removed", "n_bytes", "n_spans", "kept_sha256", "component_id")}
+    columns = [*odd_documents.columns, *extra]
+    assert {"score", "id", "h", "key"} < set(columns)
+    for docs in (odd_documents.withColumns(extra), no_documents.withColumns(extra)):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = corpus_pipeline.saved(stage(spark, docs, str(tmp_path)), name)
             assert docs.columns == columns
         corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+
+
+def test_rows_that_repeat_an_id_and_a_missing_language(spark, tmp_path):
+    one, two = samples.sentence(1, 50), samples.sentence(2, 50)
+    rows = [(1, one, "xx", "a", 1), (1, two, "xx", "b", 1), (1, one, "xx", "c", 1), (2, one, "yy", "d", 1), (3, samples.sentence(3, 50), None, "e", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text, r.lang, r.source) for r in kept if r.doc_id != 3) == sorted([(1, one, "xx", "a"), (1, two, "xx", "b")])
+    judged = corpus_pipeline.language_id(spark, docs, str(tmp_path)).collect()
+    assert len(judged) == 5 and {r.lang for r in judged if r.doc_id == 3} <= {"xx", "yy"}

@@ -83,10 +83,8 @@ def test_an_automaton_knows_all_substrings():
 
 def pieces(text, sample):
     count, here = 0, b""
-    for k, b in enumerate(text):
+    for b in text:
         one = bytes([b])
-        if k % langid.BLOCK == 0:
-            count, here = count + (k > 0), b""
         if here + one in sample:
             here += one
         else:
@@ -103,6 +101,22 @@ def test_pieces_equal_brute_force(texts, sample):
     assert got == [[pieces(t, sample.encode()), pieces(t, b"ab")] for t in raw]
 
 
+def test_pieces_go_on_across_blocks():
+    dice = __import__("random").Random(2)
+    sample = bytes(dice.choices(b"abcdefgh ", k=6000))
+    parser = langid.CrossParser({"x": sample})
+    texts = [sample[:5000], sample[7:], sample[100:900] + sample[3000:3700], bytes(dice.choices(b"abcdefgh z", k=3000)), b"", sample[:256], sample[:257]]
+    assert parser.pieces(texts)[:, 0].tolist() == [pieces(t, sample) for t in texts]
+    assert parser.pieces(texts[:2])[:, 0].tolist() == [1, 1]
+
+
+def test_only_letters_make_a_language():
+    parser = langid.CrossParser({"x": b"some words of a language"})
+    signs = ["²", "½ ①", "Ⅷ", "12 % 34", "_", "", None, "١٢"]
+    assert [x[0] for x in parser.judge(signs)] == ["und"] * len(signs)
+    assert [x[0] for x in parser.judge(["a", "² b", "北"])] == ["x"] * 3
+
+
 def test_languages_of_odd_documents(odd_documents, no_documents):
     found = langid.held_out_languages(odd_documents).collect()
     assert len(found) == odd_documents.count()

@@ -16,7 +16,6 @@ NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
 def library(name):
     own = Tokenizer.from_file(public_path(name))
-    own.encode_special_tokens = True
     return lambda text: own.encode(text or "", add_special_tokens=False).ids
 
 
@@ -28,6 +27,16 @@ def test_words_one_by_one_give_the_librarys_ids(name, texts):
     assert got == [library(name)(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_added_tokens_in_texts_are_the_librarys(name):
+    own = Tokenizer.from_file(public_path(name))
+    marks = [t.content for t in own.get_added_tokens_decoder().values()]
+    texts = [f"a {m} b" for m in marks] + [f"x{m}{m}" for m in marks] + [m.upper() + "!" for m in marks] + marks
+    assert marks
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder(public_path(name)).encode(texts)]
+    assert got == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_full_dictionary_starts_anew(monkeypatch):
     monkeypatch.setattr("ratingloom.llm.tokens.WORDS_KEPT", 5)
     monkeypatch.setattr("ratingloom.llm.tokens._LONG", 50)
