@@ -13,29 +13,44 @@ from ratingloom.llm.tokens import public_path
 REPEATED_BYTES = 250
 
 
+def packed_columns(docs: DataFrame, *shown: str) -> DataFrame:
+    """``docs`` with all columns but the shown ones in one, so that no name clashes."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in shown]
+    return docs.select(*shown, F.struct(*rest, F.lit(0).alias("rest__")).alias("rest__"))
+
+
+def unpacked_columns(table: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` again, with the changed ones."""
+    columns = {c: F.col(c) if c in table.columns and c in ("doc_id", "text") else F.col(f"rest__.`{c}`") for c in docs.columns}
+    return table.select(*[changed.get(c, column).alias(c) for c, column in columns.items()])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without a letter, so without a language, go. If no language
-    was learned, all with a letter stay."""
+    """Documents in a language: those without a letter, so without a language, go, and a document
+    without ``lang`` gets the predicted one. If no language was learned, all with a letter stay."""
     samples = langid.language_samples(docs)
     if not samples:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = langid.identify(docs, samples, keep=[c for c in docs.columns if c != "doc_id"])
-    return judged.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    judged = langid.identify(packed_columns(docs, "doc_id", "text"), samples, keep=["text", "rest__"])
+    judged = judged.where(F.col("lang_pred") != langid.UNDETERMINED)
+    return unpacked_columns(judged, docs, lang=F.coalesce("rest__.lang", "lang_pred"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles: the first."""
+    """One document of each group that shares four fifths of its five-word shingles: the first. Rows
+    that repeat its id stay if their texts differ."""
     found = ngram_join.near_duplicates(docs, width=5, percent=80)
     first = found.where("component_id is null or component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(first.where("doc_id is not null"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    kept = docs.join(first.where("doc_id is not null"), "doc_id", "left_semi")
+    kept = packed_columns(kept, "doc_id", "text").groupBy("doc_id", "text").agg(F.min("rest__").alias("rest__"))
+    return unpacked_columns(kept, docs).unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that stand elsewhere too; a document with nothing else goes."""
-    found = suffix_dedup.deduplicate(docs, length=REPEATED_BYTES, with_text=True, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
+    found = suffix_dedup.deduplicate(packed_columns(docs, "doc_id", "text"), length=REPEATED_BYTES, with_text=True, keep=["rest__"])
     left = found.where((F.col("n_removed") == 0) | (F.trim("kept") != ""))
-    return left.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("bigint")).select(*docs.columns)
+    return unpacked_columns(left, docs, text=F.col("kept"), n_chars=F.length("kept").cast("bigint"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
