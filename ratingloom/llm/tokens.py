@@ -19,7 +19,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept in a process; the dictionary starts anew beyond it, which costs time only.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 500_000
 #: Byte-level vocabularies write a byte as a printable character: itself, or one from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARACTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -68,7 +68,7 @@ class WordEncoder:
         self.lower = spec["normalizer"] is not None
         self.pattern = self._pattern(spec)
         added = [t["content"] for t in spec.get("added_tokens") or []]
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.added = sorted(set(added + [a.lower() for a in added])) if self.lower else added
         self.words = _Words(self.library.model)
 
     @staticmethod
@@ -88,7 +88,8 @@ class WordEncoder:
     def _one(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.pattern is None or _UNUSUAL.search(text) or self.added and self.added.search(text):
+        plain = self.pattern is not None and not _UNUSUAL.search(text)
+        if not plain or any(mark in form for form in ((text, text.lower()) if self.lower else (text,)) for mark in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.lower:
             text = unicodedata.normalize("NFC", text).lower()
