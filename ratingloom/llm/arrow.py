@@ -31,6 +31,15 @@ def batch_of(columns: Columns, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes, so that what Python makes of one stays small
+    however many rows of whatever length Spark puts together."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for lo in range(0, max(1, batch.num_rows), step):
+            yield batch.slice(lo, step)
+
+
 def map_batches(table: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[Columns]], ddl: str | StructType) -> DataFrame:
     """``run`` takes the batches of a partition and yields lists of columns, as Python lists,
     numpy arrays or Arrow arrays, in the order of the schema."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ratingloom.llm.arrow import map_batches
+from ratingloom.llm.arrow import map_batches, sliced
 from ratingloom.llm.common import batches, fold
 
 UNDETERMINED = "und"
@@ -185,7 +185,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         parser = CrossParser(samples)  # of this task alone, so that no worker keeps it
-        for batch in batches:
+        for batch in sliced(batches):
             judged = parser.judge(batch.column(0).to_pylist())
             yield [*batch.columns[1:], *map(list, zip(*judged))] if judged else [*batch.columns[1:], [], [], []]
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratingloom.llm.arrow import map_batches, map_groups
+from ratingloom.llm.arrow import map_batches, map_groups, sliced
 from ratingloom.llm.common import batches, combine, discard, mix, saved, word_hashes
 from ratingloom.llm.components import components
 
@@ -43,7 +43,7 @@ FREQUENT = 1 << 18
 #: Fingerprints of sets a task remembers, so as not to offer keys of equal sets again.
 SEEN = 200_000
 #: Shingles that are sorted or counted together in a task.
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 #: Bins of the sketch of a set, which bounds the overlap of two.
 BINS = 256
 #: Ids of sets to compare that go to every task; more are joined by a shuffle.
@@ -111,7 +111,7 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
         return [pa.nulls(len(n), pa.int64()), n, pa.nulls(len(n), pa.binary()), held]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        for batch in given:
+        for batch in sliced(given, 8 << 20):
             sizes, marks, sets, together = [], [], [], 0
             for own in shingle_sets(batch.column(1).to_pylist(), width):
                 sizes.append(len(own))
@@ -155,7 +155,7 @@ def _keys(docs: DataFrame, width: int, percent: int, frequent: tuple[np.ndarray,
             owner, n, position, shingle = first_shingles(sets, percent, known, rank)
             return [shingle.view(np.int64), np.array(ids, np.int64)[owner], n, position.astype(np.int32)]
 
-        for batch in given:
+        for batch in sliced(given):
             for doc_id, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
                 if doc_id is not None and len(own) and (mark := _mark(own)) not in seen:
                     if len(seen) >= SEEN:
@@ -177,7 +177,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """The sets asked for, with a sketch: how many shingles fall in each of ``BINS`` bins."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        for batch in given:
+        for batch in sliced(given):
             sets = list(shingle_sets(batch.column(1).to_pylist(), width))
             bins = (np.bincount((x % np.uint64(BINS)).astype(np.int64), minlength=BINS) for x in sets)
             bins = [x.astype("u1" if x.max() < 256 else "<u4").tobytes() for x in bins]
