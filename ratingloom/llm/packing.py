@@ -137,6 +137,7 @@ def pack(
                     rows = []
             if rows:
                 yield list(zip(*rows))
+        encoder(tokenizer).words.clear()  # a worker that is used again starts small
         if packer.pieces:
             yield list(zip(*_rows(packer.pieces, _number(0, part, given), part, True)))
 
