@@ -12,8 +12,9 @@ and all windows of an anchor can be judged together:
    order: a position keeps what its predecessor had, less one byte). Windows whose neighbour agrees
    on ``length`` bytes are repeated.
 3. An anchor with more contexts than a shard holds is split over shards. Each gives out a sorted run
-   of fingerprints, one for each of its different windows; the runs are dealt by fingerprint and
-   merged by binary search, which finds windows that other shards have too.
+   of fingerprints, one for each of its different windows, packed in a row for each range of
+   fingerprints. The runs of a range meet in one task, and binary search finds the windows that other
+   shards have too; these go back to their shards.
 4. Repeated windows go back to all documents with that context, where the bytes they cover go.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ratingloom.llm.arrow import map_batches, map_groups
-from ratingloom.llm.common import mix, parts, saved
+from ratingloom.llm.common import mix, saved
 
 LENGTH = 400
 ANCHOR = 32
@@ -239,13 +240,21 @@ def _contexts(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
     return map_batches(given, run, f"id {kind}, h bigint, anchor bigint, at bigint, windows bigint, context binary, body binary")
 
 
+#: A window that a shard gives out: two hashes, its context's number in the shard, and its offset
+#: there, or the offset's complement if the shard itself holds the window twice.
+_HEAD = np.dtype([("one", "<u8"), ("two", "<u8"), ("context", "<i4"), ("offset", "<i4")])
+_PLACE = np.dtype([("context", "<i4"), ("offset", "<i4")])
+
+
 def _in_shards(dealt: DataFrame, length: int) -> DataFrame:
-    """Per shard: runs of repeated windows (low to high, fingerprints null); for split anchors also
-    one row for each different window, with its fingerprints."""
+    """Per shard: runs of repeated windows (context, low, high). A shard of a split anchor also gives
+    out the names of its contexts, in one row, and the different windows as a sorted run, in a row
+    for each range of fingerprints."""
 
     def run(rows: pa.Table) -> list:
         marks, bodies = rows.column("context").to_pylist(), rows.column("body").to_pylist()
-        split = rows.column("sub")[0].as_py() >= 0
+        sub = rows.column("sub")[0].as_py()
+        shard = rows.column("shard")[0].as_py() if sub >= 0 else None
         data = b"".join(bodies)
         sizes = np.array([len(b) for b in bodies], np.int64)
         start = np.concatenate([[0], np.cumsum(sizes)])
@@ -256,43 +265,78 @@ def _in_shards(dealt: DataFrame, length: int) -> DataFrame:
         # suffixes that agree on the length form a class; those too near a context's end don't count
         kind = np.cumsum(prefix < length)[room[order]]
         windows = order[room[order]]
+        times = np.bincount(kind)[kind]
         repeated = np.zeros(len(data), bool)
-        repeated[windows] = np.bincount(kind)[kind] > 1
+        repeated[windows] = times > 1
         low, high = _runs(repeated)
-        out = [(marks[owner[a]], int(a - start[owner[a]]), int(b - start[owner[a]]), None, None) for a, b in zip(low, high)]
-        columns = [list(c) for c in zip(*out)] or [[], [], [], [], []]
-        if split:
+        out = [(marks[owner[a]], int(a - start[owner[a]]), int(b - start[owner[a]]), shard, sub, None, None) for a, b in zip(low, high)]
+        if sub >= 0:
+            out.append((None, None, None, shard, sub, None, b"".join(marks)))
+            first = np.diff(kind, prepend=-1) > 0
+            head = windows[first]
+            own = np.empty(len(head), _HEAD)
             one, two = _fingerprints(data, length)
-            head = windows[np.diff(kind, prepend=-1) > 0]
-            columns[0] += [marks[k] for k in owner[head]]
-            offset = (head - start[owner[head]]).tolist()
-            columns[1] += offset
-            columns[2] += offset
-            columns[3] += one[head].view(np.int64).tolist()
-            columns[4] += two[head].view(np.int64).tolist()
-        return columns
+            own["one"], own["two"], own["context"] = one[head], two[head], owner[head]
+            offset = head - start[owner[head]]
+            own["offset"] = np.where(times[first] > 1, ~offset, offset)
+            own = own[np.lexsort((own["two"], own["one"]))]
+            part = _part(own["one"], rows.column("several")[0].as_py())
+            edges = np.flatnonzero(np.diff(part, prepend=-1))
+            for a, b in zip(edges, np.append(edges[1:], len(own))):
+                out.append((None, None, None, shard, sub, int(part[a]), own[a:b].tobytes()))
+        return [list(c) for c in zip(*out)] or [[]] * 7
 
-    return map_groups(dealt, ["shard", "sub"], run, "context binary, low bigint, high bigint, one bigint, two bigint")
+    return map_groups(dealt, ["shard", "sub"], run, "context binary, low bigint, high bigint, shard bigint, sub bigint, part bigint, packed binary")
 
 
-def _between_shards(windows: DataFrame) -> DataFrame:
-    """Windows that several shards of an anchor have: their sorted runs, merged by binary search."""
+def _part(one: np.ndarray, several: int) -> np.ndarray:
+    """Which of so many equal ranges a fingerprint lies in."""
+    return ((one >> np.uint64(32)) * np.uint64(several) >> np.uint64(32)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        given = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if given is None or not len(given):
-            return
-        one, two = (given.column(c).to_numpy().view(np.uint64) for c in ("one", "two"))
-        second = np.unique(two)  # both numbers count: equal windows have equal pairs
-        value = np.searchsorted(np.unique(one), one) * len(second) + np.searchsorted(second, two)
-        run_ = np.sort(value)
-        times = np.searchsorted(run_, value, "right") - np.searchsorted(run_, value, "left")
-        found = given.filter(pa.array(times > 1)).combine_chunks()
-        for batch in found.select(["context", "low", "high"]).to_batches():
-            yield list(batch.columns)
-
-    dealt = windows.repartition(parts(windows.sparkSession), "one")
-    return map_batches(dealt, run, "context binary, low bigint, high bigint")
+
+def _between_shards(judged: DataFrame) -> DataFrame:
+    """Runs of windows that several shards of an anchor have.
+
+    There are as many ranges of fingerprints as the anchor has shards, so a range holds about as many
+    windows as a shard. The shards' sorted runs of a range meet and every window is looked for in all
+    of them by binary search; what is found goes back to its shard, packed, and becomes runs there.
+    """
+
+    def meet(rows: pa.Table) -> list:
+        runs = [np.frombuffer(x, _HEAD) for x in rows.column("packed").to_pylist()]
+        given = np.concatenate(runs)
+        first, second = np.unique(given["one"]), np.unique(given["two"])
+        # both numbers count: equal windows have equal pairs
+        value = np.searchsorted(first, given["one"]) * len(second) + np.searchsorted(second, given["two"])
+        merged = np.sort(value, kind="stable")
+        found = np.searchsorted(merged, value, "right") - np.searchsorted(merged, value, "left") > 1
+        found &= given["offset"] >= 0
+        at, out = 0, []
+        for sub, own in zip(rows.column("sub").to_pylist(), runs):
+            here = own[found[at:at + len(own)]]
+            at += len(own)
+            if len(here):
+                places = np.empty(len(here), _PLACE)
+                places["context"], places["offset"] = here["context"], here["offset"]
+                out.append((rows.column("shard")[0].as_py(), sub, 0, places.tobytes()))
+        return [list(c) for c in zip(*out)] or [[]] * 4
+
+    def back(rows: pa.Table) -> list:
+        part, packed = rows.column("part").to_pylist(), rows.column("packed").to_pylist()
+        marks = b"".join(x for p, x in zip(part, packed) if p is None)
+        places = np.frombuffer(b"".join(x for p, x in zip(part, packed) if p is not None), _PLACE)
+        places = places[np.lexsort((places["offset"], places["context"]))]
+        # a run ends where the context or the next offset is another one
+        step = (np.diff(places["context"], prepend=-1) != 0) | (np.diff(places["offset"], prepend=-2) != 1)
+        low = np.flatnonzero(step)
+        high = np.append(low[1:], len(places))[:len(low)] - 1
+        names = [marks[16 * k:16 * k + 16] for k in places["context"][low].tolist()]
+        return [names, places["offset"][low].astype(np.int64), places["offset"][high].astype(np.int64)]
+
+    heads = judged.where("part is not null").select("shard", "sub", "part", "packed")
+    found = map_groups(heads, ["shard", "part"], meet, "shard bigint, sub bigint, part bigint, packed binary")
+    names = judged.where("packed is not null and part is null").select("shard", "sub", "part", "packed")
+    return map_groups(names.unionByName(found), ["shard", "sub"], back, "context binary, low bigint, high bigint")
 
 
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
@@ -313,10 +357,11 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
         "context", "body",
         F.when(F.col("n") > SHARD_CONTEXTS, F.col("anchor")).otherwise(F.pmod("anchor", F.lit(shards))).alias("shard"),
         F.when(F.col("n") > SHARD_CONTEXTS, F.pmod(F.xxhash64("context"), several)).otherwise(F.lit(-1)).cast("bigint").alias("sub"),
+        several.cast("bigint").alias("several"),
     )
     judged = saved(_in_shards(dealt, length), "shards")
-    found = judged.where("one is null").select("context", "low", "high")
-    found = found.unionByName(_between_shards(judged.where("one is not null")))
+    found = judged.where("packed is null").select("context", "low", "high")
+    found = found.unionByName(_between_shards(judged))
     copied = whole.where("copies > 1").select("context", F.lit(0).cast("bigint").alias("low"), (F.col("windows") - 1).alias("high"))
     found = found.unionByName(copied)
     by_context = found.groupBy("context").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
