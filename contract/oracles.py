@@ -220,6 +220,22 @@ _RAW = {
         UNION ALL
         SELECT turn, s.n, s.n, m + f.n + 1, m + f.n + s.n
         FROM first_turn f, second_turn s, top, (VALUES (1), (2)) AS t(turn)""",
+    "known_after_merge": """
+        WITH top AS (SELECT coalesce(max(user_id), 0) AS m FROM early),
+        first_turn AS (
+            SELECT count(*) AS n FROM user_requests
+            WHERE user_id IS NULL OR user_id NOT IN (SELECT user_id FROM early)),
+        held AS (
+            SELECT user_id FROM ratings
+            UNION SELECT unnest(range(m + 1, m + n + 1)) FROM top, first_turn),
+        second_turn AS (
+            SELECT count(*) AS n FROM user_requests
+            WHERE user_id IS NULL OR user_id NOT IN (SELECT user_id FROM held)),
+        last AS (SELECT max(user_id) AS m FROM held)
+        SELECT request_id, user_id,
+               user_id IS NOT NULL AND (user_id IN (SELECT user_id FROM held)
+                                        OR user_id > last.m AND user_id <= last.m + second_turn.n) AS known
+        FROM user_requests, last, second_turn""",
     "model_settings": """
         WITH hashed AS (
             SELECT user_id, item_id,

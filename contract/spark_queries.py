@@ -483,6 +483,19 @@ def allocate_after_ingest(spark, folder):
     return engine.create_users(user_requests(spark, folder))
 
 
+@query
+def known_after_merge(spark, folder):
+    """Who is known after the table of users was written and ratings and an answer came since."""
+    engine = registry_store(spark, folder)
+    wanted = user_requests(spark, folder)
+    _, batch = base_and_batch(spark, folder, EARLY_CUT)
+    engine.create_users(wanted, source="one")
+    engine.store.merge_users()
+    engine.store.append(batch, "late")
+    engine.create_users(wanted, source="two")
+    return engine.known_users(wanted)
+
+
 @query
 def submit_replayed(spark, folder):
     """A batch of forms handed in twice: one answer, one set of rows."""

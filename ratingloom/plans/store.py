@@ -10,7 +10,8 @@ and the checks decide. Both are computed once per row, on arrival; a fit reads o
 and an evaluation only the test files. Refused rows stay with the reason they were refused for.
 
 What follows from a batch alone is written once beside it, when it is asked for first: its counts per
-item, and the earlier rows it supersedes (``conflicts``).
+item, and the earlier rows it supersedes (``conflicts``). Everyone known is kept in a table of users,
+which takes in new batches and answers after every few of them.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from ratingloom.sources.staging import read_staged, stage
 USER_BUCKETS = 8
 #: The ratings are read by buckets, one task each, if none holds more bytes than this.
 BUCKET_BYTES = 512 << 20
+#: Answers, or batches of ratings, that may wait before the table of users takes them in.
+WAITING = 16
 
 STORED_RATINGS = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -81,6 +84,15 @@ USER_LOG = T.StructType([
     T.StructField("max_user_id", T.LongType()),
 ])
 
+REGISTRY_LOG = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("answer", T.StringType()),
+])
+
+REGISTERED = T.StructType([T.StructField("user_id", T.LongType())])
+
 ITEM_LOG = T.StructType([
     T.StructField("items_version", T.LongType()),
     T.StructField("n_items", T.LongType()),
@@ -136,6 +148,7 @@ class Store:
             ("settings", [setting], SETTINGS),
             ("rating_log", [], RATING_LOG),
             ("user_log", [], USER_LOG),
+            ("registry_log", [], REGISTRY_LOG),
             ("item_log", [], ITEM_LOG),
             ("model_log", [], MODEL_LOG),
             ("settled_log", [], conflicts.SETTLED_LOG),
@@ -333,17 +346,47 @@ class Store:
             seen, F.count_if("is_new").alias("n_new"), F.max("user_id").alias("max_user_id")
         ).write.parquet(f"{self.path}/users/{folder}")
         self._add("user_log", USER_LOG, (source, folder, seen.get["n_new"], seen.get["max_user_id"]))
+        if max(len(self.waiting_answers()), self.latest_batch() - self._registry()[0]) > WAITING:
+            self.merge_users()
         return self._answer(folder)
 
     def users(self) -> DataFrame:
-        """``user_id`` of everyone with a rating, as of now, and of everyone created."""
-        rated = self.ratings().select("user_id")
-        folders = [r.folder for r in self.user_log().filter("n_new > 0").collect()]
-        if not folders:
-            return rated
-        paths = [f"{self.path}/users/{f}" for f in folders]
+        """``user_id`` of everyone with a rating, as of now, and of everyone created: the table of
+        users and what came since, of which only the new batches and answers are read. Ids may repeat."""
+        batch, folder = self._registry()
+        found = self.stored(self.latest_batch()).filter(F.col("batch") > batch).select("user_id")
+        if folder is not None:
+            found = found.unionByName(self.registered(folder))
+        paths = [f"{self.path}/users/{f}" for f in self.waiting_answers()]
+        if not paths:
+            return found
         created = self.spark.read.schema(ALLOCATED).parquet(*paths).filter("is_new")
-        return rated.unionByName(created.select("user_id"))
+        return found.unionByName(created.select("user_id"))
+
+    def registered(self, folder: str) -> DataFrame:
+        """A table of users, each once, in the buckets of the ratings."""
+        return bucketed_table(self.spark, f"{self.path}/{folder}", REGISTERED, "user_id", self.user_buckets)
+
+    def merge_users(self) -> str:
+        """Write the table of users anew with all that came since, and log what it holds. Until it is
+        logged, readers see the earlier one; a merge that dies leaves nothing visible."""
+        batch, answers = self.latest_batch(), self.waiting_answers()
+        version = self._log("registry_log", REGISTRY_LOG).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+        folder = f"registry/version={version}-{uuid.uuid4().hex}"
+        everyone = self.users().filter("user_id is not null").distinct()
+        write_bucketed(gather(everyone, "user_id", self.user_buckets), f"{self.path}/{folder}", "user_id", self.user_buckets)
+        self._add("registry_log", REGISTRY_LOG, *[(version, folder, batch, answer) for answer in [None, *answers]])
+        return folder
+
+    def _registry(self) -> tuple[int, str | None]:
+        """The last batch that the table of users holds, and its folder."""
+        newest = self._log("registry_log", REGISTRY_LOG).agg(F.max(F.struct("version", "batch", "folder")).alias("r")).first().r
+        return (0, None) if newest is None else (newest.batch, newest.folder)
+
+    def waiting_answers(self) -> list[str]:
+        """Folders of answers with new users that the table of users doesn't hold; a few at most."""
+        taken = self._log("registry_log", REGISTRY_LOG).filter("answer is not null").select(F.col("answer").alias("folder"))
+        return [r.folder for r in self.user_log().filter("n_new > 0").join(taken, "folder", "left_anti").collect()]
 
     def largest_user_id(self) -> int:
         """The largest id that has ratings or was given out, from the logs."""
@@ -387,8 +430,8 @@ class Store:
 
     # Logs hold one row per batch, answer or version.
 
-    def _add(self, name: str, schema: T.StructType, row: tuple) -> None:
-        rows = self.spark.createDataFrame([row], schema).coalesce(1)
+    def _add(self, name: str, schema: T.StructType, *added: tuple) -> None:
+        rows = self.spark.createDataFrame(list(added), schema).coalesce(1)
         rows.write.mode("append").parquet(f"{self.path}/{name}")
 
     def _log(self, name: str, schema: T.StructType) -> DataFrame:

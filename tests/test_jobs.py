@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.config import PRESET_A, SplitConfig
-from ratingloom.operators import append, predict, profile
+from ratingloom.operators import append, predict, profile, registry
 from ratingloom.plans import conflicts, pipeline, submissions
 from ratingloom.plans import store as store_module
 from ratingloom.plans.recommender import Recommender
@@ -324,3 +324,30 @@ def test_waiting_files_are_taken_in_once(trained, tmp_path):
     ingest_uploads(trained.store, str(inbox), str(tmp_path / "other")).awaitTermination()
     assert trained.store.ratings().count() == before + 6
     assert trained.store.rejects().count() == 2
+
+
+def test_the_table_of_users_takes_in_answers_and_batches(spark, make, tmp_path, monkeypatch):
+    """Merged after every two answers: the same users and ids, few folders to read, no old batches."""
+    monkeypatch.setattr(store_module, "WAITING", 2)
+    schema = "user_id bigint, item_id bigint, rating double"
+    store = Store.create(spark, str(tmp_path / "s"))
+    store.append(make([(1, 1, 4.0), (2, 1, 3.0), (2, 2, 1.0)], schema), "first")
+    known = {1, 2}
+    for turn in range(7):
+        if turn == 3:
+            store.append(make([(40, 1, 4.0), (1, 2, 3.0)], schema), "second")
+            known.add(40)
+        requests = make([(1, None), (2, 2), (3, None)], schemas.USER_REQUESTS)
+        allocated = registry.allocate_users(requests, store.users(), "exists", store.largest_user_id())
+        answer = store.put_users(allocated, f"turn-{turn}")
+        new = {r.user_id for r in answer.collect() if r.is_new}
+        assert len(new) == 2 and not new & known
+        known |= new
+        assert {r.user_id for r in store.users().collect()} == known
+        assert len(store.waiting_answers()) <= 2
+    store.merge_users()
+    assert store.waiting_answers() == []
+    batch, folder = store._registry()
+    assert batch == 2 and sorted(r.user_id for r in store.registered(folder).collect()) == sorted(known)
+    moved = Store(spark, store.compact())
+    assert {r.user_id for r in moved.users().collect()} == known
