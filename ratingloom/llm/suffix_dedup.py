@@ -40,6 +40,9 @@ SHARD_CONTEXTS = 1024
 #: Bits of the filter of shared anchors that goes to every task, and how many anchors it serves.
 FILTER_BITS = 1 << 26
 FILTER_ANCHORS = FILTER_BITS // 4
+#: A context that holds more than one in so many places is dealt in several parts; there are fewer
+#: such contexts than this.
+HOT_SHARE = 2_000
 _WEIGHTS = mix(np.arange(1, 5, dtype=np.uint64)) | np.uint64(1)
 _PIECE = 8 << 20
 
@@ -365,7 +368,19 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     copied = whole.where("copies > 1").select("context", F.lit(0).cast("bigint").alias("low"), (F.col("windows") - 1).alias("high"))
     found = found.unionByName(copied)
     by_context = found.groupBy("context").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
-    return places.select("id", "h", "at", "context").join(by_context, "context").select("id", "h", "at", "ranges")
+    return _to_places(places.select("id", "h", "at", "context"), by_context, whole)
+
+
+def _to_places(places: DataFrame, by_context: DataFrame, whole: DataFrame) -> DataFrame:
+    """id, h, at and ranges of all places of the contexts with ranges. The places of a context that
+    thousands of copies share are dealt in parts of about one in HOT_SHARE of all places."""
+    share = (whole.agg(F.sum("copies")).first()[0] or 0) / HOT_SHARE
+    hot = whole.where(F.col("copies") > max(share, 1)).select("context", F.ceil(F.col("copies") / max(share, 1)).alias("deal"))
+    hot = F.broadcast(saved(hot, "hot-contexts"))  # fewer than HOT_SHARE rows, and 2 * HOT_SHARE parts
+    deal = F.coalesce("deal", F.lit(1))
+    dealt = places.join(hot, "context", "left").withColumn("deal", F.pmod(F.xxhash64("id", "h", "at"), deal))
+    copied = by_context.join(hot, "context", "left").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("bigint"), deal - 1)))
+    return dealt.join(copied, ["context", "deal"]).select("id", "h", "at", "ranges")
 
 
 def deduplicate(
