@@ -63,6 +63,13 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts and ends."""
+    inside = ~_SPACE[np.frombuffer(text, np.uint8)]
+    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    return edge[0::2], edge[1::2]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in order, and where each text's words start.
 
@@ -71,10 +78,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """
     if not texts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    inside = ~_SPACE[data]
-    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
-    start, end = edge[0::2], edge[1::2]
+    joined = b"\n".join(texts) + b"\n"
+    data = np.frombuffer(joined, np.uint8)
+    start, end = word_bounds(joined)
     sizes = np.array([len(t) for t in texts], np.int64) + 1
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     offsets = np.searchsorted(start, bounds)
@@ -115,4 +121,4 @@ def batches(texts: list[bytes], most: int):
         yield lo, len(texts)
 
 
-__all__ = ["WORD_SPACE", "batches", "combine", "discard", "fold", "fresh_path", "mix", "parts", "saved", "shared_dir", "word_hashes"]
+__all__ = ["WORD_SPACE", "batches", "combine", "discard", "fold", "fresh_path", "mix", "parts", "saved", "shared_dir", "word_bounds", "word_hashes"]

@@ -16,6 +16,9 @@ and all windows of an anchor can be judged together:
    fingerprints. The runs of a range meet in one task, and binary search finds the windows that other
    shards have too; these go back to their shards.
 4. Repeated windows go back to all documents with that context, where the bytes they cover go.
+
+The same is done in words: a text is then the string of its words' 64-bit hashes, in which a window of
+so many words is one of eight times as many bytes, and only whole words go.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ratingloom.llm.arrow import map_batches, map_groups
-from ratingloom.llm.common import mix, saved
+from ratingloom.llm.common import mix, saved, word_bounds, word_hashes
 
 LENGTH = 400
 ANCHOR = 32
@@ -47,6 +50,11 @@ _WEIGHTS = mix(np.arange(1, 5, dtype=np.uint64)) | np.uint64(1)
 _PIECE = 8 << 20
 
 
+def symbols(data: bytes, unit: str) -> bytes:
+    """What windows are taken from: the text's bytes, or the hashes of its words."""
+    return data if unit == "bytes" else word_hashes([data])[0].astype("<u8").tobytes()
+
+
 def words_at(data: bytes, order: str = "<") -> np.ndarray:
     """The 8 bytes at every position as one number; zeros follow the end."""
     return np.ndarray((len(data),), f"{order}u8", buffer=data + bytes(8), strides=(1,)).astype(np.uint64)
@@ -181,11 +189,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
 
 
-def _all_anchors(docs: DataFrame, length: int) -> DataFrame:
+def _all_anchors(docs: DataFrame, length: int, unit: str) -> DataFrame:
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
             for k, text in enumerate(batch.column(2).to_pylist()):
-                first, count, name = anchors((text or "").encode("utf-8", "surrogatepass"), length)
+                first, count, name = anchors(symbols((text or "").encode("utf-8", "surrogatepass"), unit), length)
                 if len(name):
                     own = batch.column(0).slice(k, 1).to_pylist() * len(name), batch.column(1).slice(k, 1).to_pylist() * len(name)
                     yield [*own, name.view(np.int64)]
@@ -204,7 +212,7 @@ def _filter(shared: DataFrame) -> np.ndarray:
     return out
 
 
-def _contexts(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+def _contexts(docs: DataFrame, shared: DataFrame, length: int, unit: str) -> DataFrame:
     """Contexts with a shared anchor (and few others): their place, name and, once a task, bytes."""
     spark = docs.sparkSession
     kind = docs.schema["id"].dataType.simpleString()
@@ -213,7 +221,7 @@ def _contexts(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
         bits = spark.sparkContext.broadcast(_filter(shared))
         given = docs.withColumn("wanted", F.lit(None).cast("array<bigint>"))
     else:  # too many for the filter: each document gets its own list
-        own = saved(_all_anchors(docs, length), "anchors").join(shared, "anchor").groupBy("id", "h").agg(F.collect_set("anchor").alias("wanted"))
+        own = saved(_all_anchors(docs, length, unit), "anchors").join(shared, "anchor").groupBy("id", "h").agg(F.collect_set("anchor").alias("wanted"))
         same = docs["id"].eqNullSafe(own["id"]) & (docs["h"] == own["h"])
         given = docs.join(own, same).select(docs["id"], docs["h"], docs["text"], "wanted")
 
@@ -222,7 +230,7 @@ def _contexts(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, h, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                data = (text or "").encode("utf-8", "surrogatepass")
+                data = symbols((text or "").encode("utf-8", "surrogatepass"), unit)
                 first, count, name = anchors(data, length)
                 if wanted is None:
                     spot = name % np.uint64(FILTER_BITS)
@@ -342,11 +350,12 @@ def _between_shards(judged: DataFrame) -> DataFrame:
     return map_groups(names.unionByName(found), ["shard", "sub"], back, "context binary, low bigint, high bigint")
 
 
-def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """id, h (hash of the text) and the repeated windows of each document, as ranges of starts."""
-    names = _all_anchors(docs, length).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+def repeated_ranges(docs: DataFrame, length: int, unit: str = "bytes") -> DataFrame:
+    """id, h (hash of the text) and the repeated windows of each document, as ranges of starts. All
+    are in bytes of what ``symbols`` makes of the text."""
+    names = _all_anchors(docs, length, unit).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     shared = saved(names.select("anchor"), "shared-anchors")
-    places = saved(_contexts(docs, shared, length), "contexts")
+    places = saved(_contexts(docs, shared, length, unit), "contexts")
     whole = places.groupBy("context").agg(
         F.count("*").alias("copies"), F.first("anchor").alias("anchor"), F.first("windows").alias("windows"), F.first("body", True).alias("body"),
     )
@@ -383,22 +392,37 @@ def _to_places(places: DataFrame, by_context: DataFrame, whole: DataFrame) -> Da
     return dealt.join(copied, ["context", "deal"]).select("id", "h", "at", "ranges")
 
 
+def _whole_words(data: bytes, spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+    """Spans of the words' hashes as spans of the text, each of at least ``length`` whole words."""
+    if not spans:
+        return spans
+    start, end = word_bounds(data)
+    whole = [(-(-low // 8), high // 8) for low, high in spans]
+    after = np.append(start[1:], end[-1:])
+    return [(int(start[low]), int(after[high - 1])) for low, high in whole if high - low >= length]
+
+
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = False,
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, unit: str = "bytes",
 ) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay.
 
-    Texts are UTF-8 bytes, null is empty. With ``with_text`` also the bytes that stay as text, where
+    Texts are UTF-8 bytes, null is empty. With ``unit="words"`` the length is in words, between which
+    any white space is as good as any other; words that go take the white space after them along, and
+    a text without white space is one word. With ``with_text`` also the bytes that stay as text, where
     a character cut apart is left out, and the columns named in ``keep`` as they are. Rows that repeat id and text count as places of their own,
     so all of a long enough text goes from each.
     """
+    if unit not in ("bytes", "words"):
+        raise ValueError(f"unknown unit {unit!r}")
     keep = keep or []
     given = _keyed(docs, id_col, text_col)
-    ranges = repeated_ranges(given, length)
+    size = length if unit == "bytes" else 8 * length
+    ranges = repeated_ranges(given, size, unit)
     given = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"), *(F.col(c).alias(f"keep_{c}") for c in keep))
     spread = ranges.select("id", "h", "at", F.explode("ranges").alias("r")).select(
-        "id", "h", (F.col("at") + F.col("r.low")).alias("low"), (F.col("at") + F.col("r.high") + length).alias("high"),
+        "id", "h", (F.col("at") + F.col("r.low")).alias("low"), (F.col("at") + F.col("r.high") + size).alias("high"),
     )
     own = spread.groupBy("id", "h").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     same = given["id"].eqNullSafe(own["id"]) & (given["h"] == own["h"])
@@ -410,8 +434,10 @@ def deduplicate(
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 kept, end, removed, count = [], 0, 0, 0
-                for span in spans or []:
-                    low, high = span["low"], span["high"]
+                spans = [(span["low"], span["high"]) for span in spans or []]
+                if unit == "words":
+                    spans = _whole_words(data, spans, length)
+                for low, high in spans:
                     if low > end or not count:
                         kept.append(data[end:low])
                         count += 1

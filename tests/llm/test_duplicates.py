@@ -243,6 +243,50 @@ def test_repeats_equal_brute_force(spark, monkeypatch, contexts, bits):
     assert found == [(i, *x) for i, x in enumerate(removed([t.encode() for t in texts], 400))]
 
 
+@pytest.mark.parametrize("contexts", [1024, 2])
+def test_repeated_words_equal_brute_force(spark, monkeypatch, contexts):
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3000)
+    length, dice = 51, random.Random(8)
+    short = " ".join(dice.choices("abcdefgh", k=140))  # 51 of these words have 101 bytes
+    texts = [sentence(k, 90) for k in range(10)] + [None, "", " \n", "word", "a " * 3000]
+    for k in range(14):
+        at = dice.randrange(80)
+        passage = short.split()[at:at + dice.choice((50, 51, 52, 60))]
+        texts.append(f" {sentence(100 + k, dice.randrange(5, 60))}\n{dice.choice((' ', chr(10))).join(passage)} {sentence(200 + k, dice.choice((0, 20)))}")
+    texts += [texts[0], texts[15]]
+    split = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for t in texts]
+    windows = Counter(tuple(w[i:i + length]) for w in split for i in range(len(w) - length + 1))
+    wanted = []
+    for text, words in zip(texts, split):
+        gone = {j for i in range(len(words) - length + 1) if windows[tuple(words[i:i + length])] > 1 for j in range(i, i + length)}
+        pieces = re.findall(r"^[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text or "")
+        front = pieces.pop(0) if len(pieces) > len(words) else ""
+        if len(words) - 1 in gone:  # what follows the last word stays
+            front_of_end = pieces[-1].rstrip()
+            tail = pieces[-1][len(front_of_end):]
+        else:
+            tail = ""
+        wanted.append(None if text is None else front + "".join(p for j, p in enumerate(pieces) if j not in gone) + tail)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = suffix_dedup.deduplicate(docs, length=length, unit="words", with_text=True).orderBy("doc_id").collect()
+    assert [r.kept for r in found] == wanted
+    assert sum(r.n_removed > 0 for r in found) > 8
+
+
+def test_places_of_a_hot_context_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 20)
+    texts = [sentence(1, 90)] * 400 + [sentence(k, 90) for k in range(2, 40)] + [sentence(5, 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dealt = []
+    join = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda a, b, on=None, how=None: dealt.append((a, on)) or join(a, b, on, how))
+    found = sorted(tuple(r) for r in suffix_dedup.deduplicate(docs).collect())
+    assert found == [(i, *x) for i, x in enumerate(removed([t.encode() for t in texts], 400))]
+    placed = next(a for a, on in dealt if on == ["context", "deal"])
+    assert max(r["count"] for r in placed.groupBy("context", "deal").count().collect()) < 100
+
+
 def test_repeats_in_odd_documents(odd_documents, no_documents):
     rows = odd_documents.collect()
     found = suffix_dedup.deduplicate(odd_documents, length=100, with_text=True, keep=["h", "key"]).collect()
