@@ -9,8 +9,8 @@ from ratingloom.llm import langid, ngram_join, packing, suffix_dedup, tiling
 from ratingloom.llm.common import saved
 from ratingloom.llm.tokens import public_path
 
-#: Shorter than the operator's default: about fifty words.
-REPEATED_BYTES = 250
+#: Passages of over fifty words go where they stand more than once.
+REPEATED_WORDS = 51
 
 
 def packed_columns(docs: DataFrame, *shown: str) -> DataFrame:
@@ -47,8 +47,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings that stand elsewhere too; a document with nothing else goes."""
-    found = suffix_dedup.deduplicate(packed_columns(docs, "doc_id", "text"), length=REPEATED_BYTES, with_text=True, keep=["rest__"])
+    """Texts without the runs of words that stand elsewhere too; a document with nothing else goes."""
+    found = suffix_dedup.deduplicate(packed_columns(docs, "doc_id", "text"), length=REPEATED_WORDS, unit="words", with_text=True, keep=["rest__"])
     left = found.where((F.col("n_removed") == 0) | (F.trim("kept") != ""))
     return unpacked_columns(left, docs, text=F.col("kept"), n_chars=F.length("kept").cast("bigint"))
 
