@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 Columns = list
+#: Bytes of a group after which memory is given back.
+LARGE_GROUP = 256 << 10
+#: glibc has this call, other C libraries give back by themselves.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -21,6 +26,14 @@ def findable(table: DataFrame) -> DataFrame:
     return table
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Spark uses a worker again for later tasks, and what an
+    earlier one's arrays took would stay with it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def batch_of(columns: Columns, schema: pa.Schema) -> pa.RecordBatch:
     arrays = []
     for column, field in zip(columns, schema, strict=True):
@@ -47,8 +60,11 @@ def map_batches(table: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iter
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(schema)
-        for columns in run(batches):
-            yield batch_of(columns, target)
+        try:
+            for columns in run(batches):
+                yield batch_of(columns, target)
+        finally:
+            give_back()
 
     return findable(table).mapInArrow(apply, schema)
 
@@ -58,6 +74,9 @@ def map_groups(table: DataFrame, keys: list[str], run: Callable[[pa.Table], Colu
     schema = StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl
 
     def apply(rows: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([batch_of(run(rows), to_arrow_schema(schema))])
+        out = pa.Table.from_batches([batch_of(run(rows), to_arrow_schema(schema))])
+        if rows.nbytes >= LARGE_GROUP:
+            give_back()
+        return out
 
     return findable(table).groupBy(*keys).applyInArrow(apply, schema)
