@@ -25,7 +25,6 @@ from ratingloom.llm.common import fold, saved
 
 #: Bound of the labelled sample: examples of each label.
 EXAMPLES = 4_000
-MAX_TERMS = 4_096
 NEIGHBOURS = 15
 BLOCK = 64
 #: A term needs this many different contexts in toxic examples, this z score, and may not be in a
@@ -144,9 +143,9 @@ def _examples(docs: DataFrame, labels: DataFrame, held_out: int, folds: int, mos
     return texts, {t: total[t] / n for t, n in used.items()}
 
 
-def _terms(texts: DataFrame, weight: dict[int, float], most: int) -> dict[str, float]:
+def _terms(texts: DataFrame, weight: dict[int, float]) -> dict[str, float]:
     """The terms that mark toxic examples, with their inverse document frequency; examples count as
-    many texts as they stand for."""
+    many texts as they stand for. The sample bounds their number, nothing else does."""
     used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     n = sum(weight[t] * k for t, k in used.items())
 
@@ -175,16 +174,16 @@ def _terms(texts: DataFrame, weight: dict[int, float], most: int) -> dict[str, f
     share = (F.col("a") + F.col("b")) / (total["a"] + total["b"])
     z = (F.col("a") / total["a"] - F.col("b") / total["b"]) / F.sqrt(share * (1 - share) * (1 / total["a"] + 1 / total["b"]))
     chosen = stats.withColumn("z", z).where((F.col("a") >= LEAST_CONTEXTS) & (F.col("z") >= LEAST_Z) & (F.col("plain") <= max(MOST_COMMON * used.get(0, 0), LEAST_CONTEXTS)))
-    rows = chosen.orderBy(F.col("z").desc(), "term").limit(most).select("term", "marked", "plain").collect()
+    rows = chosen.select("term", "marked", "plain").collect()
     df = [weight.get(1, 0) * r["marked"] + weight.get(0, 0) * r["plain"] for r in rows]
     return {r["term"]: float(np.log((1 + n) / (1 + d)) + 0.01) for r, d in zip(rows, df)}
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, examples: int = EXAMPLES, max_terms: int = MAX_TERMS) -> tuple[Index, np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, examples: int = EXAMPLES) -> tuple[Index, np.ndarray, np.ndarray]:
     """Index and calibration, from labelled rows outside the held-out fold. At most ``examples`` different
-    texts of each label and ``max_terms`` terms are used."""
+    texts of each label are used, and all terms in them that mark toxic ones."""
     texts, weight = _examples(docs, labels, held_out, folds, examples)
-    terms = _terms(texts, weight, max_terms)
+    terms = _terms(texts, weight)
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in given:
