@@ -134,6 +134,12 @@ _RAW = {
     "user_ratings": """
         SELECT user_id, item_id, rating FROM ratings
         WHERE user_id IN (SELECT user_id FROM events)""",
+    "stored_user_ratings": """
+        SELECT 'few' AS asked, user_id, item_id, rating FROM ratings
+        WHERE user_id IN (SELECT r_regionkey FROM region)
+        UNION ALL
+        SELECT 'many', user_id, item_id, rating FROM ratings
+        WHERE user_id IN (SELECT user_id FROM events)""",
     "rated_items": """
         SELECT user_id, item_id, title, rating FROM items JOIN ratings USING (item_id)""",
     "item_popularity": "SELECT * FROM popularity",

@@ -408,6 +408,18 @@ def latest_versions(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def stored_user_ratings(spark, folder):
+    """Ratings of a few users, and of many, from the buckets of a store of two batches."""
+    store = Store.create(spark, fresh_path(spark, "store"))
+    for name, batch in zip(("early", "late"), base_and_batch(spark, folder, EARLY_CUT)):
+        store.append(batch, name)
+    few = table(spark, folder, "region").select(F.col("r_regionkey").cast("bigint").alias("user_id"))
+    asked = {"few": few, "many": table(spark, folder, "events")}
+    parts = [store.ratings_of(users).select(F.lit(name).alias("asked"), "user_id", "item_id", "rating") for name, users in asked.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def predict_stored(spark, folder):
     """Test rows of a store meet the user factors in their buckets."""

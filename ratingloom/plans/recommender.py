@@ -87,7 +87,9 @@ class Recommender:
     # Ratings
 
     def ratings_for(self, users: DataFrame) -> DataFrame:
-        return lookup.user_ratings(self.ratings, users).select("user_id", "item_id", "rating")
+        row = self.log().first()
+        found = self.store.ratings_of(users, row.batch, row.on_conflict)
+        return found.select("user_id", "item_id", "rating")
 
     def add_ratings(self, new: DataFrame, source: str, **options) -> "Recommender":
         """``options``: ``min_rating``, ``max_rating``, ``on_conflict``."""

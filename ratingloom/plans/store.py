@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.config import SplitConfig
+from ratingloom.operators import lookup
 from ratingloom.operators.factorize import factors, load_model, save_model
 from ratingloom.operators.sampling import split_part
 from ratingloom.plans import conflicts
@@ -35,6 +36,8 @@ from ratingloom.sources.staging import read_staged, stage
 USER_BUCKETS = 8
 #: The ratings are read by buckets, one task each, if none holds more bytes than this.
 BUCKET_BYTES = 512 << 20
+#: So many users, or fewer, are looked up by their ids; the ratings of more are found by a join.
+FEW_USERS = 100
 #: Answers, or batches of ratings, that may wait before the table of users takes them in.
 WAITING = 16
 
@@ -256,6 +259,24 @@ class Store:
             return conflicts.current(self, upto, conflicts.settle(self, upto), part).drop("batch")
         return self.stored(upto, part, by_user and self.even_buckets(upto)).drop("batch", "part")
 
+    def ratings_of(self, users: DataFrame, upto: int | None = None, on_conflict: str = "keep") -> DataFrame:
+        """Ratings of the users in a table; asking for a user twice changes nothing.
+
+        The ids of a few go to the files as they are: of the buckets only theirs are opened, and in
+        these, page bounds, dictionaries and Bloom filters leave out what holds none of them. More
+        users meet the ratings in their buckets, for which the ratings aren't moved.
+        """
+        asked = users.select("user_id").filter("user_id is not null").distinct()
+        few = [r.user_id for r in asked.limit(FEW_USERS + 1).collect()]
+        if len(few) <= FEW_USERS:
+            upto = self.latest_batch() if upto is None else upto
+            wanted = F.col("user_id").isin(few)
+            # nothing here needs whole buckets, so a large one is read in several splits
+            if on_conflict == "keep":
+                return self.stored(upto, by_user=True).filter(wanted).drop("batch", "part")
+            return self.ratings(upto, on_conflict=on_conflict).filter(wanted)
+        return lookup.user_ratings(self.ratings(upto, on_conflict=on_conflict, by_user=True), asked)
+
     def even_buckets(self, upto: int) -> bool:
         """Whether no user bucket, as of a batch, has more bytes than one task should read."""
         most = self.rating_log().filter(F.col("batch") <= upto).agg(F.sum("largest_bucket")).first()[0]

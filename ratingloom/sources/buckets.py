@@ -23,9 +23,11 @@ def gather(table: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def write_bucketed(gathered: DataFrame, path: str, key: str, buckets: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace what is under ``path`` by a table from ``gather``. Files are sorted by the key."""
+    """Replace what is under ``path`` by a table from ``gather``. Files are sorted by the key, and keep
+    a Bloom filter of it where no dictionary tells as much."""
     name = f"bucketed_{uuid.uuid4().hex}"
     writer = gathered.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     gathered.sparkSession.sql(f"DROP TABLE {name}")
 

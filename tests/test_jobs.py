@@ -10,6 +10,7 @@ from ratingloom.plans import conflicts, pipeline, submissions
 from ratingloom.plans import store as store_module
 from ratingloom.plans.recommender import Recommender
 from ratingloom.plans.store import Store
+from ratingloom.sources.buckets import gather, write_bucketed
 from ratingloom.streaming.uploads import ingest_uploads
 from tests.conftest import rows_of
 
@@ -104,6 +105,41 @@ def test_test_rows_meet_user_factors_where_they_lie(trained, spark, capsys):
     assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") == 2
 
 
+def files_read(table):
+    """Files that the scans of a query without a shuffle open."""
+    leaves = table._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size())]
+    return sum(len(part.files()) for scan in scans for part in scan.inputRDD().partitions())
+
+
+def test_few_users_open_the_files_of_their_buckets(spark, make, tmp_path, monkeypatch):
+    rows = spark.range(20_000).selectExpr("id % 3001 as user_id", "id % 100 as item_id", "2.0D as rating")
+    store = Store.create(spark, str(tmp_path / "s"))
+    for name, mod in (("a", 0), ("b", 1)):
+        store.append(rows.filter(F.col("item_id") % 2 == mod), name)
+    users = make([(7,), (7,), (None,), (5000,)], "user_id bigint")
+    expected = rows_of(rows.filter("user_id = 7"))
+    columns = ["user_id", "item_id", "rating"]
+    assert rows_of(store.ratings_of(users).select(*columns)) == expected
+    assert rows_of(store.ratings_of(users, on_conflict="latest").select(*columns)) == rows_of(rows.filter("user_id = 7").distinct())
+    one = store.ratings_of(make([(7,)], "user_id bigint")).select(*columns)
+    everything = files_read(store.ratings(by_user=True))
+    assert 0 < files_read(one) <= everything // 4
+    assert store.ratings_of(make([], "user_id bigint")).count() == 0
+    monkeypatch.setattr(store_module, "FEW_USERS", 1)
+    assert rows_of(store.ratings_of(users).select(*columns)) == expected
+
+
+def test_long_keys_have_bloom_filters(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    keys = spark.range(0, 400_000).selectExpr("id * 7919 as user_id")
+    write_bucketed(gather(keys, "user_id", 1), path, "user_id", 1)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = next(p for p in (tmp_path / "wide").iterdir() if p.suffix == ".parquet")
+    footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(str(file)))
+    assert footer.getBlocks().get(0).getColumns().get(0).getBloomFilterOffset() > 0
+
+
 def test_what_is_superseded_is_written_once(trained, make, spark, capsys):
     store = trained.store
     store.append(make([(3, 2, 0.5), (3, 2, 1.5), (3, 19, 1.0), (80, 1, 1.0)], schemas.RATINGS), "a")
