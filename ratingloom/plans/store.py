@@ -1,7 +1,7 @@
 """Versioned tables in one folder: items, rating batches, users given out, models and their logs.
 
 Nothing is changed in place but by ``compact``. Ratings grow by one folder ``batch=<n>`` per append
-and a batch counts only once its row is in the rating log, so a job that dies half-way leaves
+and a batch counts only once its row is in the rating log, a part of the manifest, so a job that dies half-way leaves
 nothing visible and can simply be run again. Item tables, answers to requests for users and models
 have folders of their own, named by their logs. One writer at a time; any number of readers.
 
@@ -29,6 +29,7 @@ from ratingloom.operators import lookup
 from ratingloom.operators.factorize import factors, load_model, save_model
 from ratingloom.operators.sampling import split_part
 from ratingloom.plans import conflicts
+from ratingloom.plans.manifest import Manifest
 from ratingloom.sources.buckets import bucket_bytes, bucketed_table, gather, write_bucketed
 from ratingloom.sources.staging import read_staged, stage
 
@@ -136,6 +137,7 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.manifest = Manifest(spark, self.path)
         settings = self._log("settings", SETTINGS).first().asDict()
         self.user_buckets = settings.pop("user_buckets")
         self.split = SplitConfig(**settings)
@@ -144,21 +146,12 @@ class Store:
     def create(
         cls, spark: SparkSession, path: str, split: SplitConfig = SplitConfig(), user_buckets: int = USER_BUCKETS
     ) -> "Store":
-        """Open a store; a new one gets empty logs and keeps its settings for good. Choose
+        """Open a store; a new one gets a first manifest and keeps its settings for good. Choose
         ``user_buckets`` once, for the largest size expected."""
         setting = (split.seed, split.buckets, split.train_buckets, user_buckets)
-        for name, rows, schema in (
-            ("settings", [setting], SETTINGS),
-            ("rating_log", [], RATING_LOG),
-            ("user_log", [], USER_LOG),
-            ("registry_log", [], REGISTRY_LOG),
-            ("item_log", [], ITEM_LOG),
-            ("model_log", [], MODEL_LOG),
-            ("settled_log", [], conflicts.SETTLED_LOG),
-            ("count_log", [], COUNT_LOG),
-        ):
-            table = spark.createDataFrame(rows, schema).coalesce(1)
-            table.write.mode("ignore").parquet(f"{path.rstrip('/')}/{name}")
+        manifest = Manifest(spark, path)
+        if not manifest.versions():
+            manifest.add("settings", SETTINGS, setting)
         return cls(spark, path)
 
     # Items
@@ -335,10 +328,8 @@ class Store:
         target = Store.create(self.spark, path, self.split, self.user_buckets)
         rows = gather(self._stored(upto), "user_id", self.user_buckets)
         write_bucketed(rows, f"{path}/ratings", "user_id", self.user_buckets, ("batch", "part"))
-        for name, schema in (
-            ("rating_log", RATING_LOG), ("user_log", USER_LOG), ("item_log", ITEM_LOG), ("model_log", MODEL_LOG),
-        ):
-            self._log(name, schema).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+        moved = F.col("log").isin("rating_log", "user_log", "item_log", "model_log")
+        target.manifest.extend(self.manifest.entries().filter(moved))
         for row in self._log("item_log", ITEM_LOG).collect():
             stage(self.items(row.items_version), f"{path}/items/version={row.items_version}", ["item_id"])
         for row in self.user_log().collect():
@@ -449,11 +440,10 @@ class Store:
     def model_log(self) -> DataFrame:
         return self._log("model_log", MODEL_LOG)
 
-    # Logs hold one row per batch, answer or version.
+    # Logs hold one row per batch, answer or version; all of them are in one manifest.
 
     def _add(self, name: str, schema: T.StructType, *added: tuple) -> None:
-        rows = self.spark.createDataFrame(list(added), schema).coalesce(1)
-        rows.write.mode("append").parquet(f"{self.path}/{name}")
+        self.manifest.add(name, schema, *added)
 
     def _log(self, name: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        return self.manifest.log(name, schema)

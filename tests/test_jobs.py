@@ -2,12 +2,15 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratingloom import schemas
 from ratingloom.config import PRESET_A, SplitConfig
 from ratingloom.operators import append, predict, profile, registry
 from ratingloom.plans import conflicts, pipeline, submissions
+from ratingloom.plans import manifest as manifest_module
 from ratingloom.plans import store as store_module
+from ratingloom.plans.manifest import Manifest
 from ratingloom.plans.recommender import Recommender
 from ratingloom.plans.store import Store
 from ratingloom.sources.buckets import gather, write_bucketed
@@ -105,6 +108,45 @@ def test_test_rows_meet_user_factors_where_they_lie(trained, spark, capsys):
     assert "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") == 2
 
 
+def test_a_manifest_is_one_file_whatever_was_added(spark, tmp_path, monkeypatch):
+    schema = StructType.fromDDL("n bigint, name string, x double")
+    manifest = Manifest(spark, str(tmp_path))
+    assert manifest.versions() == [] and manifest.log("a", schema).count() == 0
+    monkeypatch.setattr(manifest_module, "KEPT", 3)
+    rows = [(k, f'"{k}"\nü', None if k % 2 else k / 3) for k in range(8)]
+    for row in rows:
+        manifest.add("a", schema, row)
+    manifest.add("b", schema, (1, None, None), (None, None, None))
+    assert manifest.versions() == [6, 7, 8] and manifest.entries().inputFiles()[0].endswith("v0000000008.json")
+    assert rows_of(manifest.log("a", schema)) == rows and manifest.log("b", schema).count() == 2
+    assert len(manifest.entries(7).collect()) == 8  # an earlier version is as it was
+    assert not [f for f in (tmp_path / "manifest").iterdir() if f.name.startswith("_writing")]
+
+
+def test_a_writer_that_dies_or_comes_late_loses_nothing(spark, tmp_path, monkeypatch):
+    schema = StructType.fromDDL("n bigint")
+    manifest = Manifest(spark, str(tmp_path))
+    manifest.add("a", schema, (1,))
+    put = Manifest._put
+
+    def die(*given):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Manifest, "_put", die)
+    with pytest.raises(KeyboardInterrupt):
+        manifest.add("a", schema, (2,))
+    assert rows_of(manifest.log("a", schema)) == [(1,)]
+
+    def overtaken(self, folder, version):
+        monkeypatch.setattr(Manifest, "_put", put)
+        Manifest(spark, str(tmp_path)).add("a", schema, (3,))
+        return put(self, folder, version)
+
+    monkeypatch.setattr(Manifest, "_put", overtaken)
+    manifest.add("a", schema, (4,))
+    assert rows_of(manifest.log("a", schema)) == [(1,), (3,), (4,)] and len(manifest.versions()) == 3
+
+
 def files_read(table):
     """Files that the scans of a query without a shuffle open."""
     leaves = table._jdf.queryExecution().executedPlan().collectLeaves()
