@@ -20,6 +20,11 @@ from ratingloom.workspace import findable
 
 #: Ids of a block, on average. A cell's left-out pairs are at most their product.
 USER_BLOCK, ITEM_BLOCK = 2048, 16_384
+#: Blocks of a side at most: each user goes to every item block and each item to every user block,
+#: so beyond this the blocks grow instead, and the rows shuffled stay a fixed multiple of the ids.
+GRID = 16
+#: Scores held at once in a cell, at most; fewer users at once where a cell has many items.
+SCORES = 1 << 22
 #: Tasks that cells are dealt to, where the session has fewer.
 CELL_TASKS = 256
 #: Users whose scores are held at once in a cell.
@@ -42,8 +47,8 @@ def best_outside(
     n_users = asked.count()
     if not n_users or n < 1:
         return _ranked(asked.limit(0).selectExpr("user_id", "user_id as item_id", "float(0) as score"), n)
-    u = -(-n_users // user_block)
-    i = -(-model.itemFactors.count() // item_block)
+    u = min(-(-n_users // user_block), GRID)
+    i = min(-(-model.itemFactors.count() // item_block), GRID)
     cells = _cells(asked, factors(model, "item"), left_out, u, i)
 
     def run(cell: pa.Table) -> pa.Table:
@@ -85,10 +90,10 @@ def _best_of_cell(cell: pa.Table, n: int) -> pa.Table:
     at_user, at_item = at_user[known], at_item[known]
     order = np.argsort(at_user, kind="stable")
     at_user, at_item = at_user[order], at_item[order]
-    found = []
-    for lo in range(0, len(users), ROWS):
-        scores = user_factors[lo:lo + ROWS] @ item_factors.T
-        a, b = np.searchsorted(at_user, (lo, lo + ROWS))
+    found, rows = [], max(1, min(ROWS, SCORES // len(items)))
+    for lo in range(0, len(users), rows):
+        scores = user_factors[lo:lo + rows] @ item_factors.T
+        a, b = np.searchsorted(at_user, (lo, lo + rows))
         scores[at_user[a:b] - lo, at_item[a:b]] = -np.inf
         row, column = _largest(scores, n)
         found.append((users[lo + row], items[column], scores[row, column]))

@@ -148,3 +148,24 @@ def test_check_of_best_lists_notices_faults(fitted, make):
     lists = make([r for own in wrong.values() for r in own], schema)
     found = checks.nothing_better(model, lists, 4, ratings.select("user_id", "item_id"))
     assert {r.user_id: r.best_ok for r in found.collect()} == {2: True, 3: False, 4: False, 5: False, 6: False, 7: True}
+
+
+def test_blocks_beyond_the_grid_grow_instead_of_copying_more(fitted, monkeypatch):
+    """With a block per id, users and items go to at most GRID blocks of the other side each; and a
+    cell that holds a single user's scores at a time still gives the same lists."""
+    ratings, model, scores, rows = fitted
+    made = []
+
+    def counted(*args):
+        cells = cells_of(*args)
+        made.append(cells.filter(f"kind != {blocks._PAIR}").count())
+        return cells
+
+    cells_of = blocks._cells
+    monkeypatch.setattr(blocks, "_cells", counted)
+    monkeypatch.setattr(blocks, "SCORES", 1)
+    lists = blocks.best_outside(model, 5, ratings, user_block=1, item_block=1)
+    assert made and made[0] <= blocks.GRID * (N_USERS + N_ITEMS)
+    wanted = {u: best(scores, u, 5, rows) for u in range(N_USERS)}
+    assert lists_of(lists) == {u: items for u, items in wanted.items() if items}
+
