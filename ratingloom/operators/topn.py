@@ -15,24 +15,14 @@ def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFr
 
     Users without training ratings get no rows; asking for a user twice gives one list.
     Items the user rated already are not left out, see ``recommend_unseen``.
+
+    The same pass over pairs of factor blocks as ``recommend_unseen``, with nothing left out: each
+    cell is one matrix product and only n rows per user leave it. Equal scores go by item id.
     """
-    if users is None:
-        lists = model.recommendForAllUsers(n)
-    else:
-        asked = users.filter(fits_id_range("user_id")).select(F.col("user_id").cast("int"))
-        lists = model.recommendForUserSubset(asked, n)
-    return _flatten(lists)
-
-
-def _flatten(lists: DataFrame) -> DataFrame:
-    return lists.select(
-        F.col("user_id").cast("bigint"), F.posexplode("recommendations").alias("pos", "entry")
-    ).select(
-        "user_id",
-        (F.col("pos") + 1).alias("rank"),
-        F.col("entry.item_id").cast("bigint").alias("item_id"),
-        F.col("entry.rating").alias("score"),
-    )
+    if users is not None:
+        users = users.filter(fits_id_range("user_id")).select(F.col("user_id").cast("bigint"))
+    nothing = model.userFactors.sparkSession.createDataFrame([], "user_id bigint, item_id bigint")
+    return best_outside(model, n, nothing, users)
 
 
 def with_titles(recommendations: DataFrame, items: DataFrame) -> DataFrame:

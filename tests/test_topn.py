@@ -169,3 +169,15 @@ def test_blocks_beyond_the_grid_grow_instead_of_copying_more(fitted, monkeypatch
     wanted = {u: best(scores, u, 5, rows) for u in range(N_USERS)}
     assert lists_of(lists) == {u: items for u, items in wanted.items() if items}
 
+
+def test_lists_of_all_users_leave_mllib_blocks_alone(fitted, monkeypatch):
+    """All users' lists are the factor blocks' own products, with equal scores by item id, and
+    don't go through MLlib's row-by-row top-N."""
+    _, model, scores, _ = fitted
+
+    def refused(*args):
+        raise AssertionError("recommendForAllUsers")
+
+    monkeypatch.setattr(type(model), "recommendForAllUsers", refused)
+    monkeypatch.setattr(type(model), "recommendForUserSubset", refused)
+    assert lists_of(topn.recommend(model, 3)) == {u: best(scores, u, 3) for u in range(N_USERS)}
