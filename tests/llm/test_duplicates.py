@@ -357,3 +357,23 @@ def test_leaks_of_the_data(spark, small_data):
     whole = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     found = {(r.doc_id, r.item_id): r.coverage for r in op9_tiling(spark, small_data).collect()}
     assert whole and whole == {k for k, c in found.items() if c == 1.0}
+
+
+def test_repeats_of_the_real_documents_equal_brute_force(spark):
+    """All windows of 400 bytes of the given documents at sf0.01, counted by their digests."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    texts = [(r.text or "").encode() for r in rows]
+    digest = [[hashlib.blake2b(t[i:i + 400], digest_size=16).digest() for i in range(len(t) - 399)] for t in texts]
+    count = Counter(d for own in digest for d in own)
+    wanted = []
+    for t, own in zip(texts, digest):
+        gone = np.zeros(len(t), bool)
+        for i, d in enumerate(own):
+            if count[d] > 1:
+                gone[i:i + 400] = True
+        low, _ = suffix_dedup._runs(gone)
+        wanted.append((len(t), int(gone.sum()), len(low), hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
+    found = Counter(tuple(r) for r in suffix_dedup.deduplicate(docs).collect())
+    assert found == Counter((r.doc_id, *x) for r, x in zip(rows, wanted))
+    assert sum(x[1] > 0 for x in wanted) > 0
