@@ -4,11 +4,12 @@ The pages of a host share layouts. Which texts are template is counted over all
 a text is constant where most of the pages that have its slot, the keys on the way from the root,
 hold it there. Siblings of one key share a slot, so a run's length doesn't matter; cells of tables
 and lists of definitions, whose values come from few, count by position. Pages that mostly repeat
-another count once. A bounded sample of different pages, without constant texts, is aligned by
+another count once. Every different page of a host is learned from: the pages are dealt by hash
+into groups of about ``SAMPLE_PAGES``, and a group's pages, without constant texts, are aligned by
 simple tree matching; the part that holds all varying text outside menus, forms, notices and the
-like is the content. Every page is then aligned with its host's template: what stands in the content
-becomes text, constant text and everything outside goes. Where a page holds varying text outside
-that part, its own content counts instead.
+like is the content. Every page is then aligned with its own group's template: what stands in the
+content becomes text, constant text and everything outside goes. Where a page holds varying text
+outside that part, its own content counts instead.
 """
 
 from __future__ import annotations
@@ -20,14 +21,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm.arrow import map_batches, map_groups
 from ratingloom.llm.common import saved
 from ratingloom.llm.dom import BLOCKS, RAW, Node, Pairs, folded, match, parse, walk
 
-#: Different pages of a host that the place of its content is learned from.
+#: Different pages of a host that the place of its content is learned from together, at most (on
+#: average: a host's pages are dealt by hash into as many groups as this size needs).
 SAMPLE_PAGES = 12
 #: Siblings of one kind that the template keeps of a run, for that place alone.
 RUN = 3
@@ -382,20 +384,26 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     given = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host(url_col).alias("host"))
     given = given.withColumn("h", F.xxhash64("html"))
     constants = _constants(given)
-    order = Window.partitionBy("host").orderBy("h")
-    keys = given.where("html <> ''").select("host", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_PAGES)
-    keys = saved(keys, "sample-keys")
-    sample = given.select("host", "h", "html").join(keys, ["host", "h"]).dropDuplicates(["host", "h"]).join(constants, "host", "left")
+    different = given.where("html <> ''").select("host", "h").distinct()
+    groups = different.groupBy("host").agg(F.ceil(F.count("*") / SAMPLE_PAGES).alias("groups"))
+    groups = saved(groups.join(constants, "host", "left"), "host-groups")
+    size = groups.agg(F.sum(64 + 8 * F.greatest(F.size("marks"), F.lit(0)))).first()[0] or 0
+    given = given.join(F.broadcast(groups) if size <= SENT_BYTES else groups, "host", "left")
+    given = given.withColumn("part", F.pmod("h", "groups"))
+    # one shuffle of the different pages: their groups are dealt by (host, part) already
+    sample = given.where("html <> '' and part is not null").select("host", "part", "h", "html", "marks").repartition("host", "part")
+    sample = sample.dropDuplicates(["host", "part", "h"])
 
     def learn(rows: pa.Table) -> list:
-        rows = rows.sort_by("r")
+        rows = rows.sort_by("h")
         marks = rows.column("marks")[0].as_py() or []
         templates = induce(rows.column("html").to_pylist(), set(marks))
-        return [[rows.column("host")[0].as_py()], [json.dumps([templates, sorted(marks)], separators=(",", ":"))]]
+        own = [rows.column("host")[0].as_py()], [rows.column("part")[0].as_py()]
+        return [*own, [json.dumps([templates, sorted(marks)], separators=(",", ":"))]]
 
-    learned = saved(map_groups(sample.select("host", "html", "r", "marks"), ["host"], learn, "host string, template string"), "templates")
+    learned = saved(map_groups(sample, ["host", "part"], learn, "host string, part bigint, template string"), "templates")
     size = learned.agg(F.sum(F.length("template") + 64)).first()[0] or 0
-    joined = given.join(F.broadcast(learned) if size <= SENT_BYTES else learned, "host", "left")
+    joined = given.join(F.broadcast(learned) if size <= SENT_BYTES else learned, ["host", "part"], "left")
     kind = given.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:

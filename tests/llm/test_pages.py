@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from ratingloom.llm import wrappers
@@ -151,3 +153,20 @@ def test_pages_of_any_depth(spark):
     found = extracted(spark, pages)
     assert [found[n] for n in range(6)] == [f"story {n} of a deep page" for n in range(6)]
     assert found[6] == "text\nend"
+
+
+def test_templates_are_learned_from_every_page(spark, monkeypatch):
+    """Each different page of a host is in one group that templates are learned from, and groups
+    stay near SAMPLE_PAGES however many pages the host has."""
+    fitted = []
+    map_groups = wrappers.map_groups
+    monkeypatch.setattr(wrappers, "map_groups", lambda table, keys, *a: fitted.append((table, keys)) or map_groups(table, keys, *a))
+    rows = [(n, "http://many.example/", page(n)) for n in range(100)] + [(n, "http://few.example/", page(n)) for n in range(100, 105)]
+    rows += [(200, "http://many.example/", page(0)), (201, "http://many.example/", "")]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in wrappers.extract_pages(given).collect()}
+    table, keys = fitted[-1]
+    learned = table.collect()
+    assert sorted(r.html for r in learned) == sorted({html for _, _, html in rows if html})
+    assert max(Counter(tuple(r[k] for k in keys) for r in learned).values()) <= 2 * wrappers.SAMPLE_PAGES
+    assert all(found[n] == wanted(n, shared=False) for n in range(105)) and found[200] == found[0] and found[201] == ""
