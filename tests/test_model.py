@@ -95,6 +95,21 @@ def test_predictions_say_what_is_unknown(low_rank, make):
     assert shown.title == "Heat" and shown.predicted_rating == pytest.approx(exact, abs=0.0051)
 
 
+def test_report_keeps_the_exact_prediction_in_one_pass(low_rank, make):
+    train, _ = low_rank
+    model = factorize.fit(train)
+    asked = make([(1, 1), (1, 1), (999, 1)], schemas.PAIRS)
+    items = make([(1, "Heat", "Action"), (1, "Heat", "Action"), (1, "Fire", "Drama")], schemas.ITEMS)
+    titles = items.select("item_id", "title").distinct()
+    report = predict.prediction_report(predict.predict(model, asked), titles, keep_exact=True)
+    rows = report.collect()
+    assert sorted((r.user_id, r.title) for r in rows) == [
+        (1, "Fire"), (1, "Fire"), (1, "Heat"), (1, "Heat"), (999, "Fire"), (999, "Heat"),
+    ]
+    assert all(r.predicted_rating == pytest.approx(r.prediction, abs=0.0051) for r in rows
+               if r.status == "ok")
+
+
 def test_rmse_equals_the_evaluator(low_rank):
     train, test = low_rank
     model = factorize.fit(train)
