@@ -20,9 +20,11 @@ def optimality(
     error over its user's n ratings: sum of v (v.u - r), plus reg_param n u. ``ok`` means no
     component of the gradient, divided by n, exceeds the tolerance.
     """
-    # Users are joined first: each join is then followed by a shuffle, so hot users and items can
-    # be split, and sums are taken per task before they move.
-    rows = train.join(factors(model, "user"), "user_id").join(factors(model, "item"), "item_id")
+    # Items are joined first; then each user's rows are brought together once and summed where
+    # they arrive. Sums taken per task before they move would be one row per user and task, so
+    # they would grow with the tasks and not only with the ratings.
+    rows = train.join(factors(model, "item"), "item_id").repartition("user_id")
+    rows = rows.join(factors(model, "user"), "user_id")
     error = dot(F.col("user_factor"), F.col("item_factor"), model.rank) - F.col("rating")
     components = range(model.rank)
     sums = rows.withColumn("_error", error).groupBy("user_id").agg(

@@ -170,3 +170,24 @@ def test_split_model_and_constant(spark, small_data):
     users = factorize.factors(model, "user").select("user_id")
     assert rows_of(users) == rows_of(train.select("user_id").distinct())
     assert evaluate.rmse(predict.predict(model, test)).first().n == 1127
+
+
+def test_hot_keys_are_summed_in_pieces_of_about_hot_pairs(low_rank):
+    """A hot key moves one sum per piece, not one per task its rows come from."""
+    from ratingloom.operators.normal_equations import weighted_pairs
+
+    train, test = low_rank
+    pairs = weighted_pairs(factorize.usable_ratings(train), 10)
+    pieces = pairs.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("size"), F.countDistinct("user_id_piece").alias("pieces"),
+        F.max("user_id_piece").alias("last"), F.bool_and("user_id_hot").alias("hot"),
+    ).collect()
+    assert all(r.hot == (r.size > 10) for r in pieces)
+    assert all(r.last < -(-r.size // 10) if r.hot else r.last == 0 for r in pieces)
+    assert sum(r.pieces for r in pieces) <= sum(-(-r.size // 10) for r in pieces)
+    config = replace(PRESET_A, rank=3, reg_param=0.001, solver="grouped_sums", hot_pairs=10)
+    model = factorize.fit(train, config)
+    good = checks.optimality(model, train, config.reg_param)
+    assert good.filter("ok").count() == good.count() == 200
+    score = evaluate.rmse(predict.predict(model, test)).first()
+    assert score.rmse < 0.05
