@@ -181,3 +181,55 @@ def test_lists_of_all_users_leave_mllib_blocks_alone(fitted, monkeypatch):
     monkeypatch.setattr(type(model), "recommendForAllUsers", refused)
     monkeypatch.setattr(type(model), "recommendForUserSubset", refused)
     assert lists_of(topn.recommend(model, 3)) == {u: best(scores, u, 3) for u in range(N_USERS)}
+
+
+def records(ids, factors):
+    rows = np.empty(len(ids), blocks._record(factors.shape[1]))
+    rows["id"], rows["factor"] = ids, factors
+    return rows
+
+
+def test_a_block_carries_its_lists_through_the_cells(monkeypatch):
+    """Lists after several cells are those of one sort over everything, with equal scores by id,
+    left-out pairs and factors that aren't finite; later cells are scored in part only."""
+    dice = np.random.default_rng(3)
+    monkeypatch.setattr(blocks, "WIDTH", 16)
+    monkeypatch.setattr(blocks, "SCORES", 160)
+    users = dice.integers(-2, 3, (50, 3)).astype(np.float32)
+    items = dice.integers(-2, 3, (900, 3)).astype(np.float32)
+    items[5, 0], items[6, 1], users[7, 2], users[8] = np.nan, np.inf, np.nan, 0
+    out = {(int(u), int(i)) for u, i in zip(dice.integers(0, 60, 9000), dice.integers(0, 999, 9000))}
+    block = blocks._Block(blocks._unpacked([records(np.arange(50), users).tobytes()], 3), 4)
+    scored = []
+
+    def counted(a, b, **options):
+        scored.append(len(a) * b.shape[1])
+        return matmul(a, b, **options)
+
+    matmul = np.matmul
+    monkeypatch.setattr(np, "matmul", counted)
+    for cell in np.array_split(dice.permutation(900), 5):
+        pairs = np.array(sorted(p for p in out if p[1] in set(cell.tolist()) or p[1] >= 900))
+        block.meet(blocks._unpacked([records(cell, items[cell]).tobytes()], 3), [tuple(pairs.T)])
+    assert sum(scored) < 50 * 900 * 3 / 5
+    found = {}
+    for batch in block.found():
+        for r in batch.to_pylist():
+            found.setdefault(r["user_id"], []).append((r["rank"], r["item_id"], r["score"]))
+    expected = {}
+    for u in set(range(50)) - {7}:
+        ranked = sorted((-float(users[u] @ items[i]), i) for i in range(900) if i not in (5, 6) and (u, i) not in out)
+        expected[u] = [(k + 1, i, -s) for k, (s, i) in enumerate(ranked[:4])]
+    assert found == expected
+
+
+def test_users_go_once_into_the_cells_and_only_lists_leave_them(fitted, make):
+    _, model, _, _ = fitted
+    users, items = factorize.factors(model, "user"), factorize.factors(model, "item")
+    cells = blocks._cells(users, items, make([], "user_id bigint, item_id bigint"), 3, 4, model.rank)
+    sent = {}
+    for r in cells.collect():
+        sent[r.kind] = sent.get(r.kind, 0) + len(r.packed) // blocks._record(model.rank).itemsize
+    assert sent == {blocks._USER: N_USERS, blocks._ITEM: 3 * N_ITEMS}
+    lists = topn.recommend(model, 5)
+    assert "Window" not in lists._jdf.queryExecution().toString()
