@@ -3,6 +3,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
+from contract import spark_queries
 from ratingloom import schemas
 from ratingloom.config import PRESET_A
 from ratingloom.operators import blocks, factorize, topn
@@ -233,3 +234,25 @@ def test_users_go_once_into_the_cells_and_only_lists_leave_them(fitted, make):
     assert sent == {blocks._USER: N_USERS, blocks._ITEM: 3 * N_ITEMS}
     lists = topn.recommend(model, 5)
     assert "Window" not in lists._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("query", ["recommend_top_n"])
+def test_checked_lists_are_made_once(spark, small_data, monkeypatch, query):
+    """However often the checks read a list, each of its rows is computed a single time."""
+    made = spark.sparkContext.accumulator(0)
+    name = "recommend" if query == "recommend_top_n" else "recommend_unseen"
+    plain = getattr(topn, name)
+
+    def counted(*args):
+        def count(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        lists = plain(*args)
+        return lists.mapInArrow(count, lists.schema)
+
+    monkeypatch.setattr(topn, name, counted)
+    checked = spark_queries.QUERIES[query](spark, small_data).collect()
+    assert checked and all(r.best_ok for r in checked)
+    assert made.value == sum(r.n_rows for r in checked)
