@@ -236,7 +236,7 @@ def test_users_go_once_into_the_cells_and_only_lists_leave_them(fitted, make):
     assert "Window" not in lists._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("query", ["recommend_top_n"])
+@pytest.mark.parametrize("query", ["recommend_top_n", "recommend_unseen"])
 def test_checked_lists_are_made_once(spark, small_data, monkeypatch, query):
     """However often the checks read a list, each of its rows is computed a single time."""
     made = spark.sparkContext.accumulator(0)
