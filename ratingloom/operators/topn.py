@@ -16,8 +16,8 @@ def recommend(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFr
     Users without training ratings get no rows; asking for a user twice gives one list.
     Items the user rated already are not left out, see ``recommend_unseen``.
 
-    The same pass over pairs of factor blocks as ``recommend_unseen``, with nothing left out: each
-    cell is one matrix product and only n rows per user leave it. Equal scores go by item id.
+    The same pass over pairs of factor blocks as ``recommend_unseen``, with nothing left out: only n
+    rows per user leave it. Equal scores go by item id.
     """
     if users is not None:
         users = users.filter(fits_id_range("user_id")).select(F.col("user_id").cast("bigint"))
